@@ -52,14 +52,14 @@ def measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
             (F.col("l_linenumber") % SLOTS).alias("slot"),
             ((F.col("l_orderkey") + F.col("l_linenumber")) % KINDS).cast("int").alias("kind"),
         )
-        .agg(F.max(F.when(~unread, F.col("l_extendedprice"))).alias("price"))
+        .agg(F.max(F.when(unread, None).otherwise(F.col("l_extendedprice"))).alias("price"))
     )
 
 
-def food_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The nested documents, one row per (food, copy)."""
+def measurement_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One array of measurements per part, in order of slot and kind."""
     kind = F.col("kind")
-    arrays = (
+    return (
         measurements(spark, sf_dir)
         .groupBy("l_partkey")
         .agg(
@@ -76,15 +76,29 @@ def food_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
             ).alias("measured")
         )
     )
+
+
+def food_documents(spark: SparkSession, sf_dir: str, arrays: DataFrame) -> DataFrame:
+    """The nested documents, one row per (food, copy).
+
+    ``arrays`` is the written table of :func:`measurement_arrays`. Joined from
+    a table, both sides are plain shuffles, which lets adaptive execution split
+    a part key that holds many rows.
+    """
     key = F.col("p_partkey")
     survey, legacy = key % 20 < 11, key % 20 < 19
+    copies = F.when(key % 40 == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+
+    def by_source(of_survey: str, of_legacy: str, of_foundation: str) -> Column:
+        return F.when(survey, of_survey).when(legacy, of_legacy).otherwise(of_foundation)
+
     documents = table(spark, sf_dir, "part").select(
         key.alias("fdcId"),
-        F.explode(F.when(key % 40 == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy"),
+        F.explode(copies).alias("copy"),
         F.col("p_name").alias("description"),
-        F.when(survey, "Survey (FNDDS)").when(legacy, "SR Legacy").otherwise("Foundation").alias("dataType"),
-        F.when(F.col("p_size") != 50, F.col("p_type")).alias("foodCategory"),
-        F.when(survey, "survey").when(legacy, "legacy").otherwise("foundation").alias("sourceCollection"),
+        by_source("Survey (FNDDS)", "SR Legacy", "Foundation").alias("dataType"),
+        F.when(F.col("p_size") == 50, None).otherwise(F.col("p_type")).alias("foodCategory"),
+        by_source("survey", "legacy", "foundation").alias("sourceCollection"),
     )
     # The second copy of a food holds the even slots only.
     held = F.filter(

@@ -12,11 +12,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import IntegerType, StructField
 
-from checks.food_tables import food_documents
+from checks.food_tables import food_documents, measurement_arrays
 from larder.operators.models import Trained, train_gradient_boosted_trees, train_random_forest
 from larder.plans.labelling import DOCUMENT_PATH, SPARK_PATH, LabelOptions, label_foods
 from larder.sources.schemas import raw_schema
-from larder.sources.tables import load_raw, scan_raw, write_labeled
+from larder.sources.tables import load_raw, scan_raw, write_labeled, write_table
 from larder.sources.workspace import shared_folder
 
 COPY = (StructField("copy", IntegerType()),)
@@ -44,8 +44,10 @@ def raw_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The nested documents of all sources."""
 
     def make() -> str:
-        path = f"{folder(spark, sf_dir)}/raw_foods"
-        load_raw(food_documents(spark, sf_dir), path, allow_empty=True)
+        base = folder(spark, sf_dir)
+        path = f"{base}/raw_foods"
+        arrays = write_table(measurement_arrays(spark, sf_dir), f"{base}/measurement_arrays")
+        load_raw(food_documents(spark, sf_dir, arrays), path, allow_empty=True)
         return path
 
     return scan_raw(spark, _once(spark, sf_dir, "raw", make), RAW_SCHEMA)
@@ -62,7 +64,9 @@ def _labeled(spark: SparkSession, sf_dir: str, name: str, options: LabelOptions)
         sf_dir,
         name,
         lambda: write_labeled(
-            label_now(spark, sf_dir, options), f"{folder(spark, sf_dir)}/{name}"
+            label_now(spark, sf_dir, options),
+            f"{folder(spark, sf_dir)}/{name}",
+            rebalance=not options.shuffles,
         ),
     )
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.config import FOODS, NUTRIENT_IDS, Layout
-from larder.functions.nested import first_match, lookup_order, lookups
+from larder.functions.nested import first_match, lookups, repeats_resolved
 
 
 def unnest(
@@ -63,22 +63,21 @@ def pivot(
     if grain == "id" and dup != "max":
         raise ValueError("documents of one id are merged by maximum only")
     others = [c for c in docs.columns if c != layout.array]
-    paired = docs.select(*others, lookup_order(dup, missing_value, layout).alias("_pairs"))
-    ids, values = F.col("_pairs.id"), F.col("_pairs.value")
-    columns = lookups(ids, values, measures, missing_value)
-    present = first_match(ids, measures.values()).isNotNull()
+    resolved = repeats_resolved(docs, dup, missing_value, layout)
+    columns = lookups(measures, missing_value)
+    present = first_match(F.col("_ids"), measures.values()).isNotNull()
 
     if grain == "document":
         if not keep_empty:
-            paired = paired.where(present)
-        return paired.select(*others, *columns)
+            resolved = resolved.where(present)
+        return resolved.select(*others, *columns)
 
     # Each document is one row before the shuffle, however long its array.
     first = F.struct(*order_by, *layout.attributes)
     if not keep_empty:
         first = F.when(present, first)
     merged = (
-        paired.select(layout.source, layout.id, first.alias("_first"), *columns)
+        resolved.select(layout.source, layout.id, first.alias("_first"), *columns)
         .groupBy(layout.source, layout.id)
         .agg(F.min("_first").alias("_first"), *[F.max(name).alias(name) for name in measures])
     )

@@ -56,11 +56,14 @@ def nutrition_summary(
     pass over the unnested rows gives both.
     """
     ids = list(ids)
-    rows = docs.select(
-        layout.category,
-        first_match(F.col(layout.array)[layout.measure_id], ids).alias("_first"),
-        F.posexplode(layout.array).alias("_pos", "_m"),
-    ).where(F.col("_m")[layout.measure_id].isin(ids))
+    # The first match is found in its own step: next to the generator it would
+    # be evaluated once per measurement.
+    first = first_match(F.col(layout.array)[layout.measure_id], ids)
+    rows = (
+        docs.select(layout.category, layout.array, first.alias("_first"))
+        .select(layout.category, "_first", F.posexplode(layout.array).alias("_pos", "_m"))
+        .where(F.col("_m")[layout.measure_id].isin(ids))
+    )
     per_name = rows.groupBy(
         layout.category, F.col("_m")[layout.measure_name].alias("nutrient")
     ).agg(

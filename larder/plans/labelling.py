@@ -34,6 +34,10 @@ class LabelOptions:
     text_default: str | None
     keep_empty: bool
 
+    @property
+    def shuffles(self) -> bool:
+        return self.grain == "id"
+
 
 DOCUMENT_PATH = LabelOptions(
     dup="max",

@@ -57,7 +57,9 @@ def run_pipeline(
     if not counts.where(~F.col("matches")).isEmpty():
         raise RuntimeError("the raw table does not hold what was landed")
 
-    labeled = write_labeled(label_foods(raw, options), f"{warehouse}/labeled_foods")
+    labeled = write_labeled(
+        label_foods(raw, options), f"{warehouse}/labeled_foods", rebalance=not options.shuffles
+    )
 
     timing = time_queries(spark, run_catalog(spark, labeled))
     write_timing(timing, f"{output}/query_timing.json")

@@ -55,9 +55,15 @@ def verify_counts(landed: DataFrame, loaded: DataFrame, layout: Layout = FOODS)
     )
 
 
-def write_labeled(labeled: DataFrame, path: str) -> DataFrame:
-    """Replace the labelled table and return it as read back."""
-    labeled.write.mode("overwrite").partitionBy("isHealthy").parquet(path)
+def write_labeled(labeled: DataFrame, path: str, *, rebalance: bool = False) -> DataFrame:
+    """Replace the labelled table and return it as read back.
+
+    ``rebalance`` evens out the files. Rows labelled per document were never
+    shuffled, and a labelled row is far smaller than its document, so every
+    scan task would leave two small files.
+    """
+    rows = labeled.hint("rebalance", "isHealthy") if rebalance else labeled
+    rows.write.mode("overwrite").partitionBy("isHealthy").parquet(path)
     return scan_labeled(labeled.sparkSession, path, labeled.schema)
 
 
