@@ -139,7 +139,9 @@ def train_and_evaluate(
     model = fit(train, features, **settings)
     elapsed = time.time() - start
 
-    predictions = model.transform(test).persist(StorageLevel.MEMORY_AND_DISK)
+    # The assembled vector repeats the feature columns, so it is not kept.
+    scored = model.transform(test).drop("features")
+    predictions = scored.persist(StorageLevel.MEMORY_AND_DISK)
     sizes = {row["part"]: row["rows"] for row in split_sizes(data, key, percent).collect()}
     facts = {
         "train_time_s": round(elapsed, 2),

@@ -62,7 +62,7 @@ def write_labeled(labeled: DataFrame, path: str, *, rebalance: bool = False) ->
     shuffled, and a labelled row is far smaller than its document, so every
     scan task would leave two small files.
     """
-    rows = labeled.hint("rebalance", "isHealthy") if rebalance else labeled
+    rows = labeled.hint("rebalance") if rebalance else labeled
     rows.write.mode("overwrite").partitionBy("isHealthy").parquet(path)
     return scan_labeled(labeled.sparkSession, path, labeled.schema)
 
