@@ -64,7 +64,7 @@ def _landed(spark: SparkSession, sf_dir: str) -> DataFrame:
             snapshots.land_snapshot(ws.raw_table(spark, sf_dir), root, dataset, ws.SNAPSHOT_DATE)
         return root
 
-    root = ws._once(spark, sf_dir, "landing", land)
+    root = ws.once(spark, sf_dir, "landing", land)
     return snapshots.read_sources(spark, root, ws.SNAPSHOT_DATE, extra=ws.COPY)
 
 

@@ -29,7 +29,7 @@ BOOSTING_ROUNDS = 20
 _made: dict[tuple, object] = {}
 
 
-def _once(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], object]) -> object:
+def once(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], object]) -> object:
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _made:
         _made[key] = make()
@@ -37,7 +37,7 @@ def _once(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], object
 
 
 def folder(spark: SparkSession, sf_dir: str) -> str:
-    return _once(spark, sf_dir, "folder", lambda: shared_folder(spark))
+    return once(spark, sf_dir, "folder", lambda: shared_folder(spark))
 
 
 def raw_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,7 +50,7 @@ def raw_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         load_raw(food_documents(spark, sf_dir, arrays), path, allow_empty=True)
         return path
 
-    return scan_raw(spark, _once(spark, sf_dir, "raw", make), RAW_SCHEMA)
+    return scan_raw(spark, once(spark, sf_dir, "raw", make), RAW_SCHEMA)
 
 
 def label_now(spark: SparkSession, sf_dir: str, options: LabelOptions) -> DataFrame:
@@ -59,7 +59,7 @@ def label_now(spark: SparkSession, sf_dir: str, options: LabelOptions) -> DataFr
 
 
 def _labeled(spark: SparkSession, sf_dir: str, name: str, options: LabelOptions) -> DataFrame:
-    return _once(
+    return once(
         spark,
         sf_dir,
         name,
@@ -80,13 +80,13 @@ def labeled_by_spark(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def random_forest(spark: SparkSession, sf_dir: str) -> Trained:
-    return _once(
+    return once(
         spark, sf_dir, "forest", lambda: train_random_forest(labeled_by_spark(spark, sf_dir))
     )
 
 
 def boosted_trees(spark: SparkSession, sf_dir: str) -> Trained:
-    return _once(
+    return once(
         spark,
         sf_dir,
         "boosted",
