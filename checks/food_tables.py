@@ -33,12 +33,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _by_kind(kind: Column, field: int) -> Column:
-    chosen = None
-    for key, entry in MEASURES.items():
-        test = kind == key
-        chosen = F.when(test, entry[field]) if chosen is None else chosen.when(test, entry[field])
-    return chosen.otherwise(OTHER[field])
+def _of_kind(kind: Column, field: int) -> Column:
+    entries = [MEASURES.get(number, OTHER)[field] for number in range(KINDS)]
+    return F.get(F.array(*[F.lit(entry) for entry in entries]), kind)
 
 
 def measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,24 +54,15 @@ def measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def measurement_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One array of measurements per part, in order of slot and kind."""
-    kind = F.col("kind")
+    """One array of (position, price) per part, in order of slot and kind.
+
+    Names and units follow from the position, so they are not shuffled.
+    """
+    entry = F.struct((F.col("slot") * KINDS + F.col("kind")).alias("pos"), "price")
     return (
         measurements(spark, sf_dir)
         .groupBy("l_partkey")
-        .agg(
-            F.sort_array(
-                F.collect_list(
-                    F.struct(
-                        (F.col("slot") * KINDS + kind).alias("pos"),
-                        _by_kind(kind, 0).alias("nutrientId"),
-                        _by_kind(kind, 1).alias("nutrientName"),
-                        _by_kind(kind, 2).alias("unitName"),
-                        (F.col("price") / _by_kind(kind, 3)).alias("value"),
-                    )
-                )
-            ).alias("measured")
-        )
+        .agg(F.sort_array(F.collect_list(entry)).alias("measured"))
     )
 
 
@@ -101,19 +89,21 @@ def food_documents(spark: SparkSession, sf_dir: str, arrays: DataFrame) -> DataF
         by_source("survey", "legacy", "foundation").alias("sourceCollection"),
     )
     # The second copy of a food holds the even slots only.
-    held = F.filter(
-        "measured", lambda m: (F.col("copy") == 0) | (F.floor(m["pos"] / KINDS) % 2 == 0)
-    )
-    plain = F.transform(
-        held,
-        lambda m: F.struct(
-            m["nutrientId"].alias("nutrientId"),
-            m["nutrientName"].alias("nutrientName"),
-            m["unitName"].alias("unitName"),
-            m["value"].alias("value"),
-        ),
+    held = F.when(F.col("copy") == 0, F.col("measured")).otherwise(
+        F.filter("measured", lambda m: F.floor(m["pos"] / KINDS) % 2 == 0)
     )
+
+    def measurement(entry: Column) -> Column:
+        kind = entry["pos"] % KINDS
+        return F.struct(
+            _of_kind(kind, 0).alias("nutrientId"),
+            _of_kind(kind, 1).alias("nutrientName"),
+            _of_kind(kind, 2).alias("unitName"),
+            (entry["price"] / _of_kind(kind, 3)).alias("value"),
+        )
+
+    measured = F.coalesce(F.transform(held, measurement), F.array())
     return documents.join(arrays, F.col("fdcId") == F.col("l_partkey"), "left").select(
         "fdcId", "copy", "description", "dataType", "foodCategory", "sourceCollection",
-        F.coalesce(plain, F.array()).alias("foodNutrients"),
+        measured.alias("foodNutrients"),
     )
