@@ -53,7 +53,8 @@ def nutrition_summary(
 
     ``nutrient_groups`` counts the names listed, ``food_count`` the documents
     behind them. A document is counted on its first wanted measurement, so one
-    pass over the unnested rows gives both.
+    pass over the unnested rows gives both. A list has one entry per name of
+    the wanted ids, however many documents there are.
     """
     ids = list(ids)
     # The first match is found in its own step: next to the generator it would

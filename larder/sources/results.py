@@ -53,8 +53,11 @@ def prediction_rows(predictions: DataFrame, layout: Layout = FOODS) -> DataFrame
 
 
 def write_predictions(predictions: DataFrame, path: str) -> None:
-    """Executors write the CSV parts; nothing passes through the driver."""
-    prediction_rows(predictions).write.mode("overwrite").option("header", True).csv(path)
+    """Executors write the CSV parts; nothing passes through the driver.
+
+    Quotes inside a field are doubled, the form other CSV readers expect.
+    """
+    prediction_rows(predictions).write.mode("overwrite").csv(path, header=True, escape='"')
 
 
 def check_outputs(spark: SparkSession, folder: str) -> list[str]:

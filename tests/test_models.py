@@ -1,3 +1,4 @@
+import csv
 import json
 
 import pytest
@@ -10,7 +11,7 @@ from larder.operators.evaluation import classification_metrics, confusion_metric
 from larder.plans.labelling import SPARK_PATH
 from larder.plans.pipeline import run_pipeline
 from larder.sources import snapshots
-from larder.sources.results import OUTPUTS, check_outputs
+from larder.sources.results import OUTPUTS, check_outputs, write_predictions
 
 DATE = "2026-03-05"
 
@@ -166,6 +167,18 @@ def test_whole_job(spark, raw, tmp_path):
     assert predictions.count() == forest["test_size"]
 
 
+def test_prediction_files_double_quotes_inside_a_field(spark, tmp_path):
+    rows = spark.createDataFrame(
+        [('12" pie, "plain"', None, 1.0, 0.0)],
+        "description string, foodCategory string, label double, prediction double",
+    ).coalesce(1)
+    write_predictions(rows.select("*", *[F.lit(1.0).alias(f) for f in FEATURES]), str(tmp_path / "p"))
+    (part,) = (tmp_path / "p").glob("part-*")
+    with part.open(newline="") as lines:
+        (read,) = csv.DictReader(lines)
+    assert (read["description"], read["foodCategory"], read["label"]) == ('12" pie, "plain"', "", "1.0")
+
+
 def test_missing_output_is_an_error(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         check_outputs(spark, str(tmp_path))
