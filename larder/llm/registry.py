@@ -6,15 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import packing, token_counts
+from larder.llm import decontamination, language_id, packing, secret_scans, substring_dedup, token_counts
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_substring_dedup": substring_dedup.query,
+        "op2_secret_scans": secret_scans.query,
         "op5_token_counts": token_counts.query,
+        "op7_benchmark_decontamination": decontamination.query,
         "op9_best_fit_packing": packing.query,
+        "op10_language_id": language_id.query,
     }
 
 
 def all_sql() -> dict[str, str]:
-    return {}
+    return {"op7_benchmark_decontamination": decontamination.SQL}
