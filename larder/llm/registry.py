@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import decontamination, language_id, ngram_join, packing, secret_scans, substring_dedup, suffix_dedup, token_counts
+from larder.llm import decontamination, fingerprints, language_id, ngram_join, packing, secret_scans, substring_dedup, suffix_dedup, token_counts
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_substring_dedup": substring_dedup.query,
         "op2_secret_scans": secret_scans.query,
         "op3_ngram_jaccard_join": ngram_join.query,
+        "op4_document_fingerprints": fingerprints.query,
         "op5_token_counts": token_counts.query,
         "op6_suffix_array_dedup": suffix_dedup.query,
         "op7_benchmark_decontamination": decontamination.query,
