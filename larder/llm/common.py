@@ -101,6 +101,14 @@ def span_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mixed(sums + (ends - starts).astype(np.uint64))
 
 
+def run_hashes(prefix: np.ndarray, length: int) -> np.ndarray:
+    """span_hash() of all runs of one length."""
+    sums = prefix[length:] - prefix[:-length]
+    sums *= powers(_INVERSE, len(sums))
+    sums += np.uint64(length)
+    return mixed(sums)
+
+
 def byte_prefix(raw: np.ndarray) -> np.ndarray:
     return prefix_hash(_SYMBOLS[raw])
 

@@ -17,14 +17,14 @@ Fingerprints have 96 bits at least, besides the equality of bucket and side.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import mixed, span_hash
+from larder.llm.common import SLICE_BYTES, flat_ranges, mixed, run_hashes, span_hash
 
 # A block's texts together; one longer text is a block's too. Larger blocks make fewer, longer messages.
 BLOCK_BYTES = 4 << 20
@@ -60,54 +60,48 @@ class Block:
         self.ids = np.array([NO_ID if x is None else x for x in self.rows], np.int64)
 
 
+class Symbols:
+    """A stretch of a block's texts as symbols: sums to hash runs of them, and the first symbol of each text and at the end of all."""
+
+    def __init__(self, prefix: np.ndarray, first: np.ndarray, texts: slice) -> None:
+        self.prefix, self.first, self.texts = prefix, first, texts
+
+
+def stretches(block: Block) -> Iterator[tuple[np.ndarray, np.ndarray, slice]]:
+    """Bytes, offsets and numbers of the block's texts, in stretches of about SLICE_BYTES to bound memory."""
+    start, at = 0, block.at
+    while start < len(at) - 1:
+        end = min(max(start + 1, int(np.searchsorted(at, at[start] + SLICE_BYTES, "right")) - 1), len(at) - 1)
+        yield block.raw[at[start] : at[end]], at[start : end + 1] - at[start], slice(start, end)
+        start = end
+
+
 class Segments:
-    """Segments of a block of symbols; ``first`` has the first symbol of each text, and at the end of all."""
-
-    def __init__(self, prefix: np.ndarray, first: np.ndarray, ids: np.ndarray, window: int, gram: int) -> None:
-        n = len(prefix) - 1
-        self.window, self.prefix = window, prefix
-        lengths = np.diff(first)
-        counts = np.maximum(lengths - window + 1, 0)
-        starts = np.repeat(first[:-1] - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
-        if not len(starts):
-            self.start = self.stop = self.anchor = self.text = np.zeros(0, np.int64)
-            self.doc, self.fine = np.zeros(0, np.int64), np.zeros(0, np.uint32)
-            self.coarse, self.sides = np.zeros(0, np.uint64), np.zeros((0, 2), np.uint8)
-            self._unique()
-            return
-        at = np.arange(n - gram + 1)
-        grams = span_hash(prefix, at, at + gram)
-        bits = np.uint64(int(n).bit_length())
-        low = ((grams >> bits) << bits) | at.astype(np.uint64)
-        reach, width = 1, window - gram + 1
-        while 2 * reach <= width:  # the least over twice as many
-            low = np.minimum(low[: len(low) - reach], low[reach:])
-            reach *= 2
-        if reach < width:
-            low = np.minimum(low[: len(low) - (width - reach)], low[width - reach :])
-        anchor = (low[starts] & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
-        new = np.ones(len(starts), bool)
-        new[1:] = (anchor[1:] != anchor[:-1]) | (starts[1:] != starts[:-1] + 1)
-        begin = np.flatnonzero(new)
-        self.start = starts[begin]
-        self.stop = starts[np.append(begin[1:], len(starts)) - 1] + 1
-        self.anchor = anchor[begin]
-        self.text = np.searchsorted(first, self.start, "right") - 1
-        self.doc = ids[self.text]
-        self.coarse = grams[self.anchor]
-        content = span_hash(prefix, self.start, self.stop + window - 1) + (self.anchor - self.start).astype(np.uint64)
-        self.fine = (mixed(content) >> np.uint64(32)).astype(np.uint32)
-        half = (window - gram + 1) // 2  # a shared window reaches so far beyond the anchor on one side
-        left, right = first[:-1][self.text], first[1:][self.text]
-        self.sides = np.stack(
-            [
-                span_hash(prefix, np.maximum(self.anchor - half, left), self.anchor) >> np.uint64(56),
-                span_hash(prefix, self.anchor + gram, np.minimum(self.anchor + gram + half, right)) >> np.uint64(56),
-            ],
-            axis=1,
-        ).astype(np.uint8)
+    """Segments of a block; ``start`` and ``stop`` are of their windows, in symbols of the block."""
+
+    def __init__(self, symbols: list[Symbols], ids: np.ndarray, window: int, gram: int) -> None:
+        self.window = window
+        self.bases = np.cumsum([0, *[len(x.prefix) - 1 for x in symbols]])
+        self.prefixes = [x.prefix for x in symbols]
+        parts = [_segments(x.prefix, x.first, window, gram) for x in symbols] or [_segments(np.zeros(1, np.uint64), np.zeros(1, np.int64), window, gram)]
+        start, stop, text, self.coarse, self.fine, self.sides = (np.concatenate(x) for x in zip(*parts))
+        sizes = [len(x[0]) for x in parts]
+        base = np.repeat(self.bases[: len(parts)], sizes)
+        self.start, self.stop = start + base, stop + base
+        self.text = text + np.repeat([x.texts.start for x in symbols] or [0], sizes)
+        self.doc = ids[self.text] if len(text) else np.zeros(0, np.int64)
         self._unique()
 
+    def string_hashes(self, starts: np.ndarray) -> np.ndarray:
+        """Hashes of the windows that start here."""
+        out = np.empty(len(starts), np.uint64)
+        own = np.searchsorted(self.bases, starts, "right") - 1
+        for k in np.unique(own):
+            some = own == k
+            local = starts[some] - self.bases[k]
+            out[some] = span_hash(self.prefixes[k], local, local + self.window)
+        return out
+
     def _unique(self) -> None:
         """Entries: the distinct segments, ordered by anchor, each with the smallest id."""
         self.entry, self.chosen = distinct(self.coarse, self.fine, self.doc)
@@ -123,13 +117,48 @@ class Segments:
         return self.start[own] + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n), own
 
 
+def _segments(prefix: np.ndarray, first: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, ...]:
+    """Start and stop of the windows of each segment, its text, anchor, content, and the symbols on both sides of the anchor."""
+    n = len(prefix) - 1
+    counts = np.maximum(np.diff(first) - window + 1, 0)
+    starts = flat_ranges(first[:-1], counts)
+    if not len(starts):
+        none = np.zeros(0, np.int64)
+        return none, none, none, np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros((0, 2), np.uint8)
+    grams = run_hashes(prefix, gram)
+    bits = np.uint64(int(n).bit_length())
+    low = (grams >> bits) << bits
+    low |= np.arange(len(grams), dtype=np.uint64)
+    reach, width = 1, window - gram + 1
+    while 2 * reach <= width:  # the least over twice as many
+        low = np.minimum(low[: len(low) - reach], low[reach:])
+        reach *= 2
+    if reach < width:
+        low = np.minimum(low[: len(low) - (width - reach)], low[width - reach :])
+    anchor = (low[starts] & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    new = np.ones(len(starts), bool)
+    new[1:] = (anchor[1:] != anchor[:-1]) | (starts[1:] != starts[:-1] + 1)
+    begin = np.flatnonzero(new)
+    start, anchor = starts[begin], anchor[begin]
+    stop = starts[np.append(begin[1:], len(starts)) - 1] + 1
+    text = np.searchsorted(first, start, "right") - 1
+    content = span_hash(prefix, start, stop + window - 1) + (anchor - start).astype(np.uint64)
+    fine = (mixed(content) >> np.uint64(32)).astype(np.uint32)
+    half = (window - gram + 1) // 2  # a shared window reaches so far beyond the anchor on one side
+    sides = [
+        span_hash(prefix, np.maximum(anchor - half, first[:-1][text]), anchor) >> np.uint64(56),
+        span_hash(prefix, anchor + gram, np.minimum(anchor + gram + half, first[1:][text])) >> np.uint64(56),
+    ]
+    return start, stop, text, grams[anchor], fine, np.stack(sides, axis=1).astype(np.uint8)
+
+
 class Windows:
     """Single windows of some segments as entries of their own."""
 
     def __init__(self, segments: Segments, chosen: np.ndarray) -> None:
         self.start, own = segments.windows(chosen)
         self.doc = segments.doc[own]
-        self.coarse = span_hash(segments.prefix, self.start, self.start + segments.window)
+        self.coarse = segments.string_hashes(self.start)
         self.fine = (segments.coarse[own] >> np.uint64(8)).astype(np.uint32)
         self.entry, self.chosen = distinct(self.coarse, self.fine, self.doc)
 

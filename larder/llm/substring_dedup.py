@@ -21,8 +21,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm.common import byte_prefix, documents, prefix_hash, span_hash, word_spans
-from larder.llm.segments import COVERED, HOT, MESSAGE, MIXED, Answers, Block, Segments, Windows, answered, blocked, exchange, judged, marked, messages, sent
+from larder.llm.common import documents, prefix_hash, word_hashes
+from larder.llm.segments import COVERED, HOT, MESSAGE, MIXED, Answers, Block, Segments, Symbols, Windows, answered, blocked, exchange, judged, marked, messages, sent, stretches
 
 WINDOW = 13
 GRAM = 6
@@ -32,9 +32,14 @@ FACTORS = "doc_id long, start long, n_words long, source_id long"
 
 class Words:
     def __init__(self, block: Block, window: int, gram: int) -> None:
-        self.starts, self.ends, self.first = word_spans(block.raw, block.at)
-        hashes = span_hash(byte_prefix(block.raw), self.starts, self.ends)
-        self.segments = Segments(prefix_hash(hashes), self.first, block.ids, window, min(gram, window))
+        symbols, first, base = [], [np.zeros(1, np.int64)], 0
+        for raw, at, texts in stretches(block):
+            hashes, own = word_hashes(raw, at)
+            symbols.append(Symbols(prefix_hash(hashes), own, texts))
+            first.append(own[1:] + base)
+            base += len(hashes)
+        self.first, self.number = np.concatenate(first), base
+        self.segments = Segments(symbols, block.ids, window, min(gram, window))
 
 
 def boundary_windows(segments: Segments, states: np.ndarray) -> Windows:
@@ -55,7 +60,7 @@ class Parsed:
         windows = boundary_windows(s, states)
         found = windows.start[windows.covered(answers.states(2, windows.entries(), buckets)[0])]
         self.removed = marked(
-            len(words.starts),
+            words.number,
             np.concatenate([s.start[covered], found]),
             np.concatenate([s.stop[covered] + s.window - 1, found + s.window]),
         )

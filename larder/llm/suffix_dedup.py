@@ -27,8 +27,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from larder.llm.common import byte_prefix, documents, flat_ranges
 from larder.llm.segments import (
-    COVERED, HOT, MESSAGE, MIXED, Answers, Block, Segments, Windows, answered, blocked, bucket_of, exchange, judged,
-    marked, messages, planes, runs, sent, unplaned,
+    COVERED, HOT, MESSAGE, MIXED, Answers, Block, Segments, Symbols, Windows, answered, blocked, bucket_of, exchange, judged,
+    marked, messages, planes, runs, sent, stretches, unplaned,
 )
 
 WINDOW = 50
@@ -110,7 +110,8 @@ class SuffixArray:
 
 class Bytes:
     def __init__(self, block: Block, window: int, gram: int) -> None:
-        self.segments = Segments(byte_prefix(block.raw), block.at, block.ids, window, min(gram, window))
+        symbols = [Symbols(byte_prefix(raw), at, texts) for raw, at, texts in stretches(block)]
+        self.segments = Segments(symbols, block.ids, window, min(gram, window))
 
 
 def first_rows(s: Segments, states: np.ndarray, state: int) -> np.ndarray:
