@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import decontamination, fingerprints, language_id, ngram_join, packing, secret_scans, substring_dedup, suffix_dedup, token_counts
+from larder.llm import decontamination, fingerprints, language_id, ngram_join, packing, secret_scans, substring_dedup, suffix_dedup, token_counts, toxicity
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -18,6 +18,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_token_counts": token_counts.query,
         "op6_suffix_array_dedup": suffix_dedup.query,
         "op7_benchmark_decontamination": decontamination.query,
+        "op8_toxicity": toxicity.query,
         "op9_best_fit_packing": packing.query,
         "op10_language_id": language_id.query,
     }
