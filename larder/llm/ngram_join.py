@@ -1,7 +1,7 @@
 """N-gram Jaccard join: groups of tokens counted as points in an R-tree, overlap bounded by summed minima.
 
 A document is its set of distinct shingles, in lower case. Two link at a Jaccard
-likeness of ``NEAR`` in a hundred. Shingles are hashed into groups twice:
+likeness of ``near`` in a hundred. Shingles are hashed into groups twice:
 
 - Into one group more than a linked pair may differ in, by size class: then some
   group is equal in both, so its fingerprint is a key that both have, and no link
@@ -72,7 +72,7 @@ def distinct_shingles(raw: np.ndarray, at: np.ndarray, words: int) -> tuple[np.n
     return hashes[new], np.searchsorted(text[new], np.arange(len(counts) + 1))
 
 
-def link_keys(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def link_keys(hashes: np.ndarray, first: np.ndarray, near: int = NEAR) -> tuple[np.ndarray, np.ndarray]:
     """Keys of all texts and the text of each."""
     n = np.diff(first)
     classes = size_classes(int(n.max(initial=1)))
@@ -81,11 +81,11 @@ def link_keys(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.nda
     for lower in (0, 1):
         size_class = own - lower
         # The class below too, if a smaller one in a link can be in it.
-        use = (n > 0) & (size_class >= 0) & ((lower == 0) | (-(-NEAR * n // 100) < classes[np.maximum(own, 0)]))
+        use = (n > 0) & (size_class >= 0) & ((lower == 0) | (-(-near * n // 100) < classes[np.maximum(own, 0)]))
         some = np.flatnonzero(use)
         if not len(some):
             continue
-        differ = (classes[size_class[some] + 1] - 1) * (100 - NEAR) // NEAR
+        differ = (classes[size_class[some] + 1] - 1) * (100 - near) // near
         groups = differ + 1
         counts = n[some]
         rows = flat_ranges(first[some], counts)
@@ -112,9 +112,9 @@ def points(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
     return np.bincount(spot, minlength=(len(first) - 1) * COORDINATES).reshape(-1, COORDINATES).astype(np.uint32)
 
 
-def near_bound(overlap: np.ndarray, n1: np.ndarray, n2: np.ndarray) -> np.ndarray:
+def near_bound(overlap: np.ndarray, n1: np.ndarray, n2: np.ndarray, near: int) -> np.ndarray:
     """Whether an overlap of so many makes a link of sets of these sizes."""
-    return (100 + NEAR) * overlap >= NEAR * (n1 + n2)
+    return (100 + near) * overlap >= near * (n1 + n2)
 
 
 def _table(schema: str, **columns: object) -> pa.RecordBatch:
@@ -124,7 +124,7 @@ def _table(schema: str, **columns: object) -> pa.RecordBatch:
     return pa.record_batch([pa.array(columns[f] if f in columns else [None] * n, kinds[k]) for f, k in fields], names=[f for f, _ in fields])
 
 
-def sketches(docs: DataFrame, words: int, buckets: int) -> DataFrame:
+def sketches(docs: DataFrame, words: int, near: int, buckets: int) -> DataFrame:
     """One row a document; messages of keys; and within a message, documents with the first one of their key."""
 
     def flushed(keys: list[np.ndarray], ids: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
@@ -153,7 +153,7 @@ def sketches(docs: DataFrame, words: int, buckets: int) -> DataFrame:
                     SKETCH, kind=[DOCUMENT] * len(doc), doc_id=doc, n=np.diff(first),
                     digest=(scrambled[first[1:]] - scrambled[first[:-1]]).view(np.int64), point=[p.tobytes() for p in point],
                 )
-                key, text = link_keys(hashes, first)
+                key, text = link_keys(hashes, first, near)
                 known = np.array([x is not None for x in doc], bool)
                 number = np.array([x or 0 for x in doc], np.int64)
                 key, text = key[known[text]], text[known[text]]
@@ -197,12 +197,12 @@ class Tree:
             cuts = np.arange(0, len(high), LEAF)
             self.levels.append((cuts, np.maximum.reduceat(high, cuts), np.minimum.reduceat(least, cuts)))
 
-    def near(self, point: np.ndarray, n: int) -> np.ndarray:
+    def near(self, point: np.ndarray, n: int, near: int) -> np.ndarray:
         """Points whose summed minima with this one do not rule a link out."""
         at = np.arange(len(self.levels[-1][1]))
         for depth in range(len(self.levels) - 1, -1, -1):
             cuts, high, least = self.levels[depth]
-            at = at[near_bound(np.minimum(high[at], point).sum(axis=1, dtype=np.int64), n, least[at])]
+            at = at[near_bound(np.minimum(high[at], point).sum(axis=1, dtype=np.int64), n, least[at], near)]
             if depth:
                 below = len(self.levels[depth - 1][1])
                 starts = cuts[at]
@@ -210,7 +210,7 @@ class Tree:
         return self.levels[0][0][at]
 
 
-def tree_pairs(table: pa.Table) -> pa.Table:
+def tree_pairs(table: pa.Table, near: int) -> pa.Table:
     """Pairs across components among the documents of each key of a part."""
     key, doc, part, n = (table.column(c).to_numpy() for c in ("key", "doc_id", "component", "n"))
     stray = table.column("stray").to_numpy()
@@ -221,7 +221,7 @@ def tree_pairs(table: pa.Table) -> pa.Table:
     for rows in np.split(order, begin[1:]):
         tree = Tree(point[rows], n[rows])
         for q in rows[stray[rows]].tolist():
-            found = rows[tree.near(point[q], int(n[q]))]
+            found = rows[tree.near(point[q], int(n[q]), near)]
             found = found[part[found] != part[q]]
             a_ids.append(np.minimum(doc[found], doc[q]))
             b_ids.append(np.maximum(doc[found], doc[q]))
@@ -229,7 +229,7 @@ def tree_pairs(table: pa.Table) -> pa.Table:
     return pa.Table.from_batches([_table("hub long, doc_id long", hub=a, doc_id=b)])
 
 
-def verified(pairs: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame, words: int, near: int) -> DataFrame:
     """The pairs (hub, doc_id) of distinct ids that link, on their whole texts."""
     wanted = pairs.select(F.col("hub").alias("doc_id")).union(pairs.select("doc_id")).distinct()
 
@@ -255,7 +255,7 @@ def verified(pairs: DataFrame, docs: DataFrame, words: int) -> DataFrame:
                 if hub_text != last:
                     last, hub_set = hub_text, shingles(hub_text)
                 own = shingles(own_text)
-                if own and hub_set and near_bound(len(own & hub_set), len(own), len(hub_set)):
+                if own and hub_set and near_bound(len(own & hub_set), len(own), len(hub_set), near):
                     out.append((hub, doc))
             if out:
                 yield _table("hub long, doc_id long", hub=[x[0] for x in out], doc_id=[x[1] for x in out])
@@ -281,7 +281,7 @@ def components(links: DataFrame, name: str) -> DataFrame:
         done, step = figure, step + 1
 
 
-def _bounded(pairs: DataFrame, documents_: DataFrame) -> DataFrame:
+def _bounded(pairs: DataFrame, documents_: DataFrame, near: int) -> DataFrame:
     """Pairs that the bound does not rule out; ``same`` where the sets are equal."""
     own = documents_.select("doc_id", "n", "digest", "point")
     hub = documents_.select(F.col("doc_id").alias("hub"), F.col("n").alias("hub_n"), F.col("digest").alias("hub_digest"), F.col("point").alias("hub_point"))
@@ -291,19 +291,19 @@ def _bounded(pairs: DataFrame, documents_: DataFrame) -> DataFrame:
             n1, n2, d1, d2 = (batch.column(c).to_numpy() for c in ("n", "hub_n", "digest", "hub_digest"))
             p1, p2 = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(-1, COORDINATES) for c in ("point", "hub_point"))
             same = (n1 == n2) & (d1 == d2) & (p1 == p2).all(axis=1)
-            keep = pa.array(near_bound(np.minimum(p1, p2).sum(axis=1, dtype=np.int64), n1, n2))
+            keep = pa.array(near_bound(np.minimum(p1, p2).sum(axis=1, dtype=np.int64), n1, n2, near))
             out = pa.record_batch([batch.column("hub"), batch.column("doc_id"), pa.array(same)], names=["hub", "doc_id", "same"])
             yield out.filter(keep)
 
     return pairs.join(own, "doc_id").join(hub, "hub").mapInArrow(run, "hub long, doc_id long, same boolean")
 
 
-def join(docs: DataFrame, words: int = WORDS) -> DataFrame:
+def join(docs: DataFrame, words: int = WORDS, near: int = NEAR) -> DataFrame:
     """Per document the size of its set and its component."""
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     total = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(LEAST_BLOCKS, -(-total // BLOCK_BYTES))
-    sketch = kept(sketches(own, words, buckets), "sketch")
+    sketch = kept(sketches(own, words, near, buckets), "sketch")
     found = sketch.filter(F.col("kind") == DOCUMENT)
     # One set for each id: the largest, if rows repeat.
     each = Window.partitionBy("doc_id").orderBy(F.col("n").desc(), "digest")
@@ -314,8 +314,8 @@ def join(docs: DataFrame, words: int = WORDS) -> DataFrame:
     inner = sketch.filter(F.col("kind") == MEMBER).select("doc_id", "key", "hub")
     members = kept(inner.union(bucketed), "members")
 
-    pairs = kept(_bounded(members.select("hub", "doc_id").distinct(), single), "pairs")
-    links = kept(pairs.filter("same").select("hub", "doc_id").union(verified(pairs.filter("NOT same").select("hub", "doc_id"), own, words)), "links")
+    pairs = kept(_bounded(members.select("hub", "doc_id").distinct(), single, near), "pairs")
+    links = kept(pairs.filter("same").select("hub", "doc_id").union(verified(pairs.filter("NOT same").select("hub", "doc_id"), own, words, near)), "links")
     parts = components(links, "parts")
 
     # Keys whose documents are in several components: hold these against each other.
@@ -331,9 +331,9 @@ def join(docs: DataFrame, words: int = WORDS) -> DataFrame:
         "part", F.explode(F.when(F.col("stray"), F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array(F.pmod(F.hash("doc_id"), F.col("parts")))))
     )
     dealt = dealt.withColumn("tree", F.pmod(F.xxhash64("key", "part"), F.lit(4 * buckets)))
-    crossing = dealt.groupBy("tree").applyInArrow(tree_pairs, "hub long, doc_id long").distinct()
+    crossing = dealt.groupBy("tree").applyInArrow(lambda table: tree_pairs(table, near), "hub long, doc_id long").distinct()
     crossing = kept(crossing.join(pairs.select(F.least("hub", "doc_id").alias("hub"), F.greatest("hub", "doc_id").alias("doc_id")), ["hub", "doc_id"], "left_anti"), "crossing")
-    more = kept(verified(crossing, own, words), "more")
+    more = kept(verified(crossing, own, words, near), "more")
     final = components(links.union(more), "final")
 
     labelled = single.select("doc_id", F.col("n").alias("n_shingles")).join(final, "doc_id", "left")
@@ -342,9 +342,9 @@ def join(docs: DataFrame, words: int = WORDS) -> DataFrame:
     return labelled.union(unknown)
 
 
-def firsts(docs: DataFrame, words: int) -> DataFrame:
+def firsts(docs: DataFrame, words: int = 5, near: int = 80) -> DataFrame:
     """The documents that are the first of their component, with their own columns."""
-    ids = join(docs, words).filter("component_id = doc_id").select("doc_id")
+    ids = join(docs, words, near).filter("component_id = doc_id").select("doc_id")
     return docs.join(ids, "doc_id", "left_semi").select(*docs.columns)
 
 

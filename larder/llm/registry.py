@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from larder.llm import decontamination, fingerprints, language_id, ngram_join, packing, secret_scans, substring_dedup, suffix_dedup, token_counts, toxicity
 
 
@@ -21,6 +22,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_toxicity": toxicity.query,
         "op9_best_fit_packing": packing.query,
         "op10_language_id": language_id.query,
+        "pipeline": corpus_pipeline.run,
     }
 
 
