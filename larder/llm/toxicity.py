@@ -33,6 +33,7 @@ WINDOW, STRIDE = 32, 24
 WORD_BUCKETS, LETTER_BUCKETS = 8192, 2048
 EMBED, HIDDEN, ATTEND = 8, 8, 8
 EPOCHS, BATCH, RATE = 5, 128, 0.01
+LEAST_STEPS = 300
 FOLDS, HELD_OUT = 5, 0
 RESULT = "doc_id long, held_out boolean, score double, predicted int"
 
@@ -185,13 +186,14 @@ class Network:
         rng = np.random.default_rng(seed)
         first = {k: np.zeros_like(v) for k, v in self.p.items()}
         second = {k: np.zeros_like(v) for k, v in self.p.items()}
-        step = 0
-        for epoch in range(EPOCHS):
+        step, batches = 0, max(1, len(y) // BATCH)
+        epochs = max(EPOCHS, LEAST_STEPS // batches)
+        for epoch in range(epochs):
             order = rng.permutation(len(y))
-            for some in np.array_split(order, max(1, len(y) // BATCH)):
+            for some in np.array_split(order, batches):
                 step += 1
                 _, g = self.gradients(word[some], letters[some], mask[some], y[some])
-                rate = RATE / (1 + epoch)
+                rate = RATE / (1 + EPOCHS * epoch / epochs)
                 for k, v in self.p.items():
                     first[k] += 0.1 * (g[k] - first[k])
                     second[k] += 0.001 * (g[k] ** 2 - second[k])
