@@ -149,7 +149,8 @@ def _segments(prefix: np.ndarray, first: np.ndarray, window: int, gram: int) ->
         span_hash(prefix, np.maximum(anchor - half, first[:-1][text]), anchor) >> np.uint64(56),
         span_hash(prefix, anchor + gram, np.minimum(anchor + gram + half, first[1:][text])) >> np.uint64(56),
     ]
-    return start, stop, text, grams[anchor], fine, np.stack(sides, axis=1).astype(np.uint8)
+    # Anchors have low hashes; scrambled again, they fill all buckets alike.
+    return start, stop, text, mixed(grams[anchor]), fine, np.stack(sides, axis=1).astype(np.uint8)
 
 
 class Windows:
