@@ -41,10 +41,21 @@ def all_queries() -> dict[str, Query]:
     return dict(_queries)
 
 
+def _measured() -> list:
+    """Sums that change if an id, a value or its place is lost: whole numbers, so the order of adding is no matter."""
+    entry = F.col("foodNutrients")
+    cents = F.transform(entry, lambda m, k: F.round(F.coalesce(m["value"], F.lit(-1.0)) * 100).cast("long") * (k + 1))
+    return [
+        F.aggregate(F.transform(entry, lambda m, k: m["nutrientId"] * (k + 1).cast("long")), F.lit(0).cast("long"), lambda a, x: a + x).alias("id_sum"),
+        F.aggregate(cents, F.lit(0).cast("long"), lambda a, x: a + x).alias("value_sum"),
+        F.size(F.filter(entry, lambda m: m["value"].isNull())).alias("n_unread"),
+    ]
+
+
 def _documents(docs: DataFrame) -> DataFrame:
     return docs.select(
         "fdcId", "description", "dataType", "foodCategory", "sourceCollection",
-        F.size("foodNutrients").alias("n_nutrients"),
+        F.size("foodNutrients").alias("n_nutrients"), *_measured(),
     )
 
 
@@ -81,7 +92,7 @@ def scan_raw(spark, sf_dir):
 @_query
 def load_replace(spark, sf_dir):
     """Loads twice; the second load replaces the first."""
-    path = f"{ws.folder(spark, sf_dir)}/load_replace"
+    path = ws.new_folder(spark)
     landed = _landed(spark, sf_dir)
     tables.load_raw(landed, path, allow_empty=True)
     tables.load_raw(landed, path, allow_empty=True)
@@ -91,21 +102,33 @@ def load_replace(spark, sf_dir):
 @_query
 def load_append(spark, sf_dir):
     """Loads everything, then adds the foundation documents once more."""
-    path = f"{ws.folder(spark, sf_dir)}/load_append"
+    path = ws.new_folder(spark)
     tables.load_raw(ws.raw_table(spark, sf_dir), path, allow_empty=True)
-    tables.load_raw(_source(spark, sf_dir, "foundation"), path, replace=False, allow_empty=True)
+    added = _source(spark, sf_dir, "foundation")
+    tables.load_raw(added, path, replace=False, sources=["foundation"], allow_empty=True)
     return tables.count_by_source(tables.scan_raw(spark, path, ws.RAW_SCHEMA))
 
 
 @_query
 def verify_counts(spark, sf_dir):
-    return tables.verify_counts(_landed(spark, sf_dir), ws.raw_table(spark, sf_dir))
+    landed = tables.load_raw(_landed(spark, sf_dir), path := ws.new_folder(spark), allow_empty=True)
+    return tables.verify_counts(landed, tables.scan_raw(spark, path, ws.RAW_SCHEMA))
+
+
+@_query
+def load_replace_empty(spark, sf_dir):
+    """One source is emptied by a second load; the others stay."""
+    path = ws.new_folder(spark)
+    raw = ws.raw_table(spark, sf_dir)
+    tables.load_raw(raw, path, allow_empty=True)
+    tables.load_raw(raw.limit(0), path, sources=["legacy"], allow_empty=True)
+    return _documents(tables.scan_raw(spark, path, ws.RAW_SCHEMA))
 
 
 @_query
 def write_labeled(spark, sf_dir):
     labeled = ws.label_now(spark, sf_dir, DOCUMENT_PATH)
-    path = f"{ws.folder(spark, sf_dir)}/write_labeled"
+    path = ws.new_folder(spark)
     return tables.write_labeled(labeled, path).select(
         "sourceCollection", "fdcId", *FEATURES, *LABELED
     )
@@ -113,7 +136,7 @@ def write_labeled(spark, sf_dir):
 
 @_query
 def summary_to_table(spark, sf_dir):
-    path = f"{ws.folder(spark, sf_dir)}/nutrition_summary"
+    path = ws.new_folder(spark)
     summary = raw_queries.nutrition_summary(_source(spark, sf_dir, "legacy"))
     return raw_queries.nutrition_summary_long(tables.write_table(summary, path))
 
@@ -340,19 +363,16 @@ def rf_importances(spark, sf_dir):
 
 @_query
 def gbt_metrics(spark, sf_dir):
-    """Trained with 20 boosting rounds; the library default is 100."""
     return ws.boosted_trees(spark, sf_dir).metrics
 
 
 @_query
 def gbt_predictions(spark, sf_dir):
-    """Trained with 20 boosting rounds; the library default is 100."""
     return prediction_rows(ws.boosted_trees(spark, sf_dir).predictions)
 
 
 @_query
 def gbt_importances(spark, sf_dir):
-    """Trained with 20 boosting rounds; the library default is 100."""
     return ws.boosted_trees(spark, sf_dir).importances
 
 

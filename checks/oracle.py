@@ -48,7 +48,7 @@ measures AS (
   SELECT l_partkey, CAST(l_linenumber % 7 AS INTEGER) AS slot,
          CAST((l_orderkey + l_linenumber) % 12 AS INTEGER) AS kind,
          MAX(CASE WHEN l_tax = 0.08 AND l_discount = 0.1 THEN NULL ELSE l_extendedprice END) AS price
-  FROM lineitem WHERE l_linestatus = 'F' AND l_partkey % 50 <> 7
+  FROM lineitem WHERE l_partkey % 50 <> 7
   GROUP BY 1, 2, 3
 ),
 named AS (
@@ -132,14 +132,18 @@ labeled_last AS (
   FROM rated
 )"""
 
-_counted = f"""
-SELECT d.fdcId, description, dataType, foodCategory, sourceCollection,
-       COALESCE(n, 0) AS n_nutrients
+_counted = """
+SELECT d.fdcId, d.description, d.dataType, d.foodCategory, d.sourceCollection,
+       CAST(COUNT(pos) AS INTEGER) AS n_nutrients,
+       CAST(COALESCE(SUM(nutrientId * place), 0) AS BIGINT) AS id_sum,
+       CAST(COALESCE(SUM(CAST(ROUND(COALESCE(value, -1) * 100) AS BIGINT) * place), 0) AS BIGINT) AS value_sum,
+       CAST(COUNT(pos) - COUNT(value) AS INTEGER) AS n_unread
 FROM docs d LEFT JOIN (
-  SELECT l_partkey, 0 AS half, CAST(COUNT(*) AS INTEGER) AS n FROM named GROUP BY l_partkey
-  UNION ALL
-  SELECT l_partkey, 1 AS half, CAST(COUNT(*) AS INTEGER) AS n FROM named WHERE slot % 2 = 0 GROUP BY l_partkey
-) sizes ON d.fdcId = l_partkey AND copy = half"""
+  SELECT fdcId, copy, pos, nutrientId, value,
+         ROW_NUMBER() OVER (PARTITION BY fdcId, copy ORDER BY pos) AS place
+  FROM facts
+) f ON d.fdcId = f.fdcId AND d.copy = f.copy
+GROUP BY d.copy, d.fdcId, d.description, d.dataType, d.foodCategory, d.sourceCollection"""
 
 _summary = f"""
 SELECT g.foodCategory, nutrient, avg_value, count,
@@ -225,6 +229,7 @@ _parts = {
     "read_snapshot": (DOCS, _counted),
     "scan_raw": (DOCS, _counted),
     "load_replace": (DOCS, _counted),
+    "load_replace_empty": (DOCS, _counted.replace("FROM docs d", "FROM (SELECT * FROM docs WHERE sourceCollection <> 'legacy') d")),
     "load_append": (DOCS, """
 SELECT sourceCollection, COUNT(*) * (CASE WHEN sourceCollection = 'foundation' THEN 2 ELSE 1 END) AS row_count
 FROM docs GROUP BY sourceCollection"""),

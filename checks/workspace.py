@@ -23,9 +23,6 @@ COPY = (StructField("copy", IntegerType()),)
 RAW_SCHEMA = raw_schema(COPY)
 SNAPSHOT_DATE = "2026-03-05"
 
-# Boosting rounds of the checked keys; the library default is 100.
-BOOSTING_ROUNDS = 20
-
 _made: dict[tuple, object] = {}
 
 
@@ -40,6 +37,11 @@ def folder(spark: SparkSession, sf_dir: str) -> str:
     return once(spark, sf_dir, "folder", lambda: shared_folder(spark))
 
 
+def new_folder(spark: SparkSession) -> str:
+    """A folder for one call, so that a later call leaves this one's rows alone."""
+    return shared_folder(spark)
+
+
 def raw_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The nested documents of all sources."""
 
@@ -90,7 +92,5 @@ def boosted_trees(spark: SparkSession, sf_dir: str) -> Trained:
         spark,
         sf_dir,
         "boosted",
-        lambda: train_gradient_boosted_trees(
-            labeled_by_spark(spark, sf_dir), max_iter=BOOSTING_ROUNDS
-        ),
+        lambda: train_gradient_boosted_trees(labeled_by_spark(spark, sf_dir)),
     )

@@ -1,4 +1,4 @@
-"""``spark-submit`` entry: run the whole batch for one snapshot date."""
+"""``spark-submit`` entry: run the batch, or some steps of it, for one snapshot date."""
 
 from __future__ import annotations
 
@@ -6,8 +6,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from larder.plans.labelling import DOCUMENT_PATH, SPARK_PATH
-from larder.plans.pipeline import run_pipeline
+from larder.plans.pipeline import STEPS, Job, run_pipeline
 
 
 def main() -> None:
@@ -16,14 +15,14 @@ def main() -> None:
     parser.add_argument("--warehouse", required=True, help="folder of the Parquet tables")
     parser.add_argument("--output", required=True, help="folder of the published results")
     parser.add_argument("--date", required=True, help="snapshot date, YYYY-MM-DD")
-    parser.add_argument("--path", choices=("document", "spark"), default="spark")
+    parser.add_argument("--one-array", action="store_true", help="snapshots are one JSON array a source")
+    parser.add_argument("--first", choices=STEPS, default="ingest", help="step to start at")
+    parser.add_argument("--last", choices=STEPS, default="publish", help="step to end with")
     args = parser.parse_args()
     spark = SparkSession.builder.appName("larder").getOrCreate()
-    options = DOCUMENT_PATH if args.path == "document" else SPARK_PATH
-    finished = run_pipeline(
-        spark, args.landing, args.warehouse, args.output, args.date, options=options
-    )
-    finished.comparison.show(truncate=False)
+    job = Job(args.landing, args.warehouse, args.output, args.date, args.one_array)
+    for name, found in run_pipeline(spark, job, args.first, args.last).items():
+        print(name, *found, sep="\n  ")
     spark.stop()
 
 

@@ -61,12 +61,12 @@ def confusion_metrics(scored: DataFrame) -> DataFrame:
 
 
 def classification_metrics(
-    scored: DataFrame, places: int = 4, num_bins: int = 1000
+    scored: DataFrame, places: int = 4, num_bins: int = 0
 ) -> DataFrame:
     """Five rounded metrics of ``label``, ``prediction`` and ``rawPrediction``.
 
-    ``num_bins`` is the library default for the area under the curve; 0 keeps
-    every distinct score.
+    The area under the curve is exact: 0 bins keep every distinct score. A
+    positive ``num_bins`` merges neighbouring scores where there are more.
     """
     auc = BinaryClassificationEvaluator(
         labelCol="label", rawPredictionCol="rawPrediction", numBins=num_bins

@@ -11,20 +11,29 @@ from larder.config import FOODS, NUTRIENT_IDS, Layout
 from larder.functions.nested import first_match, lookups, repeats_resolved
 
 
+def zipped(measures: F.Column, fields: Sequence[str]) -> F.Column:
+    """The array with these fields only; taken apart before a generator, the others need not be read."""
+    return F.arrays_zip(*[measures[name].alias(name) for name in fields])
+
+
 def unnest(
     docs: DataFrame,
     ids: Iterable[int] | None = None,
     *,
     keep_empty: bool = False,
+    fields: Sequence[str] | None = None,
     layout: Layout = FOODS,
 ) -> DataFrame:
     """One row per measurement, optionally of the given ids only.
 
     Documents left without a measurement disappear, or stay as one row of null
-    measurement fields with ``keep_empty``.
+    measurement fields with ``keep_empty``. With ``fields`` the scan reads only
+    these of a measurement.
     """
     others = [c for c in docs.columns if c != layout.array]
     measures = F.col(layout.array)
+    if fields is not None:
+        measures = zipped(measures, fields)
     if keep_empty:
         if ids is not None:
             wanted = list(ids)

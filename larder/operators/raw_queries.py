@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from larder.config import COMPARED_IDS, FOODS, NUTRIENT_IDS, Layout
 from larder.functions.nested import first_match
 from larder.functions.rounding import rounded
-from larder.operators.nested import unnest
+from larder.operators.nested import unnest, zipped
 
 
 def of_source(docs: DataFrame, source: str, layout: Layout = FOODS) -> DataFrame:
@@ -60,9 +60,10 @@ def nutrition_summary(
     # The first match is found in its own step: next to the generator it would
     # be evaluated once per measurement.
     first = first_match(F.col(layout.array)[layout.measure_id], ids)
+    used = zipped(F.col(layout.array), _used(layout))
     rows = (
-        docs.select(layout.category, layout.array, first.alias("_first"))
-        .select(layout.category, "_first", F.posexplode(layout.array).alias("_pos", "_m"))
+        docs.select(layout.category, used.alias("_used"), first.alias("_first"))
+        .select(layout.category, "_first", F.posexplode("_used").alias("_pos", "_m"))
         .where(F.col("_m")[layout.measure_id].isin(ids))
     )
     per_name = rows.groupBy(
@@ -91,9 +92,13 @@ def nutrition_summary_long(summary: DataFrame, layout: Layout = FOODS) -> DataFr
     )
 
 
+def _used(layout: Layout) -> tuple[str, ...]:
+    return layout.measure_id, layout.measure_name, layout.value
+
+
 def _means(docs: DataFrame, ids: Iterable[int], ties: str, layout: Layout) -> DataFrame:
     return (
-        unnest(docs.select(layout.category, layout.array), ids, layout=layout)
+        unnest(docs.select(layout.category, layout.array), ids, fields=_used(layout), layout=layout)
         .groupBy(layout.category, F.col(layout.measure_name).alias("nutrient"))
         .agg(rounded(F.avg(layout.value), 2, ties).alias("avg_value"))
     )
@@ -131,7 +136,7 @@ def cross_source_comparison(
 ) -> DataFrame:
     """Mean, extremes and count of each measurement name per source."""
     return (
-        unnest(docs.select(layout.source, layout.array), ids, layout=layout)
+        unnest(docs.select(layout.source, layout.array), ids, fields=_used(layout), layout=layout)
         .groupBy(layout.source, layout.measure_name)
         .agg(
             F.avg(layout.value).alias("avg_value"),

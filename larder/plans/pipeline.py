@@ -1,18 +1,20 @@
-"""The whole batch: snapshots to tables, queries, models and outputs."""
+"""The batch in steps: each starts from the tables that the ones before have written."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, Row, SparkSession
 
+from larder.config import DATASETS
+from larder.operators import labeled_queries, raw_queries
 from larder.operators.models import (
     compare_models,
     train_gradient_boosted_trees,
     train_random_forest,
 )
-from larder.plans.labelling import SPARK_PATH, LabelOptions, label_foods
+from larder.plans.labelling import DOCUMENT_PATH, SPARK_PATH, label_foods
 from larder.plans.sql_catalog import run_catalog, time_queries
 from larder.sources.results import (
     check_outputs,
@@ -22,58 +24,114 @@ from larder.sources.results import (
     write_timing,
 )
 from larder.sources.snapshots import read_sources
-from larder.sources.tables import load_raw, scan_raw, verify_counts, write_labeled
+from larder.sources.tables import (
+    load_raw,
+    scan_labeled,
+    scan_raw,
+    verify_counts,
+    write_labeled,
+    write_table,
+)
 
 
 @dataclass(frozen=True)
-class Finished:
-    counts: DataFrame
-    labeled: DataFrame
-    comparison: DataFrame
-    outputs: list[str]
-
-
-def run_pipeline(
-    spark: SparkSession,
-    landing: str,
-    warehouse: str,
-    output: str,
-    snapshot_date: str,
-    *,
-    options: LabelOptions = SPARK_PATH,
-    num_trees: int = 100,
-    max_iter: int = 100,
-) -> Finished:
-    """Load one date's snapshots, label once, query, train and publish.
-
-    Each table is a point to restart from: later steps read what earlier ones
-    wrote and never go back further.
-    """
-    landed = read_sources(spark, landing, snapshot_date)
-    raw_path = f"{warehouse}/raw_foods"
-    load_raw(landed, raw_path)
-    raw = scan_raw(spark, raw_path)
-    counts = verify_counts(landed, raw)
-    if not counts.where(~F.col("matches")).isEmpty():
+class Job:
+    """Where a run reads and writes, and its settings."""
+
+    landing: str
+    warehouse: str
+    output: str
+    snapshot_date: str
+    one_array: bool = False
+    num_trees: int = 100
+    max_iter: int = 100
+
+    @property
+    def raw(self) -> str:
+        return f"{self.warehouse}/raw_foods"
+
+    @property
+    def by_document(self) -> str:
+        return f"{self.warehouse}/labeled_by_document"
+
+    @property
+    def by_spark(self) -> str:
+        return f"{self.warehouse}/labeled_foods"
+
+
+def ingest(spark: SparkSession, job: Job) -> list[Row]:
+    """Load one date's snapshots; landed and loaded rows of each source."""
+    landed = read_sources(spark, job.landing, job.snapshot_date, one_array=job.one_array)
+    counts = verify_counts(load_raw(landed, job.raw), scan_raw(spark, job.raw)).collect()
+    if not all(row["matches"] for row in counts):
         raise RuntimeError("the raw table does not hold what was landed")
+    return counts
+
 
-    labeled = write_labeled(
-        label_foods(raw, options), f"{warehouse}/labeled_foods", rebalance=not options.shuffles
-    )
+def label(spark: SparkSession, job: Job) -> list[str]:
+    """Label the raw table on both paths."""
+    for options, path in ((DOCUMENT_PATH, job.by_document), (SPARK_PATH, job.by_spark)):
+        write_labeled(label_foods(scan_raw(spark, job.raw), options), path, rebalance=not options.shuffles)
+    return [job.by_document, job.by_spark]
 
-    timing = time_queries(spark, run_catalog(spark, labeled))
-    write_timing(timing, f"{output}/query_timing.json")
 
-    forest = train_random_forest(labeled, num_trees=num_trees)
-    write_metrics(forest.metrics, f"{output}/rf_model_metrics.json")
-    write_predictions(forest.predictions, f"{output}/rf_predictions.csv")
+def query(spark: SparkSession, job: Job) -> list[str]:
+    """Write the answers over raw documents and labelled rows, and time the catalogue."""
+    raw = scan_raw(spark, job.raw)
+    results: dict[str, DataFrame] = {"cross_source": raw_queries.cross_source_comparison(raw)}
+    for name in (d.name for d in DATASETS.values()):
+        own = raw_queries.of_source(raw, name)
+        results[f"count_{name}"] = raw_queries.count_foods_by_category(own)
+        results[f"summary_{name}"] = raw_queries.nutrition_summary(own)
+        results[f"means_{name}"] = raw_queries.avg_nutrients_by_category(own)
+    labeled = scan_labeled(spark, job.by_document)
+    results["healthy_by_category"] = labeled_queries.healthy_by_category_long(labeled)
+    results["score_by_source"] = labeled_queries.avg_score_by_source(labeled)
+    results["healthiest_and_least"] = labeled_queries.healthiest_and_least(labeled)
+    paths = []
+    for name, result in results.items():
+        paths.append(f"{job.warehouse}/queries/{name}")
+        write_table(result, paths[-1])
+    timing = time_queries(spark, run_catalog(spark, scan_labeled(spark, job.by_spark)))
+    write_timing(timing, f"{job.output}/query_timing.json")
+    return paths
 
-    boosted = train_gradient_boosted_trees(labeled, max_iter=max_iter)
-    write_metrics(boosted.metrics, f"{output}/gbt_model_metrics.json")
-    write_predictions(boosted.predictions, f"{output}/gbt_predictions.csv")
+
+def train(spark: SparkSession, job: Job) -> list[Row]:
+    """Train, score and compare both models."""
+    labeled = scan_labeled(spark, job.by_spark)
+    forest = train_random_forest(labeled, num_trees=job.num_trees)
+    write_metrics(forest.metrics, f"{job.output}/rf_model_metrics.json")
+    write_predictions(forest.predictions, f"{job.output}/rf_predictions.csv")
+
+    boosted = train_gradient_boosted_trees(labeled, max_iter=job.max_iter)
+    write_metrics(boosted.metrics, f"{job.output}/gbt_model_metrics.json")
+    write_predictions(boosted.predictions, f"{job.output}/gbt_predictions.csv")
 
     comparison = compare_models(forest.metrics, boosted.metrics)
-    write_comparison(comparison, f"{output}/model_comparison.json")
+    write_comparison(comparison, f"{job.output}/model_comparison.json")
+    rows = comparison.collect()
     forest.release()
     boosted.release()
-    return Finished(counts, labeled, comparison, check_outputs(spark, output))
+    return rows
+
+
+def publish(spark: SparkSession, job: Job) -> list[str]:
+    """The published outputs, all committed and none empty."""
+    return check_outputs(spark, job.output)
+
+
+STEPS: dict[str, Callable[[SparkSession, Job], list]] = {
+    "ingest": ingest,
+    "label": label,
+    "query": query,
+    "train": train,
+    "publish": publish,
+}
+
+
+def run_pipeline(spark: SparkSession, job: Job, first: str = "ingest", last: str = "publish") -> dict[str, list]:
+    """Run the steps from the first to the last; what each returned."""
+    names = list(STEPS)
+    chosen = names[names.index(first) : names.index(last) + 1]
+    return {name: STEPS[name](spark, job) for name in chosen}

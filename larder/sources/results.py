@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,11 +60,15 @@ def write_predictions(predictions: DataFrame, path: str) -> None:
 
 
 def check_outputs(spark: SparkSession, folder: str) -> list[str]:
-    """Paths of all outputs; fails when one is missing."""
+    """Paths of all outputs; fails unless each is a committed write with data."""
     paths = [f"{folder}/{name}" for name in OUTPUTS]
+    jvm, settings = spark._jvm, spark._jsc.hadoopConfiguration()  # readers hide the commit mark
     for path in paths:
-        try:
-            spark.read.text(path)
-        except AnalysisException as error:
-            raise FileNotFoundError(f"output missing: {path}") from error
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        files = place.getFileSystem(settings)
+        if not files.exists(place):
+            raise FileNotFoundError(f"output missing: {path}")
+        committed = files.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS"))
+        if not committed or not files.getContentSummary(place).getLength():
+            raise FileNotFoundError(f"output not committed or empty: {path}")
     return paths

@@ -16,6 +16,11 @@ def snapshot_path(root: str, dataset: Dataset, snapshot_date: str) -> str:
     return f"{root}/{dataset.landing}/snapshot_date={snapshot_date}"
 
 
+def array_path(root: str, dataset: Dataset, snapshot_date: str) -> str:
+    """Where a source lands one JSON array a date."""
+    return f"{root}/{dataset.landing}/{snapshot_date}.json"
+
+
 def land_snapshot(
     docs: DataFrame, root: str, dataset: Dataset, snapshot_date: str, layout: Layout = FOODS
 ) -> str:
@@ -56,12 +61,14 @@ def read_sources(
     snapshot_date: str,
     datasets: Iterable[Dataset] = tuple(DATASETS.values()),
     *,
+    one_array: bool = False,
     extra: Extra = (),
     layout: Layout = FOODS,
 ) -> DataFrame:
-    """The snapshots of one date, each tagged with its source."""
+    """The snapshots of one date, each tagged with its source; ``one_array`` reads one JSON array a source."""
+    place = array_path if one_array else snapshot_path
     tagged = [
-        read_snapshot(spark, snapshot_path(root, d, snapshot_date), extra=extra, layout=layout)
+        read_snapshot(spark, place(root, d, snapshot_date), one_array=one_array, extra=extra, layout=layout)
         .withColumn(layout.source, F.lit(d.name))
         for d in datasets
     ]

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from larder.config import FOODS, Layout
+from larder.config import DATASETS, FOODS, Layout
 from larder.sources.schemas import labeled_schema, raw_schema
 
 
@@ -16,21 +18,27 @@ def load_raw(
     *,
     replace: bool = True,
     allow_empty: bool = False,
+    sources: Sequence[str] | None = None,
     layout: Layout = FOODS,
-) -> None:
-    """Load tagged documents into the raw table.
+) -> DataFrame:
+    """Load tagged documents into the raw table; the rows loaded of each source.
 
-    ``replace`` swaps the partitions of the sources present in ``docs`` when
-    the write commits and leaves other sources alone; otherwise rows are
-    added. An empty input is refused, so a failed landing cannot go unnoticed.
+    ``replace`` swaps the partitions of ``sources``, those of the registry if
+    not given, and leaves other sources alone; an empty one is refused before
+    anything is written, or with ``allow_empty`` its old rows go. Otherwise rows
+    are added, and refused only if there are none. All sources are counted first,
+    so that malformed input fails before anything is replaced.
     """
-    if not allow_empty and docs.isEmpty():
-        raise ValueError("no documents to load")
-    writer = docs.write.partitionBy(layout.source)
-    if replace:
-        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
-    else:
-        writer.mode("append").parquet(path)
+    named = tuple(d.name for d in DATASETS.values()) if sources is None else tuple(sources)
+    parts = {name: docs.where(F.col(layout.source) == name) for name in named}
+    counts = {name: part.count() for name, part in parts.items()}
+    empty = [name for name, n in counts.items() if not n]
+    if not allow_empty and empty and (replace or len(empty) == len(parts)):
+        raise ValueError(f"no documents to load of {', '.join(empty)}")
+    for name, part in parts.items():
+        writer = part.drop(layout.source).write.mode("overwrite" if replace else "append")
+        writer.parquet(f"{path}/{layout.source}={name}")
+    return docs.sparkSession.createDataFrame(list(counts.items()), f"{layout.source} string, landed long")
 
 
 def scan_raw(
@@ -44,13 +52,13 @@ def count_by_source(docs: DataFrame, name: str = "row_count", layout: Layout = F
 
 
 def verify_counts(landed: DataFrame, loaded: DataFrame, layout: Layout = FOODS) -> DataFrame:
-    """Landed and loaded documents per source, and whether they agree."""
-    before = count_by_source(landed, "landed", layout).withColumn("loaded", F.lit(0))
-    after = count_by_source(loaded, "loaded", layout).withColumn("landed", F.lit(0))
+    """Rows counted before loading, rows in the table, and whether they agree.
+
+    ``landed`` is what :func:`load_raw` returned, so the landing is not read again.
+    """
     return (
-        before.unionByName(after)
-        .groupBy(layout.source)
-        .agg(F.sum("landed").alias("landed"), F.sum("loaded").alias("loaded"))
+        landed.join(F.broadcast(count_by_source(loaded, "loaded", layout)), layout.source, "left")
+        .withColumn("loaded", F.coalesce("loaded", F.lit(0)))
         .withColumn("matches", F.col("landed") == F.col("loaded"))
     )
 
@@ -60,9 +68,10 @@ def write_labeled(labeled: DataFrame, path: str, *, rebalance: bool = False) ->
 
     ``rebalance`` evens out the files. Rows labelled per document were never
     shuffled, and a labelled row is far smaller than its document, so every
-    scan task would leave two small files.
+    scan task would leave two small files; with it a task writes one partition,
+    and adaptive execution splits the larger one.
     """
-    rows = labeled.hint("rebalance") if rebalance else labeled
+    rows = labeled.hint("rebalance", "isHealthy") if rebalance else labeled
     rows.write.mode("overwrite").partitionBy("isHealthy").parquet(path)
     return scan_labeled(labeled.sparkSession, path, labeled.schema)
 

@@ -3,7 +3,9 @@
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from checks.catalog import all_queries as queries
+from checks.oracle import all_sql as oracle_sql
 from checks.compare import differences, duck
 
 GIVEN = "/root/testdata/sf0.001"

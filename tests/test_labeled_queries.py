@@ -59,8 +59,18 @@ def test_catalog(spark, labeled):
 
 
 def test_own_queries_can_be_added_and_timed(spark, labeled):
-    own = {"rows": "SELECT count(*) AS n FROM larder_rows"}
-    results = run_catalog(spark, labeled, own, view="larder_rows")
+    own = {"rows": "SELECT count(*) AS n FROM {foods}"}
+    results = run_catalog(spark, labeled, own)
     assert results["rows"].first()["n"] == 5
     timing = time_queries(spark, results).collect()
     assert [r["query"] for r in timing] == ["rows"] and timing[0]["elapsed_s"] >= 0
+
+
+def test_two_labelled_sets_side_by_side(spark, labeled):
+    few = run_catalog(spark, labeled.limit(0), {"rows": "SELECT count(*) AS n FROM {foods} WHERE protein > :least_protein"})
+    all_rows = run_catalog(spark, labeled, {"rows": "SELECT count(*) AS n FROM {foods} WHERE protein > :least_protein"}, {"least_protein": 24})
+    assert (few["rows"].first()["n"], all_rows["rows"].first()["n"]) == (0, 3)
+    top = run_catalog(spark, labeled, bounds={"limit": 1, "least_protein": 20, "most_fat": 2})
+    assert ids(labeled.join(top["high_protein_low_fat"], "description")) == [1]
+    assert run_catalog(spark, labeled.limit(0))["count_by_category"].count() == 0
+    assert not spark.catalog.tableExists("foods")

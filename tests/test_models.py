@@ -9,7 +9,7 @@ from larder.config import DATASETS, FEATURES
 from larder.operators import models
 from larder.operators.evaluation import classification_metrics, confusion_metrics
 from larder.plans.labelling import SPARK_PATH
-from larder.plans.pipeline import run_pipeline
+from larder.plans.pipeline import STEPS, Job, ingest, run_pipeline
 from larder.sources import snapshots
 from larder.sources.results import OUTPUTS, check_outputs, write_predictions
 
@@ -149,11 +149,13 @@ def test_whole_job(spark, raw, tmp_path):
     landing, warehouse, output = (tmp_path / n for n in ("landing", "warehouse", "output"))
     for dataset in DATASETS.values():
         snapshots.land_snapshot(raw, str(landing), dataset, DATE)
-    finished = run_pipeline(
-        spark, str(landing), str(warehouse), str(output), DATE, num_trees=5, max_iter=2
-    )
-    assert finished.outputs == [f"{output}/{name}" for name in OUTPUTS]
-    assert all(r["matches"] for r in finished.counts.collect())
+    job = Job(str(landing), str(warehouse), str(output), DATE, num_trees=5, max_iter=2)
+    found = {}
+    for step in STEPS:  # each by itself, from what the ones before wrote
+        found |= run_pipeline(spark, job, step, step)
+    assert found["publish"] == [f"{output}/{name}" for name in OUTPUTS]
+    assert [tuple(r)[1:] for r in found["ingest"]] and all(r["landed"] == r["loaded"] > 0 for r in found["ingest"])
+    assert all(spark.read.parquet(path).columns for path in found["label"] + found["query"])
 
     forest = read_object(output / "rf_model_metrics.json")
     comparison = read_object(output / "model_comparison.json")
@@ -179,6 +181,40 @@ def test_prediction_files_double_quotes_inside_a_field(spark, tmp_path):
     assert (read["description"], read["foodCategory"], read["label"]) == ('12" pie, "plain"', "", "1.0")
 
 
+def test_ingest_reads_one_array_a_source(spark, raw, tmp_path):
+    for dataset in DATASETS.values():
+        folder = tmp_path / "landing" / dataset.landing
+        folder.mkdir(parents=True)
+        rows = raw.where(F.col("sourceCollection") == dataset.name).drop("sourceCollection").toJSON().collect()
+        (folder / f"{DATE}.json").write_text(f"[{','.join(rows)}]")
+    job = Job(str(tmp_path / "landing"), str(tmp_path / "warehouse"), str(tmp_path / "output"), DATE, one_array=True)
+    assert sum(r["loaded"] for r in ingest(spark, job)) == raw.count()
+
+
+@pytest.mark.parametrize("mark", [False, True])
+def test_empty_or_uncommitted_outputs_are_errors(spark, tmp_path, mark):
+    for name in OUTPUTS:
+        (tmp_path / name).mkdir()
+        if mark:
+            (tmp_path / name / "_SUCCESS").touch()
+        else:
+            (tmp_path / name / "part-0").write_text("{}")
+    with pytest.raises(FileNotFoundError):
+        check_outputs(spark, str(tmp_path))
+
+
+def test_area_is_exact_above_two_thousand_scores(spark):
+    rows = spark.range(5000).selectExpr("CAST(hash(id) % 2 = 0 AS DOUBLE) AS label", "CAST(pmod(hash(id, 1), 4000) AS DOUBLE) AS rawPrediction", "1.0D AS prediction")
+    pairs = rows.collect()
+    scores = {1.0: sorted(r.rawPrediction for r in pairs if r.label), 0.0: sorted(r.rawPrediction for r in pairs if not r.label)}
+    from bisect import bisect_left, bisect_right
+
+    wins = sum(bisect_left(scores[0.0], s) + bisect_right(scores[0.0], s) for s in scores[1.0]) / 2
+    expected = wins / len(scores[0.0]) / len(scores[1.0])
+    found = {r["metric"]: r["value"] for r in classification_metrics(rows, places=12).collect()}
+    assert found["auc"] == pytest.approx(expected, abs=1e-9)
+
+
 def test_missing_output_is_an_error(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         check_outputs(spark, str(tmp_path))

@@ -72,7 +72,7 @@ def test_replace_touches_only_the_sources_loaded(spark, docs, foods, tmp_path):
     tables.load_raw(docs, path)
     tables.load_raw(docs, path)
     assert tables.scan_raw(spark, path).count() == 4
-    tables.load_raw(foods((7, "Z", "survey", FULL)), path)
+    tables.load_raw(foods((7, "Z", "survey", FULL)), path, sources=["survey"])
     counts = {r[0]: r[1] for r in tables.count_by_source(tables.scan_raw(spark, path)).collect()}
     assert counts == {"survey": 1, "legacy": 1, "foundation": 1}
 
@@ -90,13 +90,20 @@ def test_empty_input_is_refused_and_leaves_the_table(spark, docs, tmp_path):
     tables.load_raw(docs, path)
     with pytest.raises(ValueError):
         tables.load_raw(docs.limit(0), path)
-    tables.load_raw(docs.limit(0), path, allow_empty=True)
+    with pytest.raises(ValueError, match="legacy"):
+        tables.load_raw(docs.where("sourceCollection <> 'legacy'"), path)
     assert tables.scan_raw(spark, path).count() == 4
+    tables.load_raw(docs.limit(0), path, sources=["legacy"], allow_empty=True)
+    counts = {r[0]: r[1] for r in tables.count_by_source(tables.scan_raw(spark, path)).collect()}
+    assert counts == {"survey": 2, "foundation": 1}
+    tables.load_raw(docs.limit(0), path, allow_empty=True)
+    assert tables.scan_raw(spark, path).count() == 0
 
 
 def test_counts_that_disagree_show(docs):
     loaded = docs.where("fdcId <> 2")
-    got = {r["sourceCollection"]: tuple(r)[1:] for r in tables.verify_counts(docs, loaded).collect()}
+    landed = tables.count_by_source(docs, "landed")
+    got = {r["sourceCollection"]: tuple(r)[1:] for r in tables.verify_counts(landed, loaded).collect()}
     assert got == {"survey": (2, 1, False), "legacy": (1, 1, True), "foundation": (1, 1, True)}
 
 
