@@ -229,16 +229,23 @@ def tree_pairs(table: pa.Table, near: int) -> pa.Table:
     return pa.Table.from_batches([_table("hub long, doc_id long", hub=a, doc_id=b)])
 
 
-def verified(pairs: DataFrame, docs: DataFrame, words: int, near: int) -> DataFrame:
-    """The pairs (hub, doc_id) of distinct ids that link, on their whole texts."""
-    wanted = pairs.select(F.col("hub").alias("doc_id")).union(pairs.select("doc_id")).distinct()
+def packed_texts(members: DataFrame, docs: DataFrame) -> DataFrame:
+    """Compressed whole texts of all documents that share a key.
+
+    Their ids grow with the corpus, so they are not broadcast at any size.
+    """
+    wanted = members.select(F.col("hub").alias("doc_id")).union(members.select("doc_id")).distinct()
 
     def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [zlib.compress((t or "").encode(), 1) for t in batch.column("text").to_pylist()]
             yield _table("doc_id long, packed binary", doc_id=batch.column("doc_id"), packed=texts)
 
-    texts = kept(docs.join(wanted, "doc_id", "left_semi").mapInArrow(squeeze, "doc_id long, packed binary"), "texts")
+    return docs.hint("merge").join(wanted, "doc_id", "left_semi").mapInArrow(squeeze, "doc_id long, packed binary")
+
+
+def verified(pairs: DataFrame, texts: DataFrame, words: int, near: int) -> DataFrame:
+    """The pairs (hub, doc_id) of distinct ids that link, on their whole texts."""
     both = pairs.join(texts.select(F.col("doc_id").alias("hub"), F.col("packed").alias("hub_text")), "hub").join(texts, "doc_id")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -315,7 +322,8 @@ def join(docs: DataFrame, words: int = WORDS, near: int = NEAR) -> DataFrame:
     members = kept(inner.union(bucketed), "members")
 
     pairs = kept(_bounded(members.select("hub", "doc_id").distinct(), single, near), "pairs")
-    links = kept(pairs.filter("same").select("hub", "doc_id").union(verified(pairs.filter("NOT same").select("hub", "doc_id"), own, words, near)), "links")
+    texts = kept(packed_texts(members, own), "texts")
+    links = kept(pairs.filter("same").select("hub", "doc_id").union(verified(pairs.filter("NOT same").select("hub", "doc_id"), texts, words, near)), "links")
     parts = components(links, "parts")
 
     # Keys whose documents are in several components: hold these against each other.
@@ -333,7 +341,7 @@ def join(docs: DataFrame, words: int = WORDS, near: int = NEAR) -> DataFrame:
     dealt = dealt.withColumn("tree", F.pmod(F.xxhash64("key", "part"), F.lit(4 * buckets)))
     crossing = dealt.groupBy("tree").applyInArrow(lambda table: tree_pairs(table, near), "hub long, doc_id long").distinct()
     crossing = kept(crossing.join(pairs.select(F.least("hub", "doc_id").alias("hub"), F.greatest("hub", "doc_id").alias("doc_id")), ["hub", "doc_id"], "left_anti"), "crossing")
-    more = kept(verified(crossing, own, words, near), "more")
+    more = kept(verified(crossing, texts, words, near), "more")
     final = components(links.union(more), "final")
 
     labelled = single.select("doc_id", F.col("n").alias("n_shingles")).join(final, "doc_id", "left")
