@@ -10,8 +10,8 @@ likeness of ``near`` in a hundred. Shingles are hashed into groups twice:
   coordinate minima of two points bound the overlap; pairs whose bound is too
   small are not looked at again.
 
-First every document is held against the first one with its key; what survives
-the bound is verified on whole texts, and links make components. Then, only for
+First every document is held against the one that is first for most of its keys;
+what survives the bound is verified on whole texts, and links make components. Then, only for
 keys whose documents are in several components, an R-tree of the points finds
 the pairs across them. So a group of copies costs a row for each copy, not for
 each pair, and every link between components is still found.
@@ -38,13 +38,13 @@ from larder.llm.segments import BLOCK_BYTES, LEAST_BLOCKS, bucket_of, planes, un
 WORDS = 3
 NEAR = 90
 COORDINATES = 64
-GROWTH = 1.25
+GROWTH = 1.6
 MESSAGE_KEYS = 500_000
 # Documents of one key in a task's R-tree; more are dealt into parts.
 TREE_ROWS = 2048
 LEAF = 16
-SKETCH = "kind int, doc_id long, n long, digest long, point binary, bucket long, keys binary, key long, hub long"
-DOCUMENT, MESSAGE, MEMBER = 0, 1, 2
+SKETCH = "doc_id long, n long, digest long, point binary"
+MESSAGE = "bucket long, keys binary, pairs binary"
 
 
 def size_classes(largest: int) -> np.ndarray:
@@ -124,66 +124,79 @@ def _table(schema: str, **columns: object) -> pa.RecordBatch:
     return pa.record_batch([pa.array(columns[f] if f in columns else [None] * n, kinds[k]) for f, k in fields], names=[f for f, _ in fields])
 
 
-def sketches(docs: DataFrame, words: int, near: int, buckets: int) -> DataFrame:
-    """One row a document; messages of keys; and within a message, documents with the first one of their key."""
+def sketches(docs: DataFrame, words: int) -> DataFrame:
+    """Set size, digest and point of each document."""
 
-    def flushed(keys: list[np.ndarray], ids: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        key, doc = np.concatenate(keys), np.concatenate(ids)
-        order = np.lexsort((doc, key))
-        key, doc = key[order], doc[order]
-        new = np.ones(len(key), bool)
-        new[1:] = key[1:] != key[:-1]
-        hub = doc[new][np.cumsum(new) - 1]
-        other = np.flatnonzero(~new & (doc != hub))
-        yield _table(SKETCH, kind=[MEMBER] * len(other), doc_id=doc[other], key=key[other].view(np.int64), hub=hub[other])
-        key, doc = key[new], doc[new]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, raw, at in text_slices(batch):
+                hashes, first = distinct_shingles(raw, at, words)
+                sums = np.concatenate([[np.uint64(0)], np.cumsum(mixed(hashes))])
+                digest = (sums[first[1:]] - sums[first[:-1]]).view(np.int64)
+                point = [p.tobytes() for p in points(hashes, first)]
+                yield _table(SKETCH, doc_id=part.column("doc_id"), n=np.diff(first), digest=digest, point=point)
+
+    return docs.mapInArrow(run, SKETCH)
+
+
+def key_messages(docs: DataFrame, words: int, near: int, buckets: int) -> DataFrame:
+    """Keys by bucket, each once a message with its first document there; the others follow as pairs with that one."""
+
+    def flushed(keys: list[np.ndarray], ids: list[np.ndarray]) -> pa.RecordBatch:
+        key, doc, hub, new = with_hubs(np.concatenate(keys), np.concatenate(ids))
         found, begin = np.unique(bucket_of(key, buckets), return_index=True)
-        blobs = [planes(key[a:b]) + planes(doc[a:b]) for a, b in zip(begin, [*begin[1:], len(key)])]
-        yield _table(SKETCH, kind=[MESSAGE] * len(found), bucket=found, keys=blobs)
+        blobs, pairs = [], []
+        for a, b in zip(begin.tolist(), [*begin[1:].tolist(), len(key)]):
+            first, other = a + np.flatnonzero(new[a:b]), a + np.flatnonzero(~new[a:b] & (doc[a:b] != hub[a:b]))
+            blobs.append(planes(key[first]) + planes(doc[first]))
+            pairs.append(planes(key[other]) + planes(doc[other]) + planes(hub[other]))
+        return _table(MESSAGE, bucket=found, keys=blobs, pairs=pairs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, ids, held = [], [], 0
         for batch in batches:
             for part, raw, at in text_slices(batch):
-                hashes, first = distinct_shingles(raw, at, words)
-                scrambled = np.concatenate([[np.uint64(0)], np.cumsum(mixed(hashes))])
+                key, text = link_keys(*distinct_shingles(raw, at, words), near)
                 doc = part.column("doc_id").to_pylist()
-                point = points(hashes, first)
-                yield _table(
-                    SKETCH, kind=[DOCUMENT] * len(doc), doc_id=doc, n=np.diff(first),
-                    digest=(scrambled[first[1:]] - scrambled[first[:-1]]).view(np.int64), point=[p.tobytes() for p in point],
-                )
-                key, text = link_keys(hashes, first, near)
-                known = np.array([x is not None for x in doc], bool)
-                number = np.array([x or 0 for x in doc], np.int64)
-                key, text = key[known[text]], text[known[text]]
-                keys.append(key)
-                ids.append(number[text])
-                held += len(key)
+                known = np.array([x is not None for x in doc], bool)[text]
+                keys.append(key[known])
+                ids.append(np.array([x or 0 for x in doc], np.int64)[text[known]])
+                held += len(keys[-1])
                 if held >= MESSAGE_KEYS:
-                    yield from flushed(keys, ids)
+                    yield flushed(keys, ids)
                     keys, ids, held = [], [], 0
         if held:
-            yield from flushed(keys, ids)
+            yield flushed(keys, ids)
 
-    return docs.mapInArrow(run, SKETCH)
+    return docs.mapInArrow(run, MESSAGE)
 
 
-def bucket_members(table: pa.Table) -> pa.Table:
-    """Documents of a bucket with the first one that has their key."""
-    keys, docs = [], []
-    for blob in table.column("keys").to_pylist():
-        n = len(blob) // 16
-        keys.append(unplaned(memoryview(blob)[: 8 * n], np.uint64))
-        docs.append(unplaned(memoryview(blob)[8 * n :], np.int64))
-    key, doc = np.concatenate(keys), np.concatenate(docs)
+def with_hubs(key: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Rows by key and document, with the key's first document and whether the row is the first."""
     order = np.lexsort((doc, key))
     key, doc = key[order], doc[order]
     new = np.ones(len(key), bool)
     new[1:] = key[1:] != key[:-1]
-    hub = doc[new][np.cumsum(new) - 1]
+    return key, doc, doc[new][np.cumsum(new) - 1], new
+
+
+def bucket_members(table: pa.Table) -> pa.Table:
+    """Documents of a bucket with the first one that has their key, in all or in their message."""
+
+    def columns(name: str, width: int) -> list[np.ndarray]:
+        parts = [[] for _ in range(width)]
+        for blob in table.column(name).to_pylist():
+            n = len(blob) // (8 * width)
+            for k in range(width):
+                parts[k].append(unplaned(memoryview(blob)[8 * n * k : 8 * n * (k + 1)], np.uint64 if k == 0 else np.int64))
+        return [np.concatenate(x) for x in parts]
+
+    key, doc, hub, _ = with_hubs(*columns("keys", 2))
     other = np.flatnonzero(doc != hub)
-    return pa.Table.from_batches([_table("doc_id long, key long, hub long", doc_id=doc[other], key=key[other].view(np.int64), hub=hub[other])])
+    inner = columns("pairs", 3)
+    rows = {"key": (key[other], inner[0]), "doc_id": (doc[other], inner[1]), "hub": (hub[other], inner[2])}
+    rows = {k: np.concatenate(v).view(np.int64) for k, v in rows.items()}
+    return pa.Table.from_batches([_table("doc_id long, key long, hub long", **rows)])
 
 
 class Tree:
@@ -310,18 +323,19 @@ def join(docs: DataFrame, words: int = WORDS, near: int = NEAR) -> DataFrame:
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     total = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(LEAST_BLOCKS, -(-total // BLOCK_BYTES))
-    sketch = kept(sketches(own, words, near, buckets), "sketch")
-    found = sketch.filter(F.col("kind") == DOCUMENT)
+    found = kept(sketches(own, words), "sketch")
     # One set for each id: the largest, if rows repeat.
     each = Window.partitionBy("doc_id").orderBy(F.col("n").desc(), "digest")
     single = found.filter("doc_id IS NOT NULL").select("doc_id", "n", "digest", "point")
     single = single.withColumn("rank", F.row_number().over(each)).filter("rank = 1").drop("rank")
-    messages = sketch.filter(F.col("kind") == MESSAGE).select("bucket", "keys")
-    bucketed = messages.groupBy("bucket").applyInArrow(bucket_members, "doc_id long, key long, hub long")
-    inner = sketch.filter(F.col("kind") == MEMBER).select("doc_id", "key", "hub")
-    members = kept(inner.union(bucketed), "members")
-
-    pairs = kept(_bounded(members.select("hub", "doc_id").distinct(), single, near), "pairs")
+    messages = key_messages(own, words, near, buckets)
+    members = kept(messages.groupBy("bucket").applyInArrow(bucket_members, "doc_id long, key long, hub long"), "members")
+
+    # Each document with the one that is first for most of its keys.
+    shared = members.groupBy("doc_id", "hub").agg(F.count("*").alias("keys"))
+    likeliest = shared.groupBy("doc_id").agg(F.max(F.struct("keys", (-F.col("hub")).alias("minus"))).alias("best"))
+    likeliest = likeliest.select((-F.col("best.minus")).alias("hub"), "doc_id")
+    pairs = kept(_bounded(likeliest, single, near), "pairs")
     texts = kept(packed_texts(members, own), "texts")
     links = kept(pairs.filter("same").select("hub", "doc_id").union(verified(pairs.filter("NOT same").select("hub", "doc_id"), texts, words, near)), "links")
     parts = components(links, "parts")
