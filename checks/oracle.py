@@ -145,20 +145,22 @@ FROM docs d LEFT JOIN (
 ) f ON d.fdcId = f.fdcId AND d.copy = f.copy
 GROUP BY d.copy, d.fdcId, d.description, d.dataType, d.foodCategory, d.sourceCollection"""
 
-_summary = f"""
-SELECT g.foodCategory, nutrient, avg_value, count,
-       COUNT(*) OVER (PARTITION BY g.foodCategory) AS nutrient_groups, food_count
+_long = f"""
+SELECT g.sourceCollection, g.foodCategory, nutrient, avg_value, count,
+       COUNT(*) OVER (PARTITION BY g.sourceCollection, g.foodCategory) AS nutrient_groups, food_count
 FROM (
-  SELECT foodCategory, nutrientName AS nutrient, ROUND_EVEN(AVG(value), 2) AS avg_value, COUNT(*) AS count
-  FROM facts WHERE sourceCollection = 'legacy' AND nutrientId IN ({KEY_IDS})
-  GROUP BY foodCategory, nutrientName
+  SELECT sourceCollection, foodCategory, nutrientName AS nutrient,
+         ROUND_EVEN(AVG(value), 2) AS avg_value, COUNT(*) AS count
+  FROM facts WHERE nutrientId IN ({KEY_IDS})
+  GROUP BY sourceCollection, foodCategory, nutrientName
 ) g JOIN (
-  SELECT foodCategory, COUNT(*) AS food_count FROM docs d
-  WHERE sourceCollection = 'legacy' AND EXISTS (
+  SELECT sourceCollection, foodCategory, COUNT(*) AS food_count FROM docs d
+  WHERE EXISTS (
     SELECT 1 FROM named n WHERE n.l_partkey = d.fdcId AND (d.copy = 0 OR n.slot % 2 = 0)
       AND nutrientId IN ({KEY_IDS}))
-  GROUP BY foodCategory
-) c ON g.foodCategory IS NOT DISTINCT FROM c.foodCategory"""
+  GROUP BY sourceCollection, foodCategory
+) c ON g.sourceCollection = c.sourceCollection AND g.foodCategory IS NOT DISTINCT FROM c.foodCategory"""
+_summary = f"SELECT * EXCLUDE sourceCollection FROM ({_long}) WHERE sourceCollection = 'legacy'"
 
 
 def _top(source: str, nutrient_id: int) -> str:
@@ -238,6 +240,40 @@ SELECT sourceCollection, COUNT(*) AS landed, COUNT(*) AS loaded, TRUE AS matches
 FROM docs GROUP BY sourceCollection"""),
     "write_labeled": (LABELED_MAX, _labeled_max),
     "summary_to_table": (DOCS, _summary),
+    "nutrition_summary_all_sources": (DOCS, _long),
+    "nutrition_summary_nested": (DOCS, f"""
+SELECT foodCategory, string_agg(printf('%s=%.2f/%d', nutrient, avg_value, count), '; ' ORDER BY nutrient) AS nutrients,
+       any_value(nutrient_groups) AS nutrient_groups, any_value(food_count) AS food_count
+FROM ({_summary}) GROUP BY foodCategory"""),
+    "count_foods_all_sources": (DOCS, """
+SELECT sourceCollection, foodCategory, COUNT(*) AS count FROM docs GROUP BY 1, 2"""),
+    "avg_nutrients_all_sources": (DOCS, f"""
+SELECT sourceCollection, foodCategory, nutrientName AS nutrient, ROUND_EVEN(AVG(value), 2) AS avg_value
+FROM facts WHERE nutrientId IN ({MAIN_IDS}) GROUP BY 1, 2, 3"""),
+    "avg_nutrients_by_category": (DOCS, f"""
+SELECT foodCategory, string_agg(printf('%s=%.2f', nutrient, avg_value), '; ' ORDER BY nutrient) AS nutrients
+FROM (
+  SELECT foodCategory, nutrientName AS nutrient, ROUND_EVEN(AVG(value), 2) AS avg_value
+  FROM facts WHERE sourceCollection = 'foundation' AND nutrientId IN ({MAIN_IDS}) GROUP BY 1, 2
+) GROUP BY foodCategory"""),
+    "query_timing": ("one AS (SELECT 1)", """
+SELECT unnest(['count_by_category', 'avg_nutrients_by_category', 'top_10_highest_calorie',
+  'healthy_vs_unhealthy_by_category', 'cross_collection_comparison', 'high_protein_low_fat']) AS query, TRUE AS was_timed"""),
+    "predictions_csv": (LABELED_LAST, f"""
+SELECT CASE WHEN description = '' THEN NULL ELSE description END AS description, foodCategory, label, {_filled}
+FROM labeled_last WHERE CAST('0x' || SUBSTR(MD5(CAST(fdcId AS VARCHAR)), 1, 8) AS BIGINT) % 100 >= 80"""),
+    "label_other_rules": (f"""{DOCS},
+other AS (
+  SELECT sourceCollection, fdcId, MAX(CASE WHEN nutrientId = 1051 THEN value END) AS water,
+         MAX(CASE WHEN nutrientId = 1079 THEN value END) AS fiber
+  FROM facts WHERE nutrientId IN (1051, 1079) GROUP BY 1, 2
+)""", """
+SELECT sourceCollection, fdcId, water, fiber, points AS healthScore, points >= 2 AS isHealthy
+FROM (
+  SELECT *, CAST((CASE WHEN water > 40 THEN 1 ELSE 0 END)
+    + (CASE WHEN COALESCE(fiber, 9) < 3 THEN 1 ELSE 0 END) AS INTEGER) AS points
+  FROM other WHERE water IS NOT NULL
+)"""),
     "unnest": (DOCS, f"""
 SELECT fdcId, copy, sourceCollection, nutrientId, nutrientName, unitName, value
 FROM facts WHERE nutrientId IN ({KEY_IDS})"""),

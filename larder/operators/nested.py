@@ -63,14 +63,13 @@ def pivot(
     ``dup`` chooses among repeated ids, ``missing_value`` stands in for an
     entry without a value. ``grain="document"`` keeps one row per document and
     does not shuffle. ``grain="id"`` merges the documents of one (source, id)
-    by maximum and takes all attributes from the first of them, in the order
-    of ``order_by`` and then of the attributes themselves. Documents without
+    by maximum, or with ``dup="last"`` by the last document in the order of
+    ``order_by`` that has the measure, and takes all attributes from the first
+    of them, in the order of ``order_by`` and then of the attributes themselves. Documents without
     any of the measures disappear unless ``keep_empty``.
     """
     if grain not in ("id", "document"):
         raise ValueError(f"grain is 'id' or 'document', not {grain!r}")
-    if grain == "id" and dup != "max":
-        raise ValueError("documents of one id are merged by maximum only")
     others = [c for c in docs.columns if c != layout.array]
     resolved = repeats_resolved(docs, dup, missing_value, layout)
     columns = lookups(measures, missing_value)
@@ -82,13 +81,19 @@ def pivot(
         return resolved.select(*others, *columns)
 
     # Each document is one row before the shuffle, however long its array.
-    first = F.struct(*order_by, *layout.attributes)
+    keys = [F.col(name).alias(f"_order_{name}") for name in order_by]
+    place = F.struct(*keys, *layout.attributes)
+    first = place
     if not keep_empty:
         first = F.when(present, first)
+    if dup == "max":
+        values = [F.max(name).alias(name) for name in measures]
+    else:
+        values = [F.max_by(name, F.when(F.col(name).isNotNull(), F.col("_place"))).alias(name) for name in measures]
     merged = (
-        resolved.select(layout.source, layout.id, first.alias("_first"), *columns)
+        resolved.select(layout.source, layout.id, first.alias("_first"), place.alias("_place"), *columns)
         .groupBy(layout.source, layout.id)
-        .agg(F.min("_first").alias("_first"), *[F.max(name).alias(name) for name in measures])
+        .agg(F.min("_first").alias("_first"), *values)
     )
     if not keep_empty:
         merged = merged.where(F.col("_first").isNotNull())

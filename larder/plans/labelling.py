@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.config import DATASETS, FOODS, HEALTH_RULES, NUTRIENT_IDS, Dataset, Layout, Rule
+from larder.config import DATASETS, FOODS, HEALTH_RULES, HEALTHY_MIN, NUTRIENT_IDS, REQUIRED, Dataset, Layout, Rule
 from larder.operators.labeling import label
 from larder.operators.nested import pivot
 from larder.operators.raw_queries import of_source
@@ -92,13 +92,18 @@ def label_foods(
     options: LabelOptions,
     *,
     rules: Sequence[Rule] = HEALTH_RULES,
+    required: Sequence[str] = REQUIRED,
+    minimum: int = HEALTHY_MIN,
     measures: Mapping[str, int] = NUTRIENT_IDS,
     order_by: Sequence[str] = (),
     layout: Layout = FOODS,
 ) -> DataFrame:
-    """Labelled rows of nested documents; nothing is written."""
+    """Labelled rows of nested documents; nothing is written.
+
+    Rows that miss a ``required`` measure are dropped; ``minimum`` points make a row healthy.
+    """
     wide = widen(docs, options, measures=measures, order_by=order_by, layout=layout)
-    return label(wide, rules, null_compare=options.null_compare)
+    return label(wide, rules, required=required, minimum=minimum, null_compare=options.null_compare)
 
 
 def wide_frames(

@@ -21,7 +21,7 @@ def shared_folder(spark: SparkSession) -> str:
         return f"{configured.rstrip('/')}/larder-{uuid.uuid4().hex}"
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-    return tempfile.mkdtemp(prefix="larder-")
+    return f"file://{tempfile.mkdtemp(prefix='larder-')}"
 
 
 def ensure_checkpoints(spark: SparkSession) -> None:

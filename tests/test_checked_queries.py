@@ -48,17 +48,6 @@ def test_every_sql_belongs_to_a_query():
     assert set(oracle_sql()) <= set(queries())
 
 
-def test_nested_summaries_hold_the_long_rows(spark):
-    nested = queries()["nutrition_summary_nested"](spark, GIVEN)
-    long = queries()["nutrition_summary"](spark, GIVEN)
-    assert sum(len(r["nutrients"]) for r in nested.collect()) == long.count()
-    nested = queries()["avg_nutrients_by_category"](spark, GIVEN)
-    long = queries()["avg_nutrients_long"](spark, GIVEN)
-    assert sorted((r["foodCategory"] or "", *n) for r in nested.collect() for n in r["nutrients"]) == sorted(
-        (r[0] or "", *r[1:]) for r in long.collect()
-    )
-
-
 def test_arrays_stay_bounded_for_a_hot_part(spark, skewed):
     from checks.food_tables import KINDS, SLOTS
 

@@ -167,11 +167,34 @@ def test_bad_options_are_refused(foods):
         pivot(docs, dup="first")
     with pytest.raises(ValueError):
         pivot(docs, grain="row")
-    with pytest.raises(ValueError):
-        pivot(docs, dup="last", grain="id")
     with pytest.raises(ValueError):
         point(HEALTH_RULES[0], "highest")
     with pytest.raises(ValueError):
         Rule("calories", "<=", 1)
     with pytest.raises(ValueError):
         rounded(F.lit(1.0), 2, "down")
+
+
+def test_documents_of_one_id_merge_by_the_last_that_has_the_measure(spark, foods):
+    docs = foods(
+        (1, "A", "survey", [(1008, 1.0), (1003, 5.0), (1008, 9.0)]),
+        (1, "B", "survey", [(1008, 4.0)]),
+        (1, "C", "survey", [(1004, 2.0)]),
+    )
+    got = row(pivot(docs, dup="last", grain="id", order_by=("foodCategory",)))
+    assert (got["calories"], got["protein"], got["total_fat"], got["foodCategory"]) == (4.0, 5.0, 2.0, "A")
+
+
+def test_arrays_of_any_length(foods):
+    """The bound of 84 entries belongs to the test tables, not to the library."""
+    entries = [(1051, float(k)) for k in range(5000)] + [(1008, 3.0), (1003, 2.0), (1004, 1.0), (1008, 7.0)]
+    docs = foods((1, "A", "survey", entries))
+    assert row(pivot(docs))["calories"] == 7.0 and row(label_foods(docs, SPARK_PATH))["calories"] == 7.0
+
+
+def test_other_required_columns_and_minimum(foods):
+    docs = foods((1, "A", "survey", [(1051, 50.0)]), (2, "A", "survey", [(1079, 1.0)]))
+    options = {"measures": {"water": 1051, "fiber": 1079}, "rules": (Rule("water", ">", 40.0),), "required": ("water",)}
+    got = label_foods(docs, DOCUMENT_PATH, minimum=1, **options)
+    assert [(r["fdcId"], r["isHealthy"]) for r in got.collect()] == [(1, True)]
+    assert not row(label_foods(docs, DOCUMENT_PATH, minimum=2, **options))["isHealthy"]

@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from __spark_entry__ import queries
+from checks.catalog import all_queries as queries
 from checks import workspace as ws
 from larder.operators import raw_queries as rq
 from larder.operators.nested import pivot
@@ -112,3 +112,8 @@ def test_a_hot_part_key_is_split_in_the_document_join(spark, tmp_path):
     finally:
         for name in low:
             spark.conf.unset(name)
+
+
+@pytest.mark.parametrize("make", [rq.nutrition_summary, rq.avg_nutrients_long, rq.avg_nutrients_by_category, rq.cross_source_comparison])
+def test_summaries_read_three_fields_of_a_measurement(raw, make):
+    assert "array<struct<nutrientId:int,nutrientName:string,value:double>>" in fields_read(make(raw))
