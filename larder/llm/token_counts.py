@@ -70,14 +70,14 @@ def context_table(histogram: DataFrame) -> DataFrame:
         (F.sum("n_docs").over(own) + F.col("p_docs")).alias("docs_at_least"),
         (F.sum("n_tokens").over(own) + F.col("p_tokens")).alias("tokens_at_least"),
     )
-    totals = histogram.agg(F.sum("n_docs").alias("all_docs"), F.sum(F.col("length") * F.col("n_docs")).alias("all_tokens"))
-    return summed.join(F.broadcast(totals)).select(
+    all_docs, all_tokens = (F.lit(n) for n in total_tokens(histogram).first())
+    return summed.select(
         "length",
         "n_docs",
         "docs_at_least",
-        (F.col("all_docs") - F.col("docs_at_least")).alias("docs_below"),
+        (all_docs - F.col("docs_at_least")).alias("docs_below"),
         "tokens_at_least",
-        (F.col("all_tokens") - F.col("tokens_at_least") + F.col("length") * F.col("docs_at_least")).alias("truncated_tokens"),
+        (all_tokens - F.col("tokens_at_least") + F.col("length") * F.col("docs_at_least")).alias("truncated_tokens"),
     )
 
 
