@@ -1,6 +1,6 @@
 """Document fingerprints: invertible Bloom lookup sketches of hashed paragraphs. Built-in functions only.
 
-A paragraph is a stretch of 128 to 384 characters that ends with a line, or 384
+A paragraph is a stretch of 64 to 192 characters that ends with a line, or 192
 characters, or the rest. Its 64-bit digest falls into three cells of a sketch, each with a
 count, the exclusive or of its digests and that of their checks. Two versions'
 cells are subtracted; peeling cells that hold one digest recovers the differing
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from larder.llm.common import documents
 
-PARAGRAPH = r"(?s).{128,384}?\n|.{1,384}"
+PARAGRAPH = r"(?s).{64,192}?\n|.{1,192}"
 CELLS = 12
 ROUNDS = 8
 # Digests of both versions to a sketch when differences are recovered.
@@ -114,16 +114,15 @@ def with_next(docs: DataFrame) -> DataFrame:
     """Documents with the text of the next one; after the last comes the first."""
     own = binned(docs)
     order = [F.col("doc_id").desc_nulls_last(), F.col("digest").desc(), F.col("text").desc()]
-    ranked = own.groupBy("bin").agg(F.max(F.struct("doc_id", "digest")).alias("top"))
-    # As many rows as bins, a number set by BIN_BYTES: one small window.
+    inside = Window.partitionBy("bin").orderBy(*order)
+    # One row a bin leaves each task, so the texts are shuffled once only.
+    firsts = own.withColumn("place", F.row_number().over(inside)).filter("place = 1").select("bin", F.col("text").alias("head"))
+    # As many rows as bins, a number set by BIN_BYTES: one small window of numbers.
     around = Window.orderBy(F.col("bin").desc())
     whole = around.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    heads = ranked.select("bin", F.coalesce(F.lead("top").over(around), F.first("top").over(whole)).alias("next"))
-    found = own.withColumnRenamed("bin", "own_bin").join(
-        heads, F.col("doc_id").eqNullSafe(F.col("next.doc_id")) & (F.col("digest") == F.col("next.digest"))
-    )
-    heads = found.groupBy("bin").agg(F.max("text").alias("head"))
-    rows = own.withColumn("following", F.lead("text").over(Window.partitionBy("bin").orderBy(*order)))
+    following = own.select("bin").distinct().select("bin", F.coalesce(F.lead("bin").over(around), F.first("bin").over(whole)).alias("next_bin"))
+    heads = following.join(firsts.withColumnRenamed("bin", "next_bin"), "next_bin").select("bin", "head")
+    rows = own.withColumn("following", F.lead("text").over(inside))
     joined = rows.join(heads, "bin", "left")
     return joined.select("doc_id", "text", F.coalesce("following", "head").alias("next_text"))
 

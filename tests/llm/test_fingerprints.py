@@ -4,7 +4,7 @@ from hashlib import sha256
 from larder.llm import fingerprints
 from tests.llm.conftest import rows_of
 
-PARAGRAPH = re.compile(r"(?s:.{128,384}?\n|.{1,384})")
+PARAGRAPH = re.compile(r"(?s:.{64,192}?\n|.{1,192})")
 
 
 def likeness(a, b):
