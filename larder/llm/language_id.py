@@ -167,9 +167,21 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
 
 
 def accepted(docs: DataFrame, model: LanguageModel) -> DataFrame:
-    """The rows whose language the model does not reject, with their own columns."""
-    scored = predict(docs, model)
-    return scored.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= model.reject_below)).select(*docs.columns)
+    """The rows whose language the model does not reject, with their own columns, whatever their names."""
+    names, flag = docs.columns, "lettered"
+    while flag in names:
+        flag += "_"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, raw, at in text_slices(batch):
+                _, share = model.predict(raw, at)
+                lettered = part.column(flag).to_numpy(zero_copy_only=False)
+                keep = lettered & (share >= model.reject_below) & (model.languages != [UNKNOWN])
+                yield part.select(names).filter(pa.array(keep))
+
+    lettered = F.coalesce(F.col("text").rlike("\\p{L}"), F.lit(False))
+    return docs.withColumn(flag, lettered).mapInArrow(run, docs.schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

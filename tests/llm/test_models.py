@@ -34,7 +34,9 @@ def test_languages_of_held_out_documents(corpus):
             assert (r.lang_pred, r.score) == ("und", 0.0)
     held = [r for r in got if r.doc_id is not None and r.doc_id < 900 and zlib.crc32(str(r.doc_id).encode()) % 4 == 2]
     assert np.mean([r.lang == r.lang_pred for r in held]) > 0.97
-    kept = {r.doc_id for r in language_id.accepted(corpus, model).collect()}
+    rows = language_id.accepted(corpus.selectExpr("*", "7 AS score", "8 AS lettered"), model).collect()
+    assert {(r.score, r.lettered) for r in rows} == {(7, 8)}
+    kept = {r.doc_id for r in rows}
     assert not kept & {900, 901, 902} and len(kept & set(range(240))) > 235
 
 
