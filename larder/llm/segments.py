@@ -9,7 +9,8 @@ costs one entry a block. Buckets of anchors answer every entry:
 
 - COVERED: the same segment is in a document with a smaller id, which is named;
 - MIXED: this is a segment's first document, but other segments with the anchor
-  agree with it on one side, so single windows may be shared; HOT: very many do;
+  agree with it on one side, so single windows may be shared; HOT: very many do,
+  in a bucket or in any one block;
 - ALONE: none of its windows is anywhere else.
 
 Fingerprints have 96 bits at least, besides the equality of bucket and side.
@@ -32,6 +33,9 @@ LEAST_BLOCKS = 64
 ALONE, COVERED, MIXED, HOT = 0, 1, 2, 3
 # A group of more distinct segments than this sends single windows instead of segments.
 HOT_GROUP = 2048
+# An anchor with more distinct segments than this in one block sends one mark instead: all blocks then send its windows.
+BLOCK_GROUP = 16
+MARK = np.uint32(2**32 - 1)
 NO_ID = np.iinfo(np.int64).max
 MESSAGE = "bucket long, block long, level int, entries binary"
 
@@ -103,12 +107,28 @@ class Segments:
         return out
 
     def _unique(self) -> None:
-        """Entries: the distinct segments, ordered by anchor, each with the smallest id."""
+        """Entries: the distinct segments, ordered by anchor, each with the smallest id.
+
+        ``slot`` is the place of an entry in what is sent: an anchor with more
+        than BLOCK_GROUP segments sends one mark for all of them.
+        """
         self.entry, self.chosen = distinct(self.coarse, self.fine, self.doc)
+        _, first, size = np.unique(self.coarse[self.chosen], return_index=True, return_counts=True)
+        many = np.repeat(size > BLOCK_GROUP, size)
+        begins = np.zeros(len(self.chosen), bool)
+        begins[first] = True
+        leaves = ~many | begins
+        self.slot = np.cumsum(leaves) - 1
+        self.sent, self.marks = self.chosen[leaves], many[leaves]
 
     def entries(self) -> tuple[np.ndarray, ...]:
-        c = self.chosen
-        return self.coarse[c], self.fine[c], self.doc[c], self.sides[c]
+        c = self.sent
+        return self.coarse[c], np.where(self.marks, MARK, self.fine[c]), self.doc[c], self.sides[c]
+
+    def answered(self, answers: Answers, level: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+        """State of each entry; the covering id, NO_ID without one."""
+        states, source = answers.states(level, self.entries(), buckets)
+        return states[self.slot], source[self.slot]
 
     def windows(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Starts of all windows of the chosen segments, and the segment of each."""
@@ -143,7 +163,7 @@ def _segments(prefix: np.ndarray, first: np.ndarray, window: int, gram: int) ->
     stop = starts[np.append(begin[1:], len(starts)) - 1] + 1
     text = np.searchsorted(first, start, "right") - 1
     content = span_hash(prefix, start, stop + window - 1) + (anchor - start).astype(np.uint64)
-    fine = (mixed(content) >> np.uint64(32)).astype(np.uint32)
+    fine = np.minimum(mixed(content) >> np.uint64(32), np.uint64(2**32 - 2)).astype(np.uint32)
     half = (window - gram + 1) // 2  # a shared window reaches so far beyond the anchor on one side
     sides = [
         span_hash(prefix, np.maximum(anchor - half, first[:-1][text]), anchor) >> np.uint64(56),
@@ -160,7 +180,7 @@ class Windows:
         self.start, own = segments.windows(chosen)
         self.doc = segments.doc[own]
         self.coarse = segments.string_hashes(self.start)
-        self.fine = (segments.coarse[own] >> np.uint64(8)).astype(np.uint32)
+        self.fine = np.minimum((segments.coarse[own] >> np.uint64(8)).astype(np.uint32), np.uint32(2**32 - 2))
         self.entry, self.chosen = distinct(self.coarse, self.fine, self.doc)
 
     def entries(self) -> tuple[np.ndarray, ...]:
@@ -245,7 +265,10 @@ def judged(table: pa.Table) -> pa.Table:
     _, group, size = np.unique(anchors, return_inverse=True, return_counts=True)
     verdict = np.where(alike, np.where(size[group] > HOT_GROUP, HOT, MIXED), ALONE).astype(np.uint8)
     source = least[entry]
-    states = np.where(source < doc, np.uint8(COVERED), verdict[entry]).astype(np.uint8)
+    marked_groups = np.zeros(len(size), bool)
+    marked_groups[group[fine[chosen] == MARK]] = True
+    states = np.where(source < doc, np.uint8(COVERED), verdict[entry])
+    states = np.where(marked_groups[group[entry]], HOT, states).astype(np.uint8)
     out, at = [], 0
     for r, g in zip(rows, got):
         own = slice(at, at + len(g[0]))

@@ -53,7 +53,7 @@ class Parsed:
 
     def __init__(self, words: Words, answers: Answers, buckets: int) -> None:
         s = words.segments
-        states, source = answers.states(1, s.entries(), buckets)
+        states, source = s.answered(answers, 1, buckets)
         least = s.doc[s.chosen][s.entry]
         covered = (states[s.entry] == COVERED) | (s.doc > least)
         self.source = np.where(covered, np.minimum(source[s.entry], least), -1)
@@ -83,7 +83,7 @@ def _answers(docs: DataFrame, window: int, gram: int) -> tuple[DataFrame, DataFr
 
     def windows_of(block: Block, key: int, answers: Answers) -> pa.Table:
         s = Words(block, window, gram).segments
-        states, _ = answers.states(1, s.entries(), buckets)
+        states, _ = s.answered(answers, 1, buckets)
         return messages(sent(boundary_windows(s, states).entries(), key, 2, buckets))
 
     second = answered(blocks, first, windows_of, MESSAGE).groupBy("bucket").applyInArrow(judged, MESSAGE)

@@ -154,7 +154,7 @@ def judged_suffixes(table: pa.Table, window: int) -> pa.Table:
 
 def removed(block: Block, s: Segments, answers: Answers, buckets: int) -> np.ndarray:
     """Which bytes of a block are removed."""
-    states, _ = answers.states(ANCHORS, s.entries(), buckets)
+    states, _ = s.answered(answers, ANCHORS, buckets)
     least = s.doc[s.chosen][s.entry]
     covered = (states[s.entry] == COVERED) | (s.doc > least)
     flags = np.frombuffer(b"".join(answers.raw(SUFFIXES)), np.uint8)
@@ -182,7 +182,7 @@ def _answers(docs: DataFrame, window: int, gram: int) -> tuple[DataFrame, DataFr
 
     def suffixes_of(block: Block, key: int, answers: Answers) -> pa.Table:
         s = Bytes(block, window, gram).segments
-        states, _ = answers.states(ANCHORS, s.entries(), buckets)
+        states, _ = s.answered(answers, ANCHORS, buckets)
         strings = Windows(s, first_rows(s, states, HOT))
         return messages(suffix_messages(block, s, states, key, buckets) + sent(strings.entries(), key, STRINGS, buckets))
 

@@ -51,6 +51,69 @@ WORDS = ("doc_id", "n_words", "n_removed", "kept_sha256")
 BYTES = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+@pytest.fixture
+def marked_anchors(monkeypatch):
+    """Anchors with two segments in a block are marked, here and in the workers."""
+    source = segments.Segments._unique
+
+    def unique(self):
+        before, segments.BLOCK_GROUP = segments.BLOCK_GROUP, 1
+        try:
+            source(self)
+        finally:
+            segments.BLOCK_GROUP = before
+
+    def patched(make):
+        def built(*arguments):
+            kept, segments.Segments._unique = segments.Segments._unique, unique
+            try:
+                return make(*arguments)
+            finally:
+                segments.Segments._unique = kept
+
+        return built
+
+    for module, name in ((substring_dedup, "Words"), (suffix_dedup, "Bytes")):
+        monkeypatch.setattr(module, name, patched(getattr(module, name)))
+
+
+def test_marked_anchors_change_nothing(texts, marked_anchors):
+    """The exchange by hand, without Spark, so that the patch holds on both sides."""
+    rows = [(d, t or "") for d, t in texts]
+    blocks = [segments.Block(pa.table({"doc_id": pa.array([d for d, _ in rows[k::3]], pa.int64()), "text": [t for _, t in rows[k::3]]})) for k in range(3)]
+
+    def exchanged(sends):
+        by_bucket = {}
+        for row in (r for send in sends for r in send):
+            by_bucket.setdefault((row[0], row[2]), []).append(row)
+        out = {k: [] for k in range(3)}
+        for (_, level), own in by_bucket.items():
+            judge = suffix_dedup.judged_suffixes(segments.messages(own), 50) if level == suffix_dedup.SUFFIXES else segments.judged(segments.messages(own))
+            for r in judge.to_pylist():
+                out[r["block"]].append(r)
+        return out
+
+    def answers(*found):
+        rows = [r for x in found for r in x]
+        return segments.Answers(pa.Table.from_pylist(rows, segments.messages([]).schema))
+
+    own = [suffix_dedup.Bytes(b, 50, 20).segments for b in blocks]
+    first = exchanged([segments.sent(s.entries(), k, 1, 4) for k, s in enumerate(own)])
+    sends, hot = [], 0
+    for k, (b, s) in enumerate(zip(blocks, own)):
+        states, _ = s.answered(answers(first[k]), 1, 4)
+        strings = segments.Windows(s, suffix_dedup.first_rows(s, states, segments.HOT))
+        hot += len(strings.start)
+        sends.append(suffix_dedup.suffix_messages(b, s, states, k, 4) + segments.sent(strings.entries(), k, 3, 4))
+    assert hot
+    second = exchanged(sends)
+    got = []
+    for k, (b, s) in enumerate(zip(blocks, own)):
+        gone = suffix_dedup.removed(b, s, answers(first[k], second[k]), 4)
+        got += [(doc, int(b.at[j + 1] - b.at[j]), int(gone[b.at[j] : b.at[j + 1]].sum())) for j, doc in enumerate(b.rows)]
+    assert sorted(got) == [r[:3] for r in bytes_by_brute_force(rows)]
+
+
 @pytest.mark.parametrize("blocks", [1, 7])
 def test_words_equal_brute_force(table, texts, monkeypatch, blocks):
     monkeypatch.setattr(segments, "LEAST_BLOCKS", blocks)
