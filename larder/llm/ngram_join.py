@@ -6,9 +6,9 @@ likeness of ``near`` in a hundred. Shingles are hashed into groups twice:
 - Into one group more than a linked pair may differ in, by size class: then some
   group is equal in both, so its fingerprint is a key that both have, and no link
   is lost. Keys are exchanged in messages, each key once a message.
-- Into ``COORDINATES`` groups whose counts are the document's point. The summed
-  coordinate minima of two points bound the overlap; pairs whose bound is too
-  small are not looked at again.
+- Into ``COORDINATES`` groups whose counts are the document's point, and into as
+  many as it has shingles for a finer one. The summed coordinate minima of two
+  points bound the overlap; pairs whose bound is too small are not looked at again.
 
 First every document is held against the one that is first for most of its keys;
 what survives the bound is verified on whole texts, and links make components. Then, only for
@@ -38,12 +38,14 @@ from larder.llm.segments import BLOCK_BYTES, LEAST_BLOCKS, bucket_of, planes, un
 WORDS = 3
 NEAR = 90
 COORDINATES = 64
+# Finer points have a coordinate for each shingle up to here, a byte each.
+FINEST = 4096
 GROWTH = 1.6
 MESSAGE_KEYS = 500_000
 # Documents of one key in a task's R-tree; more are dealt into parts.
 TREE_ROWS = 2048
 LEAF = 16
-SKETCH = "doc_id long, n long, digest long, point binary"
+SKETCH = "doc_id long, n long, digest long, point binary, fine binary"
 MESSAGE = "bucket long, keys binary, pairs binary"
 
 
@@ -112,6 +114,29 @@ def points(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
     return np.bincount(spot, minlength=(len(first) - 1) * COORDINATES).reshape(-1, COORDINATES).astype(np.uint32)
 
 
+def fine_points(hashes: np.ndarray, first: np.ndarray) -> list[bytes]:
+    """Counts in at least as many groups as shingles; what a byte cannot hold is summed up in front."""
+    out = []
+    for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
+        size = min(FINEST, max(COORDINATES, 1 << max(0, b - a - 1).bit_length()))
+        counts = np.bincount((hashes[a:b] & np.uint64(size - 1)).astype(np.int64), minlength=size)
+        held = np.minimum(counts, 255).astype(np.uint8)
+        out.append(np.int64(counts.sum() - held.sum(dtype=np.int64)).tobytes() + held.tobytes())
+    return out
+
+
+def fine_overlap(a: bytes, b: bytes) -> int:
+    """Most shingles that two sets can share: summed minima over the groups of the coarser point."""
+    x, y = (np.frombuffer(p, np.uint8, offset=8).astype(np.int64) for p in (a, b))
+    while len(x) != len(y):
+        if len(x) > len(y):
+            x = x[: len(x) // 2] + x[len(x) // 2 :]
+        else:
+            y = y[: len(y) // 2] + y[len(y) // 2 :]
+    beyond = min(int(np.frombuffer(p, np.int64, 1)[0]) for p in (a, b))
+    return int(np.minimum(x, y).sum()) + beyond
+
+
 def near_bound(overlap: np.ndarray, n1: np.ndarray, n2: np.ndarray, near: int) -> np.ndarray:
     """Whether an overlap of so many makes a link of sets of these sizes."""
     return (100 + near) * overlap >= near * (n1 + n2)
@@ -134,7 +159,8 @@ def sketches(docs: DataFrame, words: int) -> DataFrame:
                 sums = np.concatenate([[np.uint64(0)], np.cumsum(mixed(hashes))])
                 digest = (sums[first[1:]] - sums[first[:-1]]).view(np.int64)
                 point = [p.tobytes() for p in points(hashes, first)]
-                yield _table(SKETCH, doc_id=part.column("doc_id"), n=np.diff(first), digest=digest, point=point)
+                fine = fine_points(hashes, first)
+                yield _table(SKETCH, doc_id=part.column("doc_id"), n=np.diff(first), digest=digest, point=point, fine=fine)
 
     return docs.mapInArrow(run, SKETCH)
 
@@ -303,15 +329,16 @@ def components(links: DataFrame, name: str) -> DataFrame:
 
 def _bounded(pairs: DataFrame, documents_: DataFrame, near: int) -> DataFrame:
     """Pairs that the bound does not rule out; ``same`` where the sets are equal."""
-    own = documents_.select("doc_id", "n", "digest", "point")
-    hub = documents_.select(F.col("doc_id").alias("hub"), F.col("n").alias("hub_n"), F.col("digest").alias("hub_digest"), F.col("point").alias("hub_point"))
+    own = documents_.select("doc_id", "n", "digest", "fine")
+    hub = documents_.select(F.col("doc_id").alias("hub"), F.col("n").alias("hub_n"), F.col("digest").alias("hub_digest"), F.col("fine").alias("hub_fine"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n1, n2, d1, d2 = (batch.column(c).to_numpy() for c in ("n", "hub_n", "digest", "hub_digest"))
-            p1, p2 = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(-1, COORDINATES) for c in ("point", "hub_point"))
-            same = (n1 == n2) & (d1 == d2) & (p1 == p2).all(axis=1)
-            keep = pa.array(near_bound(np.minimum(p1, p2).sum(axis=1, dtype=np.int64), n1, n2, near))
+            f1, f2 = (batch.column(c).to_pylist() for c in ("fine", "hub_fine"))
+            same = (n1 == n2) & (d1 == d2) & np.array([a == b for a, b in zip(f1, f2)], bool)
+            overlap = np.array([fine_overlap(a, b) for a, b in zip(f1, f2)], np.int64)
+            keep = pa.array(near_bound(overlap, n1, n2, near) & (n1 > 0) & (n2 > 0))
             out = pa.record_batch([batch.column("hub"), batch.column("doc_id"), pa.array(same)], names=["hub", "doc_id", "same"])
             yield out.filter(keep)
 
@@ -326,8 +353,8 @@ def join(docs: DataFrame, words: int = WORDS, near: int = NEAR) -> DataFrame:
     found = kept(sketches(own, words), "sketch")
     # One set for each id: the largest, if rows repeat.
     each = Window.partitionBy("doc_id").orderBy(F.col("n").desc(), "digest")
-    single = found.filter("doc_id IS NOT NULL").select("doc_id", "n", "digest", "point")
-    single = single.withColumn("rank", F.row_number().over(each)).filter("rank = 1").drop("rank")
+    single = found.filter("doc_id IS NOT NULL").select("doc_id", "n", "digest", "point", "fine")
+    single = kept(single.withColumn("rank", F.row_number().over(each)).filter("rank = 1").drop("rank"), "single")
     messages = key_messages(own, words, near, buckets)
     members = kept(messages.groupBy("bucket").applyInArrow(bucket_members, "doc_id long, key long, hub long"), "members")
 
@@ -355,6 +382,7 @@ def join(docs: DataFrame, words: int = WORDS, near: int = NEAR) -> DataFrame:
     dealt = dealt.withColumn("tree", F.pmod(F.xxhash64("key", "part"), F.lit(4 * buckets)))
     crossing = dealt.groupBy("tree").applyInArrow(lambda table: tree_pairs(table, near), "hub long, doc_id long").distinct()
     crossing = kept(crossing.join(pairs.select(F.least("hub", "doc_id").alias("hub"), F.greatest("hub", "doc_id").alias("doc_id")), ["hub", "doc_id"], "left_anti"), "crossing")
+    crossing = kept(_bounded(crossing, single, near).select("hub", "doc_id"), "bounded")
     more = kept(verified(crossing, texts, words, near), "more")
     final = components(links.union(more), "final")
 

@@ -84,3 +84,16 @@ def test_firsts_keep_one_of_each_group(table):
     rows = near_copies()
     kept = sorted(r.doc_id for r in ngram_join.firsts(table(rows)).collect())
     assert kept == sorted({c for _, _, c in brute_force(rows, 5, 80)})
+
+
+def test_fine_points_bound_the_overlap():
+    rng = np.random.default_rng(3)
+    for size in (0, 1, 5, 70, 300, 9000):
+        a = np.unique(rng.integers(0, 2**63, size).astype(np.uint64))
+        b = np.unique(np.concatenate([a[: size // 2], rng.integers(0, 2**63, size // 2 + size // 9).astype(np.uint64)]))
+        x, y = ngram_join.fine_points(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]))
+        shared = len(np.intersect1d(a, b))
+        assert shared <= ngram_join.fine_overlap(x, y) <= min(len(a), len(b))
+    many = np.arange(300_000, dtype=np.uint64) * np.uint64(4096)  # one group holds more than a byte
+    (x,) = ngram_join.fine_points(many, np.array([0, len(many)]))
+    assert ngram_join.fine_overlap(x, x) == len(many)
