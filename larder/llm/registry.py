@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from larder.llm import decontamination, fingerprints, language_id, ngram_join, packing, secret_scans, substring_dedup, suffix_dedup, token_counts, toxicity
+from larder.llm import decontamination, fingerprints, language_id, ngram_join, packing, secret_scans, sql, substring_dedup, suffix_dedup, token_counts, toxicity
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -27,4 +27,4 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def all_sql() -> dict[str, str]:
-    return {"op7_benchmark_decontamination": decontamination.SQL}
+    return sql.all_sql()

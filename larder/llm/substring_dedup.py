@@ -131,4 +131,4 @@ def factors(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFram
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup(documents(spark, sf_dir))
+    return dedup(documents(spark, sf_dir)).drop("n_factors")
