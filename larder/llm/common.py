@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,10 +21,17 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def kept(df: DataFrame, name: str) -> DataFrame:
-    """The rows written to a new folder that all executors share, and read again."""
+    """The rows written to a new folder that all executors share, and read again.
+
+    The shuffles behind them are not needed any more. Spark's cleaner drops their
+    files when the driver collects its garbage, which a small driver rarely does
+    by itself while the disks fill.
+    """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}"
     df.write.parquet(path)
+    gc.collect()
+    spark._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -37,7 +37,7 @@ from larder.llm.segments import BLOCK_BYTES, LEAST_BLOCKS, bucket_of, planes, un
 
 WORDS = 3
 NEAR = 90
-COORDINATES = 64
+COORDINATES = 256
 # Finer points have a coordinate for each shingle up to here, a byte each.
 FINEST = 4096
 GROWTH = 1.6
@@ -45,7 +45,7 @@ MESSAGE_KEYS = 500_000
 # Documents of one key in a task's R-tree; more are dealt into parts.
 TREE_ROWS = 2048
 LEAF = 16
-SKETCH = "doc_id long, n long, digest long, point binary, fine binary"
+SKETCH = "doc_id long, n long, digest long, point binary, beyond long, fine binary"
 MESSAGE = "bucket long, keys binary, pairs binary"
 
 
@@ -108,10 +108,13 @@ def link_keys(hashes: np.ndarray, first: np.ndarray, near: int = NEAR) -> tuple[
     return np.concatenate(keys), np.concatenate(texts)
 
 
-def points(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
+def points(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Counts by group, at most 255; what a byte cannot hold, summed up."""
     text = np.repeat(np.arange(len(first) - 1), np.diff(first))
     spot = text * COORDINATES + (hashes & np.uint64(COORDINATES - 1)).astype(np.int64)
-    return np.bincount(spot, minlength=(len(first) - 1) * COORDINATES).reshape(-1, COORDINATES).astype(np.uint32)
+    counts = np.bincount(spot, minlength=(len(first) - 1) * COORDINATES).reshape(-1, COORDINATES)
+    held = np.minimum(counts, 255)
+    return held.astype(np.uint8), (counts - held).sum(axis=1)
 
 
 def fine_points(hashes: np.ndarray, first: np.ndarray) -> list[bytes]:
@@ -158,9 +161,10 @@ def sketches(docs: DataFrame, words: int) -> DataFrame:
                 hashes, first = distinct_shingles(raw, at, words)
                 sums = np.concatenate([[np.uint64(0)], np.cumsum(mixed(hashes))])
                 digest = (sums[first[1:]] - sums[first[:-1]]).view(np.int64)
-                point = [p.tobytes() for p in points(hashes, first)]
+                point, beyond = points(hashes, first)
+                point = [p.tobytes() for p in point]
                 fine = fine_points(hashes, first)
-                yield _table(SKETCH, doc_id=part.column("doc_id"), n=np.diff(first), digest=digest, point=point, fine=fine)
+                yield _table(SKETCH, doc_id=part.column("doc_id"), n=np.diff(first), digest=digest, point=point, beyond=beyond, fine=fine)
 
     return docs.mapInArrow(run, SKETCH)
 
@@ -228,20 +232,21 @@ def bucket_members(table: pa.Table) -> pa.Table:
 class Tree:
     """R-tree of points, packed by size and then by coordinates; a node keeps its least size and largest coordinates."""
 
-    def __init__(self, point: np.ndarray, n: np.ndarray) -> None:
+    def __init__(self, point: np.ndarray, beyond: np.ndarray, n: np.ndarray) -> None:
         order = np.lexsort((*point.T[:4], n))
-        self.levels = [(order, point[order], n[order])]
+        self.levels = [(order, point[order], beyond[order], n[order])]
         while len(self.levels[-1][1]) > LEAF:
-            _, high, least = self.levels[-1]
+            _, high, over, least = self.levels[-1]
             cuts = np.arange(0, len(high), LEAF)
-            self.levels.append((cuts, np.maximum.reduceat(high, cuts), np.minimum.reduceat(least, cuts)))
+            self.levels.append((cuts, np.maximum.reduceat(high, cuts), np.maximum.reduceat(over, cuts), np.minimum.reduceat(least, cuts)))
 
-    def near(self, point: np.ndarray, n: int, near: int) -> np.ndarray:
+    def near(self, point: np.ndarray, beyond: int, n: int, near: int) -> np.ndarray:
         """Points whose summed minima with this one do not rule a link out."""
         at = np.arange(len(self.levels[-1][1]))
         for depth in range(len(self.levels) - 1, -1, -1):
-            cuts, high, least = self.levels[depth]
-            at = at[near_bound(np.minimum(high[at], point).sum(axis=1, dtype=np.int64), n, least[at], near)]
+            cuts, high, over, least = self.levels[depth]
+            most = np.minimum(high[at], point).sum(axis=1, dtype=np.int64) + np.minimum(over[at], beyond)
+            at = at[near_bound(most, n, least[at], near)]
             if depth:
                 below = len(self.levels[depth - 1][1])
                 starts = cuts[at]
@@ -251,16 +256,16 @@ class Tree:
 
 def tree_pairs(table: pa.Table, near: int) -> pa.Table:
     """Pairs across components among the documents of each key of a part."""
-    key, doc, part, n = (table.column(c).to_numpy() for c in ("key", "doc_id", "component", "n"))
+    key, doc, part, n, beyond = (table.column(c).to_numpy() for c in ("key", "doc_id", "component", "n", "beyond"))
     stray = table.column("stray").to_numpy()
-    point = np.frombuffer(b"".join(table.column("point").to_pylist()), np.uint32).reshape(-1, COORDINATES)
+    point = np.frombuffer(b"".join(table.column("point").to_pylist()), np.uint8).reshape(-1, COORDINATES)
     order = np.lexsort((doc, stray, key))
     _, begin = np.unique(key[order], return_index=True)
     a_ids, b_ids = [], []
     for rows in np.split(order, begin[1:]):
-        tree = Tree(point[rows], n[rows])
+        tree = Tree(point[rows], beyond[rows], n[rows])
         for q in rows[stray[rows]].tolist():
-            found = rows[tree.near(point[q], int(n[q]), near)]
+            found = rows[tree.near(point[q], int(beyond[q]), int(n[q]), near)]
             found = found[part[found] != part[q]]
             a_ids.append(np.minimum(doc[found], doc[q]))
             b_ids.append(np.maximum(doc[found], doc[q]))
@@ -353,7 +358,7 @@ def join(docs: DataFrame, words: int = WORDS, near: int = NEAR) -> DataFrame:
     found = kept(sketches(own, words), "sketch")
     # One set for each id: the largest, if rows repeat.
     each = Window.partitionBy("doc_id").orderBy(F.col("n").desc(), "digest")
-    single = found.filter("doc_id IS NOT NULL").select("doc_id", "n", "digest", "point", "fine")
+    single = found.filter("doc_id IS NOT NULL").select("doc_id", "n", "digest", "point", "beyond", "fine")
     single = kept(single.withColumn("rank", F.row_number().over(each)).filter("rank = 1").drop("rank"), "single")
     messages = key_messages(own, words, near, buckets)
     members = kept(messages.groupBy("bucket").applyInArrow(bucket_members, "doc_id long, key long, hub long"), "members")
@@ -373,7 +378,7 @@ def join(docs: DataFrame, words: int = WORDS, near: int = NEAR) -> DataFrame:
     holders = kept(holders, "holders")
     contested = holders.groupBy("key").agg(F.count("*").alias("size"), F.min("component").alias("main"), F.max("component").alias("last"))
     contested = contested.filter("main < last").select("key", "main", F.ceil(F.col("size") / TREE_ROWS).alias("parts"))
-    rows = holders.join(contested, "key").join(single.select("doc_id", "n", "point"), "doc_id")
+    rows = holders.join(contested, "key").join(single.select("doc_id", "n", "point", "beyond"), "doc_id")
     rows = rows.withColumn("stray", F.col("component") != F.col("main"))
     # Those outside the main component go to every part, the others to one.
     dealt = rows.withColumn(

@@ -70,14 +70,15 @@ def test_null_ids_link_with_nothing_and_empty_table(table):
 
 def test_tree_misses_no_pair_within_the_bound():
     rng = np.random.default_rng(0)
-    point = rng.poisson(3, (300, ngram_join.COORDINATES)).astype(np.uint32)
+    point = rng.poisson(3, (300, ngram_join.COORDINATES)).astype(np.uint8)
+    beyond = rng.integers(0, 5, 300)
     point[100:200] = point[:100] + (rng.random((100, ngram_join.COORDINATES)) < 0.1)
-    n = point.sum(axis=1).astype(np.int64)
-    tree = ngram_join.Tree(point, n)
+    n = point.sum(axis=1).astype(np.int64) + beyond
+    tree = ngram_join.Tree(point, beyond, n)
     for q in range(0, 300, 7):
-        bound = np.minimum(point, point[q]).sum(axis=1).astype(np.int64)
+        bound = np.minimum(point, point[q]).sum(axis=1).astype(np.int64) + np.minimum(beyond, beyond[q])
         expected = np.flatnonzero(ngram_join.near_bound(bound, n, n[q], 90))
-        assert sorted(tree.near(point[q], int(n[q]), 90).tolist()) == expected.tolist()
+        assert sorted(tree.near(point[q], int(beyond[q]), int(n[q]), 90).tolist()) == expected.tolist()
 
 
 def test_firsts_keep_one_of_each_group(table):
