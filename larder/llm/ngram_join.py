@@ -398,9 +398,24 @@ def join(docs: DataFrame, words: int = WORDS, near: int = NEAR) -> DataFrame:
 
 
 def firsts(docs: DataFrame, words: int = 5, near: int = 80) -> DataFrame:
-    """The documents that are the first of their component, with their own columns."""
-    ids = join(docs, words, near).filter("component_id = doc_id").select("doc_id")
-    return docs.join(ids, "doc_id", "left_semi").select(*docs.columns)
+    """The first document of each component, with its own columns.
+
+    Here rows of one id with other texts are documents of their own, and rows equal
+    in id and text are one. A row without an id is kept.
+    """
+    known = docs.filter("doc_id IS NOT NULL")
+    unknown = docs.filter("doc_id IS NULL")
+    if known.groupBy("doc_id").count().filter("count > 1").isEmpty():
+        ids = join(known, words, near).filter("component_id = doc_id").select("doc_id")
+        return known.join(ids, "doc_id", "left_semi").select(*docs.columns).union(unknown)
+    # Numbers in the order of the ids stand for the rows.
+    row = "row"
+    while row in docs.columns:
+        row += "_"
+    numbered = known.dropDuplicates(["doc_id", "text"]).orderBy("doc_id", "text").withColumn(row, F.monotonically_increasing_id())
+    numbered = kept(numbered, "numbered")
+    first = join(numbered.select(F.col(row).alias("doc_id"), "text"), words, near).filter("component_id = doc_id")
+    return numbered.join(first.select(F.col("doc_id").alias(row)), row, "left_semi").select(*docs.columns).union(unknown)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

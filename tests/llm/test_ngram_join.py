@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from larder.llm import ngram_join
 from tests.llm.conftest import rows_of, sentence
@@ -87,6 +88,47 @@ def test_firsts_keep_one_of_each_group(table):
     assert kept == sorted({c for _, _, c in brute_force(rows, 5, 80)})
 
 
+def rows_with_repeats():
+    """Near copies, rows without an id, and ids that repeat with equal, near, other and no text."""
+    rows = near_copies(6)
+    texts = dict(rows)
+    rows += [(None, texts[0]), (None, texts[0]), (None, None), (5, texts[5]), (5, texts[5]), (9, texts[5]), (9, "quite another text of this id")]
+    return rows + [(700, "quite another text of this id"), (701, ""), (701, ""), (701, None), (702, "A b c d e f g"), (702, "a b c d e f g")]
+
+
+def first_rows(rows):
+    """One row of each group: distinct rows in order of id and text, by brute force."""
+    known = sorted({r for r in rows if r[0] is not None}, key=lambda r: (r[0], r[1] is not None, r[1] or ""))
+    groups = brute_force([(k, t) for k, (_, t) in enumerate(known)], 5, 80)
+    return [known[k] for k in sorted({c for _, _, c in groups})] + [r for r in rows if r[0] is None]
+
+
+def test_firsts_keep_rows_without_id_and_one_of_repeated_rows(table):
+    rows = rows_with_repeats()
+    order = lambda r: tuple((x is None, x or 0 if k == 0 else x or "") for k, x in enumerate(r))
+    found = [(r.doc_id, r.text) for r in ngram_join.firsts(table(rows).withColumn("row", F.lit(1))).collect()]
+    assert sorted(found, key=order) == sorted(first_rows(rows), key=order)
+    unique = near_copies(6) + [(None, "a b c d e f"), (None, "a b c d e f")]
+    found = [(r.doc_id, r.text) for r in ngram_join.firsts(table(unique)).collect()]
+    assert sorted(found, key=order) == sorted(first_rows(unique), key=order)
+
+
+def test_run_keeps_rows_without_id_and_one_of_repeated_rows(spark, table, tmp_path, monkeypatch):
+    """All stages of the pipeline but the last, which cuts the texts into pieces."""
+    import corpus_pipeline
+
+    rows = rows_with_repeats()
+    table(rows).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, "no document has these words in it")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    monkeypatch.setattr(corpus_pipeline, "STAGES", corpus_pipeline.STAGES[:-1])
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    clean = [(r.doc_id, r.text) for r in corpus_pipeline.known_languages(spark, docs, str(tmp_path)).collect()]
+    order = lambda r: (r[0] is None, r[0] or 0, r[1])
+    found = [(r.doc_id, r.text) for r in corpus_pipeline.run(spark, str(tmp_path)).collect()]
+    assert sorted(found, key=order) == sorted(first_rows(clean), key=order)
+    assert len([1 for d, _ in found if d is None]) == 2
+
+
 def test_fine_points_bound_the_overlap():
     rng = np.random.default_rng(3)
     for size in (0, 1, 5, 70, 300, 9000):
