@@ -3,9 +3,12 @@
 A document is its set of distinct shingles, in lower case. Two link at a Jaccard
 likeness of ``near`` in a hundred. Shingles are hashed into groups twice:
 
-- Into one group more than a linked pair may differ in, by size class: then some
+- Into more groups than a linked pair may differ in, by size class: then some
   group is equal in both, so its fingerprint is a key that both have, and no link
-  is lost. Keys are exchanged in messages, each key once a message.
+  is lost. Empty groups give no key: a set with more filled groups than differences
+  shares a filled one with each partner. The few other sets are grouped again, by
+  other hashes, and only after ``ROUNDS`` groupings their empty groups are keys too.
+  Keys are exchanged in messages, each key once a message.
 - Into ``COORDINATES`` groups whose counts are the document's point, and into as
   many as it has shingles for a finer one. The summed coordinate minima of two
   points bound the overlap; pairs whose bound is too small are not looked at again.
@@ -42,8 +45,10 @@ COORDINATES = 256
 FINEST = 4096
 GROWTH = 1.6
 MESSAGE_KEYS = 500_000
-# Documents of one key in a task's R-tree; more are dealt into parts.
+# Documents of one key in a task's R-tree, and held against it; more are dealt into cells of so many on both sides.
 TREE_ROWS = 2048
+# Groupings of sets that have no more filled groups than differences.
+ROUNDS = 4
 LEAF = 16
 SKETCH = "doc_id long, n long, digest long, point binary, beyond long, fine binary"
 MESSAGE = "bucket long, keys binary, pairs binary"
@@ -88,21 +93,32 @@ def link_keys(hashes: np.ndarray, first: np.ndarray, near: int = NEAR) -> tuple[
         if not len(some):
             continue
         differ = (classes[size_class[some] + 1] - 1) * (100 - near) // near
-        groups = differ + 1
-        counts = n[some]
-        rows = flat_ranges(first[some], counts)
-        slot_first = np.cumsum(groups) - groups
-        scrambled = mixed(hashes[rows] + np.uint64(0x51ED27))
-        slot = np.repeat(slot_first, counts) + (scrambled >> np.uint64(8)).astype(np.int64) % np.repeat(groups, counts)
-        order = np.argsort(slot, kind="stable")
-        used, begin = np.unique(slot[order], return_index=True)
-        sums = np.zeros(int(groups.sum()), np.uint64)
-        sums[used] = np.add.reduceat(scrambled[order], begin)
-        text = np.repeat(np.arange(len(some)), groups)
-        place = np.arange(len(sums)) - slot_first[text]
-        salt = mixed((size_class[some][text].astype(np.uint64) << np.uint64(40)) + place.astype(np.uint64) + np.uint64(1))
-        keys.append(mixed(sums ^ salt))
-        texts.append(some[text])
+        # Some groups stay empty, about this share; so many more let the filled ones still outnumber the differences.
+        empty = 3 * np.exp(-near / max(1, 100 - near))
+        groups = differ + 1 + np.where(differ > 0, np.ceil(empty * (differ + 1)).astype(np.int64), 0)
+        own_differ = np.minimum(differ, n[some] * (100 - near) // near)
+        for turn in range(ROUNDS):
+            counts = n[some]
+            rows = flat_ranges(first[some], counts)
+            slot_first = np.cumsum(groups) - groups
+            scrambled = mixed(hashes[rows] + np.uint64(0x51ED27 + turn))
+            slot = np.repeat(slot_first, counts) + (scrambled >> np.uint64(8)).astype(np.int64) % np.repeat(groups, counts)
+            order = np.argsort(slot, kind="stable")
+            used, begin = np.unique(slot[order], return_index=True)
+            sums = np.zeros(int(groups.sum()), np.uint64)
+            sums[used] = np.add.reduceat(scrambled[order], begin)
+            filled = np.zeros(len(sums), bool)
+            filled[used] = True
+            text = np.repeat(np.arange(len(some)), groups)
+            place = np.arange(len(sums)) - slot_first[text]
+            again = np.add.reduceat(filled, slot_first, dtype=np.int64) <= own_differ
+            give = filled | again[text] if turn == ROUNDS - 1 else filled
+            salt = mixed((size_class[some][text].astype(np.uint64) << np.uint64(40)) + (np.uint64(turn) << np.uint64(32)) + place.astype(np.uint64) + np.uint64(1))
+            keys.append(mixed(sums ^ salt)[give])
+            texts.append(some[text[give]])
+            some, groups, own_differ = some[again], groups[again], own_differ[again]
+            if not len(some):
+                break
     if not keys:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     return np.concatenate(keys), np.concatenate(texts)
@@ -255,16 +271,19 @@ class Tree:
 
 
 def tree_pairs(table: pa.Table, near: int) -> pa.Table:
-    """Pairs across components among the documents of each key of a part."""
+    """Pairs across components of each key of a part: documents that ask with those that are in its tree."""
     key, doc, part, n, beyond = (table.column(c).to_numpy() for c in ("key", "doc_id", "component", "n", "beyond"))
-    stray = table.column("stray").to_numpy()
+    asks, held = (table.column(c).to_numpy() for c in ("asks", "held"))
     point = np.frombuffer(b"".join(table.column("point").to_pylist()), np.uint8).reshape(-1, COORDINATES)
-    order = np.lexsort((doc, stray, key))
+    order = np.lexsort((doc, asks, key))
     _, begin = np.unique(key[order], return_index=True)
     a_ids, b_ids = [], []
-    for rows in np.split(order, begin[1:]):
+    for own in np.split(order, begin[1:]):
+        rows = own[held[own]]
+        if not len(rows):
+            continue
         tree = Tree(point[rows], beyond[rows], n[rows])
-        for q in rows[stray[rows]].tolist():
+        for q in own[asks[own]].tolist():
             found = rows[tree.near(point[q], int(beyond[q]), int(n[q]), near)]
             found = found[part[found] != part[q]]
             a_ids.append(np.minimum(doc[found], doc[q]))
@@ -273,6 +292,23 @@ def tree_pairs(table: pa.Table, near: int) -> pa.Table:
     return pa.Table.from_batches([_table("hub long, doc_id long", hub=a, doc_id=b)])
 
 
+def dealt_cells(rows: DataFrame, buckets: int) -> DataFrame:
+    """Documents of contested keys in cells where strays ask and all are held.
+
+    A key in one part is one cell, many of which make a group. Otherwise each part of
+    its strays meets each part of all its documents in a cell that is a group by itself.
+    """
+    stray_part, part = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("strays_parts")), F.pmod(F.xxhash64("doc_id"), F.col("size_parts"))
+    asking = F.transform(F.sequence(F.lit(0), F.col("size_parts") - 1), lambda j: F.struct(stray_part.alias("i"), j.alias("j"), F.lit(True).alias("asks"), (j == part).alias("held")))
+    other = F.transform(F.sequence(F.lit(0), F.col("strays_parts") - 1), lambda i: F.struct(i.alias("i"), part.alias("j"), F.lit(False).alias("asks"), F.lit(True).alias("held")))
+    other = F.filter(other, lambda c: ~F.col("stray") | (c["i"] != stray_part))
+    cells = rows.withColumn("at", F.explode(F.when(F.col("stray"), F.concat(asking, other)).otherwise(other)))
+    cells = cells.withColumn("tree", F.pmod(F.xxhash64("key"), F.lit(4 * buckets))).withColumn(
+        "cell", F.when(F.col("size_parts") > 1, F.xxhash64("key", "at.i", "at.j")).otherwise(F.lit(0).cast("long"))
+    )
+    return cells.select("tree", "cell", "key", "doc_id", "component", "n", "point", "beyond", "at.asks", "at.held")
+
+
 def packed_texts(members: DataFrame, docs: DataFrame) -> DataFrame:
     """Compressed whole texts of all documents that share a key.
 
@@ -377,15 +413,13 @@ def join(docs: DataFrame, words: int = WORDS, near: int = NEAR) -> DataFrame:
     holders = holders.join(parts, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     holders = kept(holders, "holders")
     contested = holders.groupBy("key").agg(F.count("*").alias("size"), F.min("component").alias("main"), F.max("component").alias("last"))
-    contested = contested.filter("main < last").select("key", "main", F.ceil(F.col("size") / TREE_ROWS).alias("parts"))
+    contested = contested.filter("main < last").select("key", "main", "size")
+    strays = holders.join(contested.filter(F.col("size") > TREE_ROWS), "key").filter("component <> main").groupBy("key").agg(F.count("*").alias("strays"))
+    contested = contested.join(strays, "key", "left").withColumn("strays", F.coalesce("strays", F.lit(1)))
+    contested = contested.select("key", "main", *[F.ceil(F.col(c) / TREE_ROWS).alias(f"{c}_parts") for c in ("size", "strays")])
     rows = holders.join(contested, "key").join(single.select("doc_id", "n", "point", "beyond"), "doc_id")
-    rows = rows.withColumn("stray", F.col("component") != F.col("main"))
-    # Those outside the main component go to every part, the others to one.
-    dealt = rows.withColumn(
-        "part", F.explode(F.when(F.col("stray"), F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array(F.pmod(F.hash("doc_id"), F.col("parts")))))
-    )
-    dealt = dealt.withColumn("tree", F.pmod(F.xxhash64("key", "part"), F.lit(4 * buckets)))
-    crossing = dealt.groupBy("tree").applyInArrow(lambda table: tree_pairs(table, near), "hub long, doc_id long").distinct()
+    dealt = dealt_cells(rows.withColumn("stray", F.col("component") != F.col("main")), buckets)
+    crossing = dealt.groupBy("tree", "cell").applyInArrow(lambda table: tree_pairs(table, near), "hub long, doc_id long").distinct()
     crossing = kept(crossing.join(pairs.select(F.least("hub", "doc_id").alias("hub"), F.greatest("hub", "doc_id").alias("doc_id")), ["hub", "doc_id"], "left_anti"), "crossing")
     crossing = kept(_bounded(crossing, single, near).select("hub", "doc_id"), "bounded")
     more = kept(verified(crossing, texts, words, near), "more")

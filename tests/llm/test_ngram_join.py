@@ -140,3 +140,38 @@ def test_fine_points_bound_the_overlap():
     many = np.arange(300_000, dtype=np.uint64) * np.uint64(4096)  # one group holds more than a byte
     (x,) = ngram_join.fine_points(many, np.array([0, len(many)]))
     assert ngram_join.fine_overlap(x, x) == len(many)
+
+
+def test_empty_groups_make_no_common_key():
+    """Unrelated sets share no key, and every linked pair does."""
+    rng = np.random.default_rng(2)
+    for near in (80, 90):
+        sets = [np.unique(rng.integers(0, 2**63, size).astype(np.uint64)) for size in rng.integers(1, 200, 3000)]
+        pairs = []
+        for k in range(0, 1500):
+            a, change = sets[k], int(rng.integers(0, 1 + len(sets[k]) * (100 - near) // 100))
+            b = np.unique(np.concatenate([a[: len(a) - change], rng.integers(0, 2**63, int(rng.integers(0, change + 1))).astype(np.uint64)]))
+            if 100 * len(np.intersect1d(a, b)) >= near * len(np.union1d(a, b)):
+                pairs.append((k, len(sets)))
+                sets.append(b)
+        key, text = ngram_join.link_keys(np.concatenate(sets), np.concatenate([[0], np.cumsum([len(x) for x in sets])]), near)
+        own = [set() for _ in sets]
+        for k, t in zip(key.tolist(), text.tolist()):
+            own[t].add(k)
+        assert len(pairs) > 500 and all(own[a] & own[b] for a, b in pairs)
+        _, holders = np.unique(np.unique(np.stack([key, text.astype(np.uint64)]), axis=1)[0], return_counts=True)
+        # A set and its copy; the rest are unrelated.
+        assert holders.max() <= 4
+
+
+def test_cells_hold_each_pair_in_a_bounded_group(spark, monkeypatch):
+    """Strays of a key do not go to all parts: no cell has more than its share on either side."""
+    monkeypatch.setattr(ngram_join, "TREE_ROWS", 50)
+    # 400 documents of one key, 200 of them strays: 8 parts, 4 of strays.
+    rows = spark.range(400).selectExpr("7L AS key", "id AS doc_id", "id % 2 AS component", "id % 2 = 1 AS stray", "8L AS size_parts", "4L AS strays_parts", "5L AS n", "X'00' AS point", "0L AS beyond")
+    cells = {}
+    for r in ngram_join.dealt_cells(rows, 4).collect():
+        cells.setdefault((r.tree, r.cell), []).append(r)
+    asked = [(a.doc_id, b.doc_id) for own in cells.values() for a in own if a.asks for b in own if b.held]
+    assert len(cells) == 32 and sorted(asked) == [(a, b) for a in range(1, 400, 2) for b in range(400)]
+    assert max(sum(r.asks for r in own) for own in cells.values()) <= 80 and max(sum(r.held for r in own) for own in cells.values()) <= 80
