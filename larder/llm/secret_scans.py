@@ -1,6 +1,8 @@
 """Secret scans: a random forest over candidate strings, trained from labelled findings to drop false positives.
 
-A candidate is a run of at least 16 key characters with a digit. Its features are
+A candidate is a run of at least ``SHORT`` key characters with a digit or capitals
+inside, any of at least ``LONG``, and any of at least ``ASSIGNED`` after a
+credential's name and ``=`` or ``:``. Its features are
 its length, the kinds of characters and the transitions between them, its
 entropy, how likely its letter pairs are in ordinary words, how much of it
 words of the corpus cover, marks of a path or address around it, and the
@@ -8,9 +10,10 @@ neighbouring words. The forest is trained in numpy on a bounded sample of
 labelled findings (``SAMPLE_ROWS`` of each label, lowest hash first), and every
 candidate of every whole text is scored.
 
-Without labelled findings of their own, callers get them by ``weak_labels``: a
-candidate is a secret if it stands, quoted or not, after a credential's name and
-``=`` or ``:``. Null and empty texts have no candidates; repeated rows each have
+Without labelled findings of their own, callers get them by ``weak_labels``: known
+formats of keys, placeholders, paths, addresses and numbers, and whether a candidate
+stands after a credential's name and an assignment. The forest then does not see
+the features ``UNSEEN`` that tell the latter, so it judges the candidate itself. Null and empty texts have no candidates; repeated rows each have
 theirs; without findings of both labels nothing is a secret; clashing columns
 are not read; an empty table gives no row. The secret itself is never returned.
 """
@@ -34,8 +37,22 @@ WORD_ROWS = 2000
 DICTIONARY_WORDS = 3000
 TREES, DEPTH, LEAF = 25, 6, 3
 MASK = "<secret>"
-CANDIDATE = re.compile(r"[A-Za-z0-9_+/=\-]{16,}")
+ASSIGNED, SHORT, LONG = 6, 8, 16
+# A sign of assignment ends a run, padding at its end does not.
+CANDIDATE = re.compile(rf"[A-Za-z0-9_+/\-.!@$%]{{{ASSIGNED},}}={{0,2}}")
+UNLIKE_WORDS = re.compile(r"[0-9]|[a-z][A-Z]|[A-Z]{2}[a-z]")
+LETTER = re.compile(r"[A-Za-z]")
 CREDENTIAL = re.compile(r"(?i)(token|secret|passw(or)?d|pwd|api[_-]?key|access[_-]?key|auth|credential|private[_-]?key)\W{0,3}\s*[:=]\s*\W{0,3}$")
+# Whole candidates, for weak labels.
+KEY_FORMATS = (
+    r"^(AKIA|ASIA)[0-9A-Z]{16}$|^gh[pousr]_[0-9A-Za-z]{36}$|^github_pat_\w{40,}$|^glpat-[\w\-]{20,}$|^xox[abeoprs]-[0-9A-Za-z\-]{10,}$|^AIza[\w\-]{35}$"
+    r"|^[rs]k_live_[0-9A-Za-z]{16,}$|^sk-[\w\-]{20,}$|^npm_[0-9A-Za-z]{36}$|^SG\.[\w\-]{16,}\.[\w\-]{16,}$|^eyJ[\w\-]{8,}\.eyJ[\w\-]{8,}\.[\w\-]{8,}$"
+)
+PLACEHOLDERS = r"(?i)example|sample|dummy|placeholder|change[_-]?me|replace[_-]|insert[_-]|redacted|^your|[_-]your|x{4,}|^\W*(\w)\1+\W*$|^0?123456|\.\.\.|^[$%]\w+%?$"
+PLACES = r"^(\.{0,2}|~)/[\w.]|^//|^www\.|^[\w.+%\-]+@[\w\-]+(\.[\w\-]+)+$|^([A-Za-z0-9\-]+\.)+[A-Za-z]{2,6}(/\S*)?$|^[\w.\-]+(/[\w.\-]+)*\.[a-z]{1,4}$"
+NUMBERS = r"^[0-9+\-][0-9.,/+\-%]*$"
+ORDINARY = r"^[.!@$%/_\-]*([A-Z]?[a-z]+|[A-Z]+)([.!@$%/_\-]+([A-Z]?[a-z]+|[A-Z]+))*[.!@$%/_\-]*$"
+UNSEEN = ("assigned", "name")
 BEFORE, AFTER = 48, 16
 FINDINGS = "doc_id long, start long, n_chars long, candidate string, before string, after string"
 FEATURES = (
@@ -46,8 +63,14 @@ FEATURES = (
 
 def candidates(text: str) -> Iterator[tuple[int, int]]:
     for m in CANDIDATE.finditer(text):
-        if any("0" <= c <= "9" for c in m.group()):
-            yield m.span()
+        a, b = m.span()
+        while text[b - 1] == ".":  # ends a sentence
+            b -= 1
+        before = text[max(0, a - 8) : a]
+        if b - a >= SHORT and UNLIKE_WORDS.search(text, a, b) or b - a >= LONG and LETTER.search(text, a, b):
+            yield a, b
+        elif b - a >= ASSIGNED and (":" in before or "=" in before) and CREDENTIAL.search(text[max(0, a - BEFORE) : a]):
+            yield a, b
 
 
 def findings(docs: DataFrame) -> DataFrame:
@@ -65,14 +88,16 @@ def findings(docs: DataFrame) -> DataFrame:
                 kinds = (*[pa.int64()] * 3, *[pa.string()] * 3)
                 yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=[x.split()[0] for x in FINDINGS.split(", ")])
 
-    # Nothing else in a text can be a candidate, so others need not leave the scan.
-    likely = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return likely.filter(F.col("text").rlike("[0-9]")).mapInArrow(run, FINDINGS)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, FINDINGS)
 
 
 def weak_labels(found: DataFrame) -> DataFrame:
-    """Findings with ``label``: 1 after a credential's name and an assignment sign."""
-    return found.withColumn("label", F.col("before").rlike(CREDENTIAL.pattern).cast("int"))
+    """Findings with ``label``: null where nothing but the candidate itself tells."""
+    own, assigned = F.col("candidate"), F.col("before").rlike(CREDENTIAL.pattern)
+    label = F.when(own.rlike(PLACEHOLDERS), 0).when(own.rlike(KEY_FORMATS), 1).when(own.rlike(PLACES), 0)
+    # Words and numbers may be passwords, after a name.
+    label = label.when(own.rlike(ORDINARY), F.when(~assigned, 0)).when(own.rlike(NUMBERS) & ~assigned, 0).when(assigned, 1)
+    return found.withColumn("label", label.cast("int"))
 
 
 class Words:
@@ -131,6 +156,12 @@ def features(candidate: str, before: str, after: str, words: Words) -> list[floa
     ]
 
 
+def blanked(row: list[float], unseen: list[int]) -> list[float]:
+    for f in unseen:
+        row[f] = 0.0
+    return row
+
+
 class Forest:
     """Trees on bootstrap samples, each split among a few random features by Gini impurity."""
 
@@ -179,11 +210,13 @@ class Forest:
 
 
 class Scanner:
-    def __init__(self, forest: Forest, words: Words) -> None:
-        self.forest, self.words = forest, words
+    """A forest with the places of the features that it does not see."""
+
+    def __init__(self, forest: Forest, words: Words, unseen: tuple[str, ...] = ()) -> None:
+        self.forest, self.words, self.unseen = forest, words, [FEATURES.index(f) for f in unseen]
 
     def score(self, candidate: str, before: str, after: str) -> float:
-        return self.forest.score(features(candidate, before, after, self.words))
+        return self.forest.score(blanked(features(candidate, before, after, self.words), self.unseen))
 
     def masked(self, text: str) -> str:
         out, at = [], 0
@@ -203,15 +236,15 @@ def sample_words(docs: DataFrame, rows: int = WORD_ROWS) -> Words:
     return Words({r.word: r["count"] for r in top.collect()})
 
 
-def train(labelled: DataFrame, words: Words, rows: int = SAMPLE_ROWS) -> Scanner:
-    """Fit on at most so many findings of each label."""
-    x, y = [], []
+def train(labelled: DataFrame, words: Words, rows: int = SAMPLE_ROWS, unseen: tuple[str, ...] = ()) -> Scanner:
+    """Fit on at most so many findings of each label, without the features ``unseen``."""
+    x, y, hidden = [], [], [FEATURES.index(f) for f in unseen]
     for label in (0, 1):
         own = labelled.filter(F.col("label") == label).orderBy(F.xxhash64("doc_id", "start"), "doc_id", "start", "candidate").limit(rows)
         for r in own.collect():
-            x.append(features(r.candidate, r.before, r.after, words))
+            x.append(blanked(features(r.candidate, r.before, r.after, words), hidden))
             y.append(label)
-    return Scanner(Forest(np.array(x).reshape(-1, len(FEATURES)), np.array(y)), words)
+    return Scanner(Forest(np.array(x).reshape(-1, len(FEATURES)), np.array(y)), words, unseen)
 
 
 def scored(found: DataFrame, scanner: Scanner) -> DataFrame:
@@ -227,16 +260,21 @@ def scored(found: DataFrame, scanner: Scanner) -> DataFrame:
     return found.mapInArrow(run, "doc_id long, start long, n_chars long, score double, is_secret int")
 
 
+def trained(docs: DataFrame, found: DataFrame | None, labelled: DataFrame | None) -> Scanner:
+    """On labelled findings, or on weak labels of those found."""
+    words = sample_words(docs)
+    return train(weak_labels(found), words, unseen=UNSEEN) if labelled is None else train(labelled, words)
+
+
 def scan(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
     """Every candidate of the documents with its score."""
     found = kept(findings(docs), "findings")
-    return scored(found, train(weak_labels(found) if labelled is None else labelled, sample_words(docs)))
+    return scored(found, trained(docs, found, labelled))
 
 
 def masked(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
     """The documents with their secrets masked and ``n_chars`` renewed; other columns as they are."""
-    labelled = weak_labels(kept(findings(docs), "findings")) if labelled is None else labelled
-    scanner = train(labelled, sample_words(docs))
+    scanner = trained(docs, kept(findings(docs), "findings") if labelled is None else None, labelled)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -181,3 +181,40 @@ def test_secrets_are_found_and_masked(spark):
     assert all(masked[k].text == texts[k] for k in range(200) if k % 4)
     assert secret_scans.scan(docs.filter("false")).count() == 0
     assert secret_scans.scan(docs.filter("doc_id % 4 = 2")).count() == 0
+
+
+def test_secrets_are_judged_by_themselves(spark):
+    """Bare keys are found, placeholders after a name are not; short and dotted secrets are candidates."""
+    rng = random.Random(9)
+    upper, mixed_ = "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    rows, real, fake = [], {}, {}
+    for k in range(300):
+        text, kind = prose(rng, "en", 20), k % 6
+        if kind == 0:
+            real[k] = "".join(rng.choice(mixed_) for _ in range(40))
+            text += f' api_key = "{real[k]}" '
+        elif kind == 1:
+            real[k] = "AKIA" + "".join(rng.choice(upper) for _ in range(16))
+            text += f" {real[k]} "
+        elif kind == 2:
+            fake[k] = rng.choice((f"/usr/lib/{prose(rng, 'en', 1)}/ssl{k}.key", f"your-example-key-{k}", "x" * 24 + str(k)))
+            text += f' api_key = "{fake[k]}" '
+        elif kind == 3:
+            text += f" {rng.randrange(10**15, 10**16)} mail{k}.example.com "
+        rows.append((k, text + prose(rng, "en", 5), "en", "s", 0))
+    docs = spark.createDataFrame(rows, DOC)
+    found = secret_scans.scan(docs).collect()
+    texts = {r[0]: r[1] for r in rows}
+    secrets = {r.doc_id: texts[r.doc_id][r.start : r.start + r.n_chars] for r in found if r.is_secret}
+    assert np.mean([secrets.get(k) == v for k, v in real.items()]) > 0.95
+    assert not set(secrets) & set(fake)
+    labels = {r.candidate: r.label for r in secret_scans.weak_labels(secret_scans.findings(docs)).collect()}
+    assert all(labels[v] == 1 for v in real.values()) and all(labels[v] == 0 for v in fake.values())
+
+
+def test_short_dotted_and_digit_free_runs_are_candidates():
+    wanted = ("hunter2", "Tr0ub4dor!", "pa$$w0rd%9", "correcthorse", "eyJhbGciOi.eyJzdWIiOi.SflKxwRJSM", "abcDEFghiJKLmnop", "QWERtyUIopASdf")
+    for own in wanted:
+        for text in (f'password: "{own}".', f"PASSWORD={own}. And"):
+            assert own in [text[a:b] for a, b in secret_scans.candidates(text)], text
+    assert list(secret_scans.candidates("Ordinary sentence, with Words. Nothing.here!")) == []
