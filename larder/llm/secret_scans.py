@@ -33,7 +33,6 @@ from pyspark.sql import functions as F
 from larder.llm.common import documents, kept
 
 SAMPLE_ROWS = 2000
-WORD_ROWS = 2000
 DICTIONARY_WORDS = 3000
 TREES, DEPTH, LEAF = 25, 6, 3
 MASK = "<secret>"
@@ -101,7 +100,7 @@ def weak_labels(found: DataFrame) -> DataFrame:
 
 
 class Words:
-    """Letter pairs and frequent words of a bounded sample of ordinary words."""
+    """Letter pairs and the most frequent of the given words."""
 
     def __init__(self, words: dict[str, int]) -> None:
         self.words = frozenset(w for w, _ in sorted(words.items(), key=lambda x: (-x[1], x[0]))[:DICTIONARY_WORDS])
@@ -227,11 +226,10 @@ class Scanner:
         return "".join([*out, text[at:]]) if at else text
 
 
-def sample_words(docs: DataFrame, rows: int = WORD_ROWS) -> Words:
-    """Ordinary words of the documents with the lowest hashes of their id."""
-    ids = docs.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    words = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(ids), "doc_id")
-    counted = words.select(F.explode(F.expr(r"regexp_extract_all(lower(text), '\\p{L}{3,12}', 0)")).alias("word")).groupBy("word").count()
+def corpus_words(docs: DataFrame) -> Words:
+    """The words in the most documents, each document counted once for a word."""
+    own = F.array_distinct(F.expr(r"regexp_extract_all(lower(CAST(text AS STRING)), '\\p{L}{3,12}', 0)"))
+    counted = docs.select(F.explode(own).alias("word")).groupBy("word").count()
     top = counted.orderBy(F.col("count").desc(), "word").limit(4 * DICTIONARY_WORDS)
     return Words({r.word: r["count"] for r in top.collect()})
 
@@ -262,7 +260,7 @@ def scored(found: DataFrame, scanner: Scanner) -> DataFrame:
 
 def trained(docs: DataFrame, found: DataFrame | None, labelled: DataFrame | None) -> Scanner:
     """On labelled findings, or on weak labels of those found."""
-    words = sample_words(docs)
+    words = corpus_words(docs)
     return train(weak_labels(found), words, unseen=UNSEEN) if labelled is None else train(labelled, words)
 
 

@@ -218,3 +218,12 @@ def test_short_dotted_and_digit_free_runs_are_candidates():
         for text in (f'password: "{own}".', f"PASSWORD={own}. And"):
             assert own in [text[a:b] for a, b in secret_scans.candidates(text)], text
     assert list(secret_scans.candidates("Ordinary sentence, with Words. Nothing.here!")) == []
+
+
+def test_words_come_from_all_documents(spark):
+    """More documents than a sample of 2,000, each counted once for a word."""
+    rows = [(k, f"common word{'' if k % 2 else ' common common'}", "en", "s", 0) for k in range(5000)]
+    rows += [(None, "nameless", "en", "s", 0), (None, None, "en", "s", 0)] + [(9000 + k, f"rare{'abcdefghij'[k]} twice twice", "de", "s", 0) for k in range(10)]
+    words = secret_scans.corpus_words(spark.createDataFrame(rows, DOC))
+    assert words.words == {"common", "word", "nameless", "twice", *(f"rare{c}" for c in "abcdefghij")}
+    assert words.pairs["tw"] < words.pairs["wo"] == words.pairs["co"]
