@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from larder.sources.workspace import shared_folder
@@ -40,6 +40,19 @@ def fold(column: str, folds: int) -> F.Column:
     return F.crc32(F.col(column).cast("string")) % folds
 
 
+def lowest_of_each(rows: DataFrame, label: str, totals: dict, most: int) -> DataFrame:
+    """At most so many rows of each label, those with the lowest hash ``place`` first.
+
+    Of a label with many rows only about twice as many get to the window, by their hash.
+    """
+    shares = [(k, min(2**63 - 1, int(2**64 * 2 * most / n) - 2**63)) for k, n in totals.items()]
+    spark = rows.sparkSession
+    limits = spark.createDataFrame(shares, rows.select(label).schema.add("limit", "long"))
+    first = Window.partitionBy(label).orderBy("place", "doc_id")
+    near = rows.join(F.broadcast(limits), label).filter("place <= limit").drop("limit")
+    return near.withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= most).drop("_n")
+
+
 def text_slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Pieces of a batch with the UTF-8 bytes of their texts and the texts' offsets; null is empty."""
     array = batch.column(column)

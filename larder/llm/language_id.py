@@ -2,9 +2,10 @@
 
 Every run of one to three bytes of the text (ASCII letters in lower case, other
 ASCII as a space) hashes to an embedding; their mean goes through a softmax.
-Trained on a bounded sample of labelled rows (``SAMPLE_ROWS``, lowest hash of the
-id first), of which a fifth calibrates a temperature and the score below which
-a prediction is rejected.
+Trained on a bounded sample of labelled rows (``SAMPLE_ROWS`` of each language,
+lowest hash of the id first; the bias then follows the shares in all rows), of
+which a fifth calibrates a temperature and the score below which a prediction is
+rejected.
 
 A text that is null or has no letter is ``und`` with score 0, whatever else. Rows
 without a label are predicted, never learned from. Repeated rows get equal
@@ -22,9 +23,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm.common import documents, fold, text_slices
+from larder.llm.common import documents, fold, kept, lowest_of_each, text_slices
 
-SAMPLE_ROWS = 3000
+SAMPLE_ROWS = 1000
 BUCKETS = 4096
 WIDTH = 16
 EPOCHS = 12
@@ -101,11 +102,13 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, seed: int = 7) -> LanguageModel:
-    """Fit on the labelled rows with the lowest hashes of their id."""
-    usable = labelled.filter(F.col("lang").isNotNull())
-    ids = usable.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
-    sample = usable.select("doc_id", "lang", F.col("text").cast("string").alias("text")).join(F.broadcast(ids), "doc_id")
-    rows = sample.filter(F.col("text").rlike("\\p{L}")).mapInArrow(_features, "lang string, buckets array<int>, counts array<long>").collect()
+    """Fit on the labelled rows of each language with the lowest hashes of their id."""
+    texts = labelled.select("doc_id", "lang", F.col("text").cast("string").alias("text")).filter("doc_id IS NOT NULL AND lang IS NOT NULL AND text RLIKE '\\\\p{L}'")
+    ids = kept(texts.select("doc_id", "lang", F.xxhash64("doc_id").alias("place")).distinct(), "labelled_ids")
+    totals = {r.lang: r["count"] for r in ids.groupBy("lang").count().collect()}
+    chosen = lowest_of_each(ids, "lang", totals, sample_rows).select("doc_id", "lang")
+    sample = texts.join(F.broadcast(chosen), ["doc_id", "lang"]).distinct()
+    rows = sample.mapInArrow(_features, "lang string, buckets array<int>, counts array<long>").collect()
     rows = sorted(rows, key=lambda r: (r.lang, r.buckets, r.counts))
     languages = sorted({r.lang for r in rows})
     if not languages:
@@ -135,13 +138,17 @@ def train(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, seed: int = 7) ->
             embedding -= 20 * rate * x[some].T @ back
     model = LanguageModel(languages, np.zeros((len(languages), BUCKETS + 1)), bias)
     model.weights[:, :BUCKETS] = (embedding @ out).T
+    # Sampled evenly, so the shares in all rows come back into the bias, at the scale of the calibrated scores.
+    shares = np.array([totals[k] for k in languages], float) / np.bincount(y)
+    prior = np.log(shares / shares.max())
     if len(held):
         z = x[held] @ model.weights[:, :BUCKETS].T + bias
         grid = np.geomspace(0.5, 20, 40)
         loss = [-np.log(softmax(z / t)[np.arange(len(held)), y[held]] + 1e-12).mean() for t in grid]
         model.temperature = float(grid[int(np.argmin(loss))])
-        best = softmax(z / model.temperature).max(axis=1)
+        best = softmax(z / model.temperature + prior).max(axis=1)
         model.reject_below = float(np.quantile(best, REJECT_QUANTILE)) * REJECT_MARGIN
+    model.bias = bias + model.temperature * prior
     return model
 
 

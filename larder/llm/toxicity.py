@@ -7,8 +7,9 @@ directions, attention pools their states, and a logistic unit scores the
 window. All overlapping windows of the whole text are scored; a document's score
 is that of its worst window.
 
-The network learns from a bounded sample of labelled rows (``SAMPLE_ROWS``,
-lowest hash of the id first), from each the window with the words likeliest in
+The network learns from a bounded sample of labelled rows (``SAMPLE_ROWS`` of each
+label, lowest hash of the id first, those with words; the bias then follows the
+labels' shares in all rows), from each the window with the words likeliest in
 toxic rows and some spread evenly. Only texts are inputs of a score.
 
 A null or empty text or one without words is one window without words. Rows with
@@ -25,9 +26,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm.common import byte_prefix, documents, flat_ranges, fold, kept, span_hash, text_slices, word_spans
+from larder.llm.common import byte_prefix, documents, flat_ranges, fold, kept, lowest_of_each, span_hash, text_slices, word_spans
 
-SAMPLE_ROWS = 3000
+SAMPLE_ROWS = 1500
 SAMPLE_WINDOWS = 4
 WINDOW, STRIDE = 32, 24
 WORD_BUCKETS, LETTER_BUCKETS = 8192, 2048
@@ -205,9 +206,14 @@ LONGEST = 16  # letters of a word that training looks at
 
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Network | None:
     """Fit on the labelled rows with the lowest hashes of their id; None without labels of both kinds."""
-    usable = labels.filter("toxic IN (0, 1)").select("doc_id", F.col("toxic").cast("int").alias("toxic"))
-    chosen = usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
-    texts = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    usable = labels.filter("toxic IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
+    # Letters, digits and bytes above make words.
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).filter("text RLIKE '[0-9A-Za-z]|[^\\\\x00-\\\\x7F]'")
+    ids = kept(usable.join(texts.select("doc_id").distinct(), "doc_id").withColumn("place", F.xxhash64("doc_id")), "labelled_ids")
+    shares = {r.toxic: r["count"] for r in ids.groupBy("toxic").count().collect()}
+    if len(shares) < 2:
+        return None
+    chosen = lowest_of_each(ids, "toxic", shares, sample_rows).select("doc_id", "toxic")
     sample = kept(texts.join(F.broadcast(chosen), "doc_id").select("text", "toxic"), "labelled")
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -258,6 +264,9 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     network = Network()
     network.p["word"][:, 0] = prior
     network.fit(word, letters, mask, np.array([r.toxic for r in rows], np.float32))
+    # Sampled evenly, so the labels' shares in all rows come back into the bias.
+    taken = {k: min(n, sample_rows) for k, n in shares.items()}
+    network.p["bias"] += np.float32(np.log(shares[1] / taken[1]) - np.log(shares[0] / taken[0]))
     return network
 
 

@@ -227,3 +227,20 @@ def test_words_come_from_all_documents(spark):
     words = secret_scans.corpus_words(spark.createDataFrame(rows, DOC))
     assert words.words == {"common", "word", "nameless", "twice", *(f"rare{c}" for c in "abcdefghij")}
     assert words.pairs["tw"] < words.pairs["wo"] == words.pairs["co"]
+
+
+def test_rare_labels_are_learned(spark):
+    """A language and a label far below one in the sample's rows are sampled, and unusable rows take no place."""
+    rng = random.Random(12)
+    rows = [(k, prose(rng, "de" if k % 100 == 7 else "en", 20), "de" if k % 100 == 7 else "en", "s", 0) for k in range(2000)]
+    rows += [(k, "12 !", "es", "s", 0) for k in range(5000, 5300)]
+    docs = spark.createDataFrame(rows, DOC)
+    model = language_id.train(docs, sample_rows=12)
+    assert model.languages == ["de", "en"]
+    model = language_id.train(docs)
+    got = {r.doc_id: r.lang_pred for r in language_id.predict(docs.filter("doc_id < 2000"), model).collect()}
+    assert np.mean([got[k] == "en" for k in got if k % 100 != 7]) > 0.97
+    assert np.mean([got[k] == "de" for k in got if k % 100 == 7]) > 0.5
+    labels = docs.selectExpr("doc_id", "int(doc_id % 100 = 7) AS toxic")
+    assert toxicity.train(docs, labels, sample_rows=12) is not None
+    assert toxicity.train(docs, labels.filter("toxic = 0"), sample_rows=12) is None
