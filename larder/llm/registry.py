@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from larder.llm import decontamination, fingerprints, language_id, ngram_join, packing, secret_scans, sql, substring_dedup, suffix_dedup, token_counts, toxicity
+from larder.llm import (
+    bpe_stream, decontamination, fingerprints, language_id, ngram_join, packing, prefix_trie, secret_scans, sql, substring_dedup,
+    suffix_dedup, token_counts, toxicity, vector_codes,
+)
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,6 +25,9 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_toxicity": toxicity.query,
         "op9_best_fit_packing": packing.query,
         "op10_language_id": language_id.query,
+        "op11_vector_codes": vector_codes.query,
+        "op12_bpe_stream": bpe_stream.query,
+        "op13_prefix_trie": prefix_trie.query,
         "pipeline": corpus_pipeline.run,
     }
 

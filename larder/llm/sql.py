@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from larder.llm import decontamination
+from larder.llm import decontamination, prefix_trie, vector_codes
 
 # Runs of covered windows become spans; what lies between the spans is kept.
 _SPANS = """
@@ -80,4 +80,6 @@ def all_sql() -> dict[str, str]:
         "op3_ngram_jaccard_join": JOIN,
         "op6_suffix_array_dedup": BYTES,
         "op7_benchmark_decontamination": decontamination.SQL,
+        "op11_vector_codes": vector_codes.SQL,
+        "op13_prefix_trie": prefix_trie.SQL,
     }
