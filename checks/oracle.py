@@ -132,18 +132,20 @@ labeled_last AS (
   FROM rated
 )"""
 
+# Sums of one (food, copy) first: a part may have several rows, each a document of its own.
 _counted = """
 SELECT d.fdcId, d.description, d.dataType, d.foodCategory, d.sourceCollection,
-       CAST(COUNT(pos) AS INTEGER) AS n_nutrients,
-       CAST(COALESCE(SUM(nutrientId * place), 0) AS BIGINT) AS id_sum,
-       CAST(COALESCE(SUM(CAST(ROUND(COALESCE(value, -1) * 100) AS BIGINT) * place), 0) AS BIGINT) AS value_sum,
-       CAST(COUNT(pos) - COUNT(value) AS INTEGER) AS n_unread
+       COALESCE(n_nutrients, 0) AS n_nutrients, COALESCE(id_sum, 0) AS id_sum,
+       COALESCE(value_sum, 0) AS value_sum, COALESCE(n_unread, 0) AS n_unread
 FROM docs d LEFT JOIN (
-  SELECT fdcId, copy, pos, nutrientId, value,
-         ROW_NUMBER() OVER (PARTITION BY fdcId, copy ORDER BY pos) AS place
-  FROM facts
-) f ON d.fdcId = f.fdcId AND d.copy = f.copy
-GROUP BY d.copy, d.fdcId, d.description, d.dataType, d.foodCategory, d.sourceCollection"""
+  SELECT l_partkey, half, CAST(COUNT(*) AS INTEGER) AS n_nutrients, CAST(SUM(nutrientId * place) AS BIGINT) AS id_sum,
+         CAST(SUM(CAST(ROUND(COALESCE(value, -1) * 100) AS BIGINT) * place) AS BIGINT) AS value_sum,
+         CAST(COUNT(*) - COUNT(value) AS INTEGER) AS n_unread
+  FROM (
+    SELECT l_partkey, half, nutrientId, value, ROW_NUMBER() OVER (PARTITION BY l_partkey, half ORDER BY pos) AS place
+    FROM named, (SELECT UNNEST([0, 1]) AS half) WHERE half = 0 OR slot % 2 = 0
+  ) GROUP BY l_partkey, half
+) f ON d.fdcId = l_partkey AND d.copy = half"""
 
 _long = f"""
 SELECT g.sourceCollection, g.foodCategory, nutrient, avg_value, count,
