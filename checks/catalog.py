@@ -85,6 +85,20 @@ def read_snapshot(spark, sf_dir):
     return _documents(_landed(spark, sf_dir))
 
 
+@_query
+def read_array(spark, sf_dir):
+    """The documents as one JSON array a source, each read by many tasks."""
+
+    def land() -> str:
+        root = f"{ws.folder(spark, sf_dir)}/arrays"
+        for dataset in DATASETS.values():
+            snapshots.land_array(ws.raw_table(spark, sf_dir), root, dataset, ws.SNAPSHOT_DATE)
+        return root
+
+    root = ws.once(spark, sf_dir, "arrays", land)
+    return _documents(snapshots.read_sources(spark, root, ws.SNAPSHOT_DATE, one_array=True, extra=ws.COPY))
+
+
 @_query
 def scan_raw(spark, sf_dir):
     return _documents(ws.raw_table(spark, sf_dir))
@@ -126,6 +140,45 @@ def load_replace_empty(spark, sf_dir):
     return _documents(tables.scan_raw(spark, path, ws.RAW_SCHEMA))
 
 
+@_query
+def load_rejects(spark, sf_dir):
+    """Rows by source and state after a load that knows two sources; every tenth document has lost its source."""
+    path = ws.new_folder(spark)
+    lost = F.when(F.col("fdcId") % 10 == 0, None).otherwise(F.col("sourceCollection"))
+    docs = ws.raw_table(spark, sf_dir).withColumn("sourceCollection", lost)
+    tables.load_raw(docs, path, sources=["survey", "legacy"], unknown="quarantine", allow_empty=True)
+    loaded = tables.scan_raw(spark, path, ws.RAW_SCHEMA).withColumn("state", F.lit("loaded"))
+    rejected = tables.scan_rejected(spark, path, ws.RAW_SCHEMA).withColumn("state", F.lit("rejected"))
+    return loaded.unionByName(rejected).groupBy("sourceCollection", "state").agg(F.count("*").alias("row_count"), F.sum("fdcId").alias("id_sum"))
+
+
+@_query
+def load_refused(spark, sf_dir):
+    """A load that is refused after its rows were staged leaves the table as it was."""
+    path = ws.new_folder(spark)
+    raw = ws.raw_table(spark, sf_dir)
+    tables.load_raw(raw, path, allow_empty=True)
+    try:
+        tables.load_raw(raw.withColumn("sourceCollection", F.lit("elsewhere")), path, allow_empty=True)
+    except ValueError:
+        return _documents(tables.scan_raw(spark, path, ws.RAW_SCHEMA))
+    raise AssertionError("documents of no known source were loaded")
+
+
+@_query
+def load_versions(spark, sf_dir):
+    """Rows by source in each of three versions: loaded, one source replaced by half of it, one added once more."""
+    path = ws.new_folder(spark)
+    raw = ws.raw_table(spark, sf_dir)
+    tables.load_raw(raw, path, allow_empty=True)
+    tables.load_raw(raw.where("sourceCollection = 'survey' AND fdcId % 2 = 0"), path, sources=["survey"], allow_empty=True)
+    tables.load_raw(raw.where("sourceCollection = 'legacy'"), path, replace=False, sources=["legacy"], allow_empty=True)
+    counts = [
+        tables.count_by_source(tables.scan_raw(spark, path, ws.RAW_SCHEMA, version=n)).withColumn("version", F.lit(n)) for n in (1, 2, 3)
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 @_query
 def write_labeled(spark, sf_dir):
     labeled = ws.label_now(spark, sf_dir, DOCUMENT_PATH)

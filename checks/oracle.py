@@ -231,6 +231,7 @@ UNION ALL SELECT 'auc', ROUND(auc, 4) FROM area"""
 # key -> (common tables, final SELECT)
 _parts = {
     "read_snapshot": (DOCS, _counted),
+    "read_array": (DOCS, _counted),
     "scan_raw": (DOCS, _counted),
     "load_replace": (DOCS, _counted),
     "load_replace_empty": (DOCS, _counted.replace("FROM docs d", "FROM (SELECT * FROM docs WHERE sourceCollection <> 'legacy') d")),
@@ -240,6 +241,17 @@ FROM docs GROUP BY sourceCollection"""),
     "verify_counts": (DOCS, """
 SELECT sourceCollection, COUNT(*) AS landed, COUNT(*) AS loaded, TRUE AS matches
 FROM docs GROUP BY sourceCollection"""),
+    "load_rejects": (DOCS, """
+SELECT CASE WHEN fdcId % 10 <> 0 THEN sourceCollection END AS sourceCollection,
+       CASE WHEN fdcId % 10 <> 0 AND sourceCollection IN ('survey', 'legacy') THEN 'loaded' ELSE 'rejected' END AS state,
+       COUNT(*) AS row_count, CAST(SUM(fdcId) AS BIGINT) AS id_sum
+FROM docs GROUP BY 1, 2"""),
+    "load_refused": (DOCS, _counted),
+    "load_versions": (DOCS, """
+SELECT version, sourceCollection, COUNT(*) * MAX(CASE WHEN version = 3 AND sourceCollection = 'legacy' THEN 2 ELSE 1 END) AS row_count
+FROM docs, (SELECT UNNEST([1, 2, 3]) AS version)
+WHERE version = 1 OR sourceCollection <> 'survey' OR fdcId % 2 = 0
+GROUP BY version, sourceCollection"""),
     "write_labeled": (LABELED_MAX, _labeled_max),
     "summary_to_table": (DOCS, _summary),
     "nutrition_summary_all_sources": (DOCS, _long),

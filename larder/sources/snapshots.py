@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder.config import DATASETS, FOODS, Dataset, Layout
+from larder.sources.json_array import read_array
 from larder.sources.schemas import Extra, document_schema
 
 
@@ -35,6 +36,24 @@ def land_snapshot(
     return path
 
 
+def land_array(
+    docs: DataFrame, root: str, dataset: Dataset, snapshot_date: str, layout: Layout = FOODS
+) -> str:
+    """Write one source's documents as one JSON array in one file, as the sources themselves publish them.
+
+    One task writes the file; :func:`land_snapshot` is the form for large ones.
+    """
+    path = array_path(root, dataset, snapshot_date)
+    own = docs.where(F.col(layout.source) == dataset.name).drop(layout.source)
+    rows = own.select(F.to_json(F.struct(*own.columns)).alias("value"), F.lit(0).alias("end"))
+    end = docs.sparkSession.range(1).select(F.lit("").alias("value"), F.lit(1).alias("end"))
+    ordered = rows.unionByName(end).coalesce(1).sortWithinPartitions("end")
+    opener = F.when(F.monotonically_increasing_id() == 0, "[").otherwise(F.when(F.col("end") == 0, ",").otherwise(""))
+    line = F.concat(opener, "value", F.when(F.col("end") == 1, "]").otherwise(""))
+    ordered.select(line.alias("value")).write.mode("overwrite").text(path)
+    return path
+
+
 def read_snapshot(
     spark: SparkSession,
     path: str,
@@ -43,16 +62,14 @@ def read_snapshot(
     extra: Extra = (),
     layout: Layout = FOODS,
 ) -> DataFrame:
-    """Read one snapshot; ``one_array`` is for a file that is one JSON array.
+    """Read one snapshot; ``one_array`` is for files that are one JSON array each, read by many tasks.
 
     Malformed input fails the read instead of turning into nulls.
     """
-    return (
-        spark.read.schema(document_schema(extra, layout))
-        .option("multiLine", one_array)
-        .option("mode", "FAILFAST")
-        .json(path)
-    )
+    schema = document_schema(extra, layout)
+    if one_array:
+        return read_array(spark, path, schema)
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
 def read_sources(

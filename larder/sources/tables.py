@@ -1,4 +1,4 @@
-"""Parquet tables: raw documents, labelled rows, summaries."""
+"""Parquet tables in versions: raw documents, labelled rows, summaries."""
 
 from __future__ import annotations
 
@@ -6,12 +6,17 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from larder.config import DATASETS, FOODS, Layout
+from larder.sources import versions
 from larder.sources.schemas import labeled_schema, raw_schema
 
 
+REJECTED = "rejected"
+STATE, ORIGIN = "_state", "_origin"
+
+
 def load_raw(
     docs: DataFrame,
     path: str,
@@ -19,32 +24,67 @@ def load_raw(
     replace: bool = True,
     allow_empty: bool = False,
     sources: Sequence[str] | None = None,
+    unknown: str = "refuse",
     layout: Layout = FOODS,
 ) -> DataFrame:
-    """Load tagged documents into the raw table; the rows loaded of each source.
+    """Load tagged documents into the raw table in one pass; rows by source and state.
 
-    ``replace`` swaps the partitions of ``sources``, those of the registry if
-    not given, and leaves other sources alone; an empty one is refused before
-    anything is written, or with ``allow_empty`` its old rows go. Otherwise rows
-    are added, and refused only if there are none. All sources are counted first,
-    so that malformed input fails before anything is replaced.
+    ``replace`` swaps the rows of ``sources``, those of the registry if not given,
+    and leaves other sources alone; an empty one is refused, or with
+    ``allow_empty`` its old rows go. Otherwise rows are added, and refused only
+    if there are none. Rows of any other source, or of none, are counted as well:
+    they are refused with the whole load, or with ``unknown="quarantine"`` kept
+    apart for :func:`scan_rejected`, those of the last load only.
+
+    All sources change in one commit (``versions.py``), after the rows counted
+    while they were written are known. Malformed input and refusals change nothing.
     """
-    named = tuple(d.name for d in DATASETS.values()) if sources is None else tuple(sources)
-    parts = {name: docs.where(F.col(layout.source) == name) for name in named}
-    counts = {name: part.count() for name, part in parts.items()}
-    empty = [name for name, n in counts.items() if not n]
-    if not allow_empty and empty and (replace or len(empty) == len(parts)):
-        raise ValueError(f"no documents to load of {', '.join(empty)}")
-    for name, part in parts.items():
-        writer = part.drop(layout.source).write.mode("overwrite" if replace else "append")
-        writer.parquet(f"{path}/{layout.source}={name}")
-    return docs.sparkSession.createDataFrame(list(counts.items()), f"{layout.source} string, landed long")
+    if unknown not in ("refuse", "quarantine"):
+        raise ValueError(f"unknown is 'refuse' or 'quarantine', not {unknown!r}")
+    spark, source = docs.sparkSession, F.col(layout.source)
+    named = tuple(dict.fromkeys(d.name for d in DATASETS.values())) if sources is None else tuple(dict.fromkeys(sources))
+    known = F.coalesce(source.isin(*named), F.lit(False)) if named else F.lit(False)
+    counts = {f"n{i}": F.count_if(source == name) for i, name in enumerate(named)}
+    counts["strange"] = F.count_if(~known)
+    counts["sourceless"] = F.count_if(~known & F.col(ORIGIN).isNull())
+
+    base = versions.version(spark, path)
+    # Rejected rows carry no source as their partition, so that no name can become a folder.
+    rows = docs.withColumns({ORIGIN: F.when(~known, source), layout.source: F.when(known, source), STATE: F.when(known, "loaded").otherwise(REJECTED)})
+    commit, seen = versions.stage(rows, path, [STATE, layout.source], counts)
+    loaded = {name: seen[f"n{i}"] for i, name in enumerate(named)}
+    try:
+        if unknown == "refuse" and seen["strange"]:
+            raise ValueError(f"{seen['strange']} documents are of no known source, {seen['sourceless']} of them of none")
+        empty = [name for name, n in loaded.items() if not n]
+        if not allow_empty and empty and (replace or len(empty) == len(named)):
+            raise ValueError(f"no documents to load of {', '.join(empty)}")
+        old = [p for p in base.of() if not (replace and p.value in named)]
+        new = [versions.Part(commit, name, n) for name, n in loaded.items() if n]
+        if seen["strange"]:
+            new.append(versions.Part(commit, None, seen["strange"], REJECTED))
+        versions.publish(spark, path, base, [*old, *new], layout.source)
+    except BaseException:
+        versions.discard(spark, path, commit)
+        raise
+    result = [(name, "loaded", n) for name, n in loaded.items()]
+    strange = [(None, REJECTED, seen["strange"])] if seen["strange"] else []
+    return spark.createDataFrame(result + strange, f"{layout.source} string, state string, landed long")
 
 
 def scan_raw(
-    spark: SparkSession, path: str, schema: StructType | None = None
+    spark: SparkSession, path: str, schema: StructType | None = None, version: int | None = None
 ) -> DataFrame:
-    return spark.read.schema(schema or raw_schema()).parquet(path)
+    """The raw table, the newest version if none is given."""
+    return versions.read(spark, path, schema or raw_schema(), versions.version(spark, path, version))
+
+
+def scan_rejected(spark: SparkSession, path: str, schema: StructType | None = None, layout: Layout = FOODS) -> DataFrame:
+    """Documents that the last load kept apart, with the source they came with."""
+    schema = schema or raw_schema()
+    stored = StructType([*schema.fields, StructField(ORIGIN, StringType())])
+    rows = versions.read(spark, path, stored, state=REJECTED)
+    return rows.withColumn(layout.source, F.col(ORIGIN)).drop(ORIGIN)
 
 
 def count_by_source(docs: DataFrame, name: str = "row_count", layout: Layout = FOODS) -> DataFrame:
@@ -54,10 +94,12 @@ def count_by_source(docs: DataFrame, name: str = "row_count", layout: Layout = F
 def verify_counts(landed: DataFrame, loaded: DataFrame, layout: Layout = FOODS) -> DataFrame:
     """Rows counted before loading, rows in the table, and whether they agree.
 
-    ``landed`` is what :func:`load_raw` returned, so the landing is not read again.
+    ``landed`` is what :func:`load_raw` returned, counted as it wrote, so the landing
+    is not read again; rows it rejected show as a row without source that does not match.
     """
     return (
-        landed.join(F.broadcast(count_by_source(loaded, "loaded", layout)), layout.source, "left")
+        landed.drop("state")
+        .join(F.broadcast(count_by_source(loaded, "loaded", layout)), layout.source, "left")
         .withColumn("loaded", F.coalesce("loaded", F.lit(0)))
         .withColumn("matches", F.col("landed") == F.col("loaded"))
     )
@@ -72,19 +114,22 @@ def write_labeled(labeled: DataFrame, path: str, *, rebalance: bool = False) ->
     and adaptive execution splits the larger one.
     """
     rows = labeled.hint("rebalance", "isHealthy") if rebalance else labeled
-    rows.write.mode("overwrite").partitionBy("isHealthy").parquet(path)
+    versions.replace(rows, path, "isHealthy", (True, False, None))
     return scan_labeled(labeled.sparkSession, path, labeled.schema)
 
 
 def scan_labeled(
     spark: SparkSession, path: str, schema: StructType | None = None
 ) -> DataFrame:
-    # The schema keeps the partition column boolean; discovery would make it
-    # a string.
-    return spark.read.schema(schema or labeled_schema()).parquet(path)
+    """The labelled table. The schema keeps the partition column boolean; discovery would make it a string."""
+    return versions.read(spark, path, schema or labeled_schema())
 
 
 def write_table(result: DataFrame, path: str) -> DataFrame:
     """Replace a result table and return it as read back."""
-    result.write.mode("overwrite").parquet(path)
-    return result.sparkSession.read.schema(result.schema).parquet(path)
+    versions.replace(result, path)
+    return scan_table(result.sparkSession, path, result.schema)
+
+
+def scan_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    return versions.read(spark, path, schema)
