@@ -17,7 +17,7 @@ from larder.operators.labeling import label_counts
 from larder.operators.nested import pivot, unnest
 from larder.plans import sql_catalog
 from larder.plans.labelling import DOCUMENT_PATH, SPARK_PATH, label_foods, wide_frames, widen
-from larder.sources import snapshots, tables
+from larder.sources import dirty, snapshots, tables
 from larder.sources.results import prediction_rows, write_predictions
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -152,6 +152,38 @@ def load_rejects(spark, sf_dir):
     return loaded.unionByName(rejected).groupBy("sourceCollection", "state").agg(F.count("*").alias("row_count"), F.sum("fdcId").alias("id_sum"))
 
 
+def _dirty(spark: SparkSession, sf_dir: str) -> str:
+    """A table loaded from texts: some values are text, some are none at all, some documents end early."""
+
+    def load() -> str:
+        docs = ws.raw_table(spark, sf_dir)
+        fields = [c for c in docs.columns if c != "sourceCollection"]
+        text, key = F.to_json(F.struct(*fields)), F.col("fdcId")
+        value = r'"value":(-?[0-9.E-]+)'
+        text = F.when(key % 13 == 0, F.regexp_replace(text, value, '"value":"n/a"')).when(key % 11 == 0, F.regexp_replace(text, value, '"value":"$1"')).otherwise(text)
+        cut = F.when(key % 17 == 0, F.expr("left(value, length(value) - 5)")).otherwise(F.col("value"))
+        lines = docs.select("fdcId", text.alias("value"), "sourceCollection").select(cut.alias("value"), "sourceCollection")
+        path = ws.new_folder(spark)
+        tables.load_raw(dirty.parse_documents(lines, extra=ws.COPY), path, unknown="quarantine", allow_empty=True)
+        return path
+
+    return ws.once(spark, sf_dir, "dirty", load)
+
+
+@_query
+def load_dirty(spark, sf_dir):
+    """The documents whose values all fit the schema."""
+    return _documents(tables.scan_raw(spark, _dirty(spark, sf_dir), ws.RAW_SCHEMA))
+
+
+@_query
+def load_dirty_rejects(spark, sf_dir):
+    """The others by source and problem."""
+    apart = tables.scan_rejected(spark, _dirty(spark, sf_dir), ws.RAW_SCHEMA, details=True)
+    problem = F.explode("problems").alias("problem")
+    return apart.select("sourceCollection", problem).groupBy("sourceCollection", "problem").agg(F.count("*").alias("row_count"))
+
+
 @_query
 def load_refused(spark, sf_dir):
     """A load that is refused after its rows were staged leaves the table as it was."""

@@ -246,6 +246,11 @@ SELECT CASE WHEN fdcId % 10 <> 0 THEN sourceCollection END AS sourceCollection,
        CASE WHEN fdcId % 10 <> 0 AND sourceCollection IN ('survey', 'legacy') THEN 'loaded' ELSE 'rejected' END AS state,
        COUNT(*) AS row_count, CAST(SUM(fdcId) AS BIGINT) AS id_sum
 FROM docs GROUP BY 1, 2"""),
+    "load_dirty": (DOCS, f"""
+SELECT * FROM ({_counted}) WHERE fdcId % 17 <> 0 AND (fdcId % 13 <> 0 OR n_nutrients = n_unread)"""),
+    "load_dirty_rejects": (DOCS, f"""
+SELECT sourceCollection, CASE WHEN fdcId % 17 = 0 THEN 'not a JSON object' ELSE 'foodNutrients.value' END AS problem, COUNT(*) AS row_count
+FROM ({_counted}) WHERE fdcId % 17 = 0 OR (fdcId % 13 = 0 AND n_nutrients > n_unread) GROUP BY 1, 2"""),
     "load_refused": (DOCS, _counted),
     "load_versions": (DOCS, """
 SELECT version, sourceCollection, COUNT(*) * MAX(CASE WHEN version = 3 AND sourceCollection = 'legacy' THEN 2 ELSE 1 END) AS row_count
