@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from checks import workspace as ws
 from larder.config import COMPARED_IDS, DATASETS, FEATURES, HEALTHY_MIN, NUTRIENT_IDS, Rule
 from larder.functions.scoring import score
-from larder.operators import labeled_queries, models, raw_queries
+from larder.operators import incremental, label_cube, labeled_queries, models, raw_queries, top_groups
 from larder.operators.evaluation import classification_metrics
 from larder.operators.labeling import label_counts
 from larder.operators.nested import pivot, unnest
@@ -415,6 +415,65 @@ def avg_score_by_source(spark, sf_dir):
     return scores.withColumn("avg_health_score", F.round("avg_health_score", 4))
 
 
+def _cube(labeled: DataFrame) -> DataFrame:
+    cube = label_cube.label_cube(labeled)
+    return cube.select("level", "category", "source", "isHealthy", "total", "healthy", "unhealthy", *[F.round(c, 4).alias(c) for c in cube.columns[7:]])
+
+
+@_named("label_cube")
+def cube_by_document(spark, sf_dir):
+    return _cube(ws.labeled_by_document(spark, sf_dir))
+
+
+@_named("label_cube_spark")
+def cube_by_spark(spark, sf_dir):
+    return _cube(ws.labeled_by_spark(spark, sf_dir))
+
+
+@_query
+def best_and_worst_by_category(spark, sf_dir):
+    return top_groups.best_and_worst_by_group(ws.labeled_by_document(spark, sf_dir), n=5)
+
+
+@_query
+def top_foods_every_nutrient(spark, sf_dir):
+    return top_groups.top_foods_by_every_nutrient(ws.raw_table(spark, sf_dir), KEY_IDS, 10)
+
+
+# Summaries by snapshot date
+
+
+def _states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four dates; the second is replaced by the half of its documents, the last one is taken out."""
+
+    def make() -> str:
+        path = ws.new_folder(spark)
+        raw = ws.raw_table(spark, sf_dir)
+        for day in range(4):
+            incremental.put_date(raw.where(F.col("fdcId") % 4 == day), path, f"2026-03-0{day + 1}", KEY_IDS)
+        incremental.put_date(raw.where("fdcId % 8 = 1"), path, "2026-03-02", KEY_IDS)
+        incremental.drop_date(spark, path, "2026-03-04")
+        return path
+
+    return incremental.scan_states(spark, ws.once(spark, sf_dir, "states", make))
+
+
+@_query
+def incremental_summary(spark, sf_dir):
+    return raw_queries.nutrition_summary_long(incremental.nutrition_summary(_states(spark, sf_dir)))
+
+
+@_query
+def incremental_means(spark, sf_dir):
+    return incremental.avg_nutrients_long(_states(spark, sf_dir), COMPARED_IDS)
+
+
+@_query
+def incremental_cross_source(spark, sf_dir):
+    compared = incremental.cross_source_comparison(_states(spark, sf_dir), COMPARED_IDS)
+    return compared.withColumn("avg_value", F.round("avg_value", 4))
+
+
 # SQL catalogue
 
 

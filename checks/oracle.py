@@ -228,6 +228,26 @@ UNION ALL SELECT 'recall', ROUND(recall_, 4) FROM averages
 UNION ALL SELECT 'f1', ROUND(f1, 4) FROM averages
 UNION ALL SELECT 'auc', ROUND(auc, 4) FROM area"""
 
+_cube_parts = (
+    ("category_label", "foodCategory", None, "isHealthy"), ("category", "foodCategory", None, None),
+    ("source_label", None, "sourceCollection", "isHealthy"), ("source", None, "sourceCollection", None), ("all", None, None, None),
+)
+
+
+def _cube(table: str) -> str:
+    return "\nUNION ALL\n".join(
+        f"""SELECT '{level}' AS level, {c or 'NULL'} AS category, {s or 'NULL'} AS source, {h or 'NULL'} AS isHealthy, COUNT(*) AS total,
+  COUNT(*) FILTER (WHERE isHealthy) AS healthy, COUNT(*) FILTER (WHERE NOT isHealthy) AS unhealthy,
+  ROUND(AVG(healthScore), 4) AS "avg_healthScore", ROUND(AVG(calories), 4) AS avg_calories, ROUND(AVG(protein), 4) AS avg_protein,
+  ROUND(AVG(total_sugars), 4) AS avg_total_sugars
+FROM {table}{' GROUP BY ' + keys if (keys := ', '.join(k for k in (c, s, h) if k)) else ''}"""
+        for level, c, s, h in _cube_parts
+    )
+
+
+# Documents that the dates hold in the end.
+DATED = DOCS.replace("FROM part\n", "FROM part WHERE p_partkey % 4 IN (0, 2) OR p_partkey % 8 = 1\n", 1)
+
 # key -> (common tables, final SELECT)
 _parts = {
     "read_snapshot": (DOCS, _counted),
@@ -367,6 +387,39 @@ FROM labeled_last GROUP BY sourceCollection"""),
 SELECT description, foodCategory, protein, total_fat, calories FROM labeled_last
 WHERE protein > 20 AND total_fat < 5
 ORDER BY protein DESC, fdcId, description, foodCategory, total_fat, calories LIMIT 10"""),
+    "label_cube": (LABELED_MAX, _cube("labeled_max")),
+    "label_cube_spark": (LABELED_LAST, _cube("labeled_last")),
+    "best_and_worst_by_category": (LABELED_MAX, """
+SELECT * FROM (
+  SELECT label, "group", fdcId, description, healthScore, calories,
+         ROW_NUMBER() OVER (PARTITION BY label, "group" ORDER BY CASE WHEN label = 'healthy' THEN -healthScore ELSE healthScore END,
+           fdcId, description NULLS FIRST, calories NULLS FIRST)::INTEGER AS rank
+  FROM (SELECT *, CASE WHEN isHealthy THEN 'healthy' ELSE 'unhealthy' END AS label, foodCategory AS "group" FROM labeled_max)
+) WHERE rank <= 5"""),
+    "top_foods_every_nutrient": (DOCS, f"""
+SELECT * FROM (
+  SELECT sourceCollection, fdcId, description, foodCategory, nutrientId, nutrientName, value, unitName AS unit,
+         ROW_NUMBER() OVER (PARTITION BY sourceCollection, nutrientId ORDER BY value DESC NULLS LAST, fdcId, description NULLS FIRST,
+           foodCategory NULLS FIRST, nutrientName, unitName)::INTEGER AS rank
+  FROM facts WHERE nutrientId IN ({KEY_IDS})
+) WHERE rank <= 10"""),
+    "incremental_summary": (DATED, f"""
+SELECT g.foodCategory, nutrient, avg_value, count, COUNT(*) OVER (PARTITION BY g.foodCategory) AS nutrient_groups, food_count
+FROM (
+  SELECT foodCategory, nutrientName AS nutrient, ROUND_EVEN(AVG(value), 2) AS avg_value, COUNT(*) AS count
+  FROM facts WHERE nutrientId IN ({KEY_IDS}) GROUP BY 1, 2
+) g JOIN (
+  SELECT foodCategory, COUNT(*) AS food_count FROM docs d
+  WHERE EXISTS (SELECT 1 FROM named n WHERE n.l_partkey = d.fdcId AND (d.copy = 0 OR n.slot % 2 = 0) AND nutrientId IN ({KEY_IDS}))
+  GROUP BY 1
+) c ON g.foodCategory IS NOT DISTINCT FROM c.foodCategory"""),
+    "incremental_means": (DATED, f"""
+SELECT foodCategory, nutrientName AS nutrient, ROUND_EVEN(AVG(value), 2) AS avg_value
+FROM facts WHERE nutrientId IN ({MAIN_IDS}) GROUP BY 1, 2"""),
+    "incremental_cross_source": (DATED, f"""
+SELECT sourceCollection, nutrientName, ROUND(AVG(value), 4) AS avg_value,
+       MIN(value) AS min_value, MAX(value) AS max_value, COUNT(*) AS count
+FROM facts WHERE nutrientId IN ({MAIN_IDS}) GROUP BY sourceCollection, nutrientName"""),
     "ml_features": (LABELED_LAST, f"SELECT fdcId, copy, {_filled}, label FROM labeled_last"),
     "ml_split": (LABELED_LAST, """
 SELECT CASE WHEN CAST('0x' || SUBSTR(MD5(CAST(fdcId AS VARCHAR)), 1, 8) AS BIGINT) % 100 < 80
