@@ -18,10 +18,11 @@ def main() -> None:
     parser.add_argument("--one-array", action="store_true", help="snapshots are one JSON array a source")
     parser.add_argument("--first", choices=STEPS, default="ingest", help="step to start at")
     parser.add_argument("--last", choices=STEPS, default="publish", help="step to end with")
+    parser.add_argument("--resume", action="store_true", help="skip steps that are finished and whose inputs and outputs are unchanged")
     args = parser.parse_args()
     spark = SparkSession.builder.appName("larder").getOrCreate()
     job = Job(args.landing, args.warehouse, args.output, args.date, args.one_array)
-    for name, found in run_pipeline(spark, job, args.first, args.last).items():
+    for name, found in run_pipeline(spark, job, args.first, args.last, resume=args.resume).items():
         print(name, *found, sep="\n  ")
     spark.stop()
 

@@ -117,7 +117,15 @@ class Trained:
         self.predictions.unpersist()
 
 
-def train_and_evaluate(
+@dataclass(frozen=True)
+class Fitted:
+    """A model, and the settings, sizes and seconds of its fit."""
+
+    model: PipelineModel
+    facts: dict[str, float]
+
+
+def fit_model(
     labeled: DataFrame,
     fit: Callable[..., PipelineModel],
     settings: dict[str, float],
@@ -125,23 +133,12 @@ def train_and_evaluate(
     features: Sequence[str] = FEATURES,
     key: str = FOODS.id,
     percent: int = 80,
-    layout: Layout = FOODS,
-) -> Trained:
-    """Fit on the training part and evaluate on the rest.
-
-    ``settings`` goes to ``fit`` and into the metrics.
-    """
-    spark = labeled.sparkSession
-    data = model_features(labeled, features, (key, layout.description, layout.category))
-    train, test = data.where(in_training(key, percent)), data.where(~in_training(key, percent))
-
+) -> Fitted:
+    """Fit on the training part; ``settings`` goes to ``fit`` and into the facts."""
+    data = model_features(labeled, features, (key,))
     start = time.time()
-    model = fit(train, features, **settings)
+    model = fit(data.where(in_training(key, percent)), features, **settings)
     elapsed = time.time() - start
-
-    # The assembled vector repeats the feature columns, so it is not kept.
-    scored = model.transform(test).drop("features")
-    predictions = scored.persist(StorageLevel.MEMORY_AND_DISK)
     sizes = {row["part"]: row["rows"] for row in split_sizes(data, key, percent).collect()}
     facts = {
         "train_time_s": round(elapsed, 2),
@@ -149,11 +146,43 @@ def train_and_evaluate(
         "test_size": sizes.get("test", 0),
         **settings,
     }
+    return Fitted(model, facts)
+
+
+def evaluate(
+    fitted: Fitted,
+    labeled: DataFrame,
+    *,
+    features: Sequence[str] = FEATURES,
+    key: str = FOODS.id,
+    percent: int = 80,
+    layout: Layout = FOODS,
+) -> Trained:
+    """Score the test part."""
+    data = model_features(labeled, features, (key, layout.description, layout.category))
+    # The assembled vector repeats the feature columns, so it is not kept.
+    scored = fitted.model.transform(data.where(~in_training(key, percent))).drop("features")
+    predictions = scored.persist(StorageLevel.MEMORY_AND_DISK)
     # Five numbers: kept as rows, so that they outlive the persisted predictions.
     rows = [(row["metric"], row["value"]) for row in classification_metrics(predictions).collect()]
-    rows += [(name, float(value)) for name, value in facts.items()]
-    metrics = spark.createDataFrame(rows, "metric string, value double")
-    return Trained(model, predictions, metrics, features)
+    rows += [(name, float(value)) for name, value in fitted.facts.items()]
+    metrics = labeled.sparkSession.createDataFrame(rows, "metric string, value double")
+    return Trained(fitted.model, predictions, metrics, features)
+
+
+def train_and_evaluate(
+    labeled: DataFrame,
+    fit: Callable[..., PipelineModel],
+    settings: dict[str, float],
+    *,
+    features: Sequence[str] = FEATURES,
+    key: str = FOODS.id,
+    percent: int = 80,
+    layout: Layout = FOODS,
+) -> Trained:
+    """Fit on the training part and evaluate on the rest."""
+    fitted = fit_model(labeled, fit, settings, features=features, key=key, percent=percent)
+    return evaluate(fitted, labeled, features=features, key=key, percent=percent, layout=layout)
 
 
 def train_random_forest(

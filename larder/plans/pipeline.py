@@ -11,12 +11,16 @@ from larder.config import DATASETS
 from larder.operators import labeled_queries, raw_queries
 from larder.operators.models import (
     compare_models,
-    train_gradient_boosted_trees,
-    train_random_forest,
+    fit_gradient_boosted_trees,
+    fit_model,
+    fit_random_forest,
 )
+from larder.operators.saved_models import Basis, evaluate_saved, is_saved, load, save
+from larder.plans import ledger
 from larder.plans.labelling import DOCUMENT_PATH, SPARK_PATH, label_foods
 from larder.plans.sql_catalog import run_catalog, time_queries
 from larder.sources.results import (
+    OUTPUTS,
     check_outputs,
     write_comparison,
     write_metrics,
@@ -46,6 +50,10 @@ class Job:
     num_trees: int = 100
     max_iter: int = 100
 
+    @property
+    def ledger(self) -> str:
+        return f"{self.warehouse}/ledger"
+
     @property
     def raw(self) -> str:
         return f"{self.warehouse}/raw_foods"
@@ -97,28 +105,44 @@ def query(spark: SparkSession, job: Job) -> list[str]:
     return paths
 
 
-def train(spark: SparkSession, job: Job) -> list[Row]:
-    """Train, score and compare both models."""
-    labeled = scan_labeled(spark, job.by_spark)
-    forest = train_random_forest(labeled, num_trees=job.num_trees)
-    write_metrics(forest.metrics, f"{job.output}/rf_model_metrics.json")
-    write_predictions(forest.predictions, f"{job.output}/rf_predictions.csv")
+def model_bases(spark: SparkSession, job: Job) -> dict[str, Basis]:
+    """What each model of the job is fitted on, by its folder."""
+    data = ledger.table_digest(spark, job.by_spark)
+    return {
+        f"{job.warehouse}/models/random_forest": Basis("random_forest", {"num_trees": job.num_trees, "max_depth": 8}, data),
+        f"{job.warehouse}/models/boosted_trees": Basis("boosted_trees", {"max_iter": job.max_iter, "max_depth": 8, "step_size": 0.1}, data),
+    }
+
 
-    boosted = train_gradient_boosted_trees(labeled, max_iter=job.max_iter)
-    write_metrics(boosted.metrics, f"{job.output}/gbt_model_metrics.json")
-    write_predictions(boosted.predictions, f"{job.output}/gbt_predictions.csv")
+FITS = {"random_forest": fit_random_forest, "boosted_trees": fit_gradient_boosted_trees}
 
-    comparison = compare_models(forest.metrics, boosted.metrics)
-    write_comparison(comparison, f"{job.output}/model_comparison.json")
-    rows = comparison.collect()
-    forest.release()
-    boosted.release()
-    return rows
+
+def train(spark: SparkSession, job: Job) -> list[str]:
+    """Fit and save both models, but for those already saved of the same data and settings."""
+    labeled, bases = scan_labeled(spark, job.by_spark), model_bases(spark, job)
+    for path, basis in bases.items():
+        if not is_saved(spark, path, basis):
+            fitted = fit_model(labeled, FITS[basis.kind], basis.settings, features=basis.features, key=basis.key, percent=basis.percent)
+            save(spark, fitted, basis, path)
+    return list(bases)
+
+
+def score(spark: SparkSession, job: Job) -> list[str]:
+    """Score the test part with the saved models, write their predictions and metrics, and compare them."""
+    labeled = scan_labeled(spark, job.by_spark)
+    scored = [evaluate_saved(load(spark, path, basis), labeled) for path, basis in model_bases(spark, job).items()]
+    for prefix, trained in zip(("rf", "gbt"), scored):
+        write_metrics(trained.metrics, f"{job.output}/{prefix}_model_metrics.json")
+        write_predictions(trained.predictions, f"{job.output}/{prefix}_predictions.csv")
+    write_comparison(compare_models(*[trained.metrics for trained in scored]), f"{job.output}/model_comparison.json")
+    for trained in scored:
+        trained.release()
+    return [f"{job.output}/{name}" for name in OUTPUTS if name != "query_timing.json"]
 
 
 def publish(spark: SparkSession, job: Job) -> list[str]:
-    """The published outputs, all committed and none empty."""
-    return check_outputs(spark, job.output)
+    """The published outputs, all committed, none empty, and each what its step has left."""
+    return ledger.check(spark, job.ledger, check_outputs(spark, job.output))
 
 
 STEPS: dict[str, Callable[[SparkSession, Job], list]] = {
@@ -126,12 +150,44 @@ STEPS: dict[str, Callable[[SparkSession, Job], list]] = {
     "label": label,
     "query": query,
     "train": train,
+    "score": score,
     "publish": publish,
 }
 
 
-def run_pipeline(spark: SparkSession, job: Job, first: str = "ingest", last: str = "publish") -> dict[str, list]:
-    """Run the steps from the first to the last; what each returned."""
+def inputs_of(spark: SparkSession, job: Job, step: str) -> dict[str, object]:
+    """What a step depends on: settings, and the versions of the tables it reads."""
+    read = {"label": [job.raw], "query": [job.raw, job.by_document, job.by_spark], "train": [job.by_spark]}
+    read["score"] = [job.by_spark, *model_bases(spark, job)] if step == "score" else []
+    settings = {"train": [job.num_trees, job.max_iter], "score": [job.num_trees, job.max_iter]}
+    settings["ingest"] = [job.landing, job.snapshot_date, job.one_array]
+    return {"settings": settings.get(step, []), "tables": {path: ledger.table_digest(spark, path) for path in read.get(step, [])}}
+
+
+def outputs_of(job: Job, step: str, found: list) -> list[str]:
+    """The tables, models and files that a step has left."""
+    if step == "ingest":
+        return [job.raw]
+    return [*found, f"{job.output}/query_timing.json"] if step == "query" else list(found)
+
+
+def run_pipeline(
+    spark: SparkSession, job: Job, first: str = "ingest", last: str = "publish", *, resume: bool = False
+) -> dict[str, list]:
+    """Run the steps from the first to the last; what each returned.
+
+    Every finished step is noted in the job's ledger. With ``resume`` a step that ran
+    on the same inputs is skipped if all it left is unchanged. A date that was landed
+    anew needs ``ingest`` again: its files are not compared.
+    """
     names = list(STEPS)
-    chosen = names[names.index(first) : names.index(last) + 1]
-    return {name: STEPS[name](spark, job) for name in chosen}
+    results = {}
+    for name in names[names.index(first) : names.index(last) + 1]:
+        inputs = inputs_of(spark, job, name) if name != "publish" else {}
+        if resume and name != "publish" and ledger.finished(spark, job.ledger, name, inputs):
+            results[name] = []
+            continue
+        results[name] = STEPS[name](spark, job)
+        if name != "publish":
+            ledger.record(spark, job.ledger, name, inputs, outputs_of(job, name, results[name]))
+    return results

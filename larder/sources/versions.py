@@ -1,7 +1,7 @@
 """Tables in versions: data folders that never change, and manifests that say which of them count.
 
 Below a table's folder, ``data/commit=<id>`` holds what one write left, and
-``manifests/<number>.json`` names the commits and partition values that make up a
+``_manifests/<number>.json`` names the commits and partition values that make up a
 version, with their rows. A write stages its rows in a new commit, and one rename
 of a finished manifest to the next free number makes them the table. Whatever
 fails before that leaves the table as it was, and a reader that began earlier goes
@@ -68,7 +68,7 @@ def _names(spark: SparkSession, path: str) -> list[str]:
 
 def numbers(spark: SparkSession, path: str) -> list[int]:
     """The versions of a table, oldest first; empty if there is no such table."""
-    names = _names(spark, f"{path}/manifests")
+    names = _names(spark, f"{path}/_manifests")
     return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json") and not n.startswith((".", "_")))
 
 
@@ -78,7 +78,7 @@ def version(spark: SparkSession, path: str, number: int | None = None) -> Versio
     if not known and number is None:
         return Version()
     number = known[-1] if number is None else number
-    place, files = _place(spark, f"{path}/manifests/{number:012d}.json")
+    place, files = _place(spark, f"{path}/_manifests/{number:012d}.json")
     if not files.exists(place):
         raise FileNotFoundError(f"{path} has no version {number}")
     stream = files.open(place)
@@ -129,13 +129,13 @@ def discard(spark: SparkSession, path: str, commit: str) -> None:
 def publish(spark: SparkSession, path: str, base: Version, parts: Sequence[Part], partition: str | None = None) -> Version:
     """Make parts the table's next version after ``base``, by one rename."""
     new = Version(base.number + 1, tuple(parts), partition)
-    staged, files = _place(spark, f"{path}/manifests/_{uuid.uuid4().hex}")
+    staged, files = _place(spark, f"{path}/_manifests/_{uuid.uuid4().hex}")
     stream = files.create(staged, False)
     try:
         stream.write(bytearray(json.dumps({"partition": partition, "parts": [asdict(p) for p in new.parts]}).encode()))
     finally:
         stream.close()
-    target, _ = _place(spark, f"{path}/manifests/{new.number:012d}.json")
+    target, _ = _place(spark, f"{path}/_manifests/{new.number:012d}.json")
     jvm = spark._jvm
     no_options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
     context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(staged.toUri(), spark._jsc.hadoopConfiguration())
@@ -189,7 +189,7 @@ def vacuum(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
     known = numbers(spark, path)
     live = {p.commit for n in known[-keep:] for p in version(spark, path, n).parts}
     for n in known[:-keep]:
-        place, files = _place(spark, f"{path}/manifests/{n:012d}.json")
+        place, files = _place(spark, f"{path}/_manifests/{n:012d}.json")
         files.delete(place, False)
     dead = [c for n in _names(spark, f"{path}/data") if n.startswith(f"{COMMIT}=") and (c := n.removeprefix(f"{COMMIT}=")) not in live]
     for commit in dead:

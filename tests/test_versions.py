@@ -95,7 +95,7 @@ def test_of_two_writers_from_one_version_the_second_fails(spark, docs, tmp_path)
     with pytest.raises(versions.ConcurrentWrite):
         versions.publish(spark, path, base, [versions.Part(commit, "survey", 2)], "sourceCollection")
     assert versions.numbers(spark, path) == [1, 2] and ids(tables.scan_raw(spark, path)) == [1, 2, 3, 4]
-    assert not [n for n in (tmp_path / "manifests").iterdir() if n.name.startswith("_")]
+    assert not [n for n in (tmp_path / "_manifests").iterdir() if n.name.startswith("_")]
 
 
 def test_vacuum_deletes_what_the_last_versions_do_not_name(spark, docs, foods, tmp_path):
