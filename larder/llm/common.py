@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +15,8 @@ from larder.sources.workspace import shared_folder
 
 # Texts are worked on in slices of about so many bytes; a longer text is a slice of its own.
 SLICE_BYTES = 1 << 20
+# Longer words are hashed by a digest of their bytes.
+SUMMED_BYTES = 32
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,7 +151,23 @@ def word_spans(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return starts, ends, np.searchsorted(starts, at)
 
 
+def word_digests(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each word.
+
+    Sums of powers modulo 2 to the 64th collide for some long words whatever the base
+    (those of Thue and Morse, the more bits the longer they are), so words of more
+    than ``SUMMED_BYTES`` are digested one by one.
+    """
+    out = span_hash(byte_prefix(raw), starts, ends)
+    long = np.flatnonzero(ends - starts > SUMMED_BYTES)
+    if len(long):
+        data = memoryview(raw)
+        digests = [blake2b(data[a:b], digest_size=8).digest() for a, b in zip(starts[long].tolist(), ends[long].tolist())]
+        out[long] = np.frombuffer(b"".join(digests), np.uint64)
+    return out
+
+
 def word_hashes(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A 64-bit hash of each word; the number of the first word of each text, and at the end of all."""
     starts, ends, first = word_spans(raw, at)
-    return span_hash(byte_prefix(raw), starts, ends), first
+    return word_digests(raw, starts, ends), first

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm.common import byte_prefix, documents, mixed, prefix_hash, span_hash, text_slices, word_spans
+from larder.llm.common import documents, mixed, prefix_hash, span_hash, text_slices, word_digests, word_spans
 
 WORDS = 5
 CONTAINMENT = 0.8
@@ -41,7 +41,7 @@ def shingle_hashes(raw: np.ndarray, at: np.ndarray, words: int) -> tuple[np.ndar
     """Hashes of all runs of so many words; the number of the first of each text, and at the end of all."""
     raw = _LOWER[raw]
     starts, ends, first = word_spans(raw, at)
-    prefix = prefix_hash(span_hash(byte_prefix(raw), starts, ends))
+    prefix = prefix_hash(word_digests(raw, starts, ends))
     counts = np.maximum(np.diff(first) - words + 1, 0)
     before = np.concatenate([[0], np.cumsum(counts)])
     begin = np.repeat(first[:-1] - before[:-1], counts) + np.arange(before[-1])

@@ -9,15 +9,18 @@ likeness of ``near`` in a hundred. Shingles are hashed into groups twice:
   shares a filled one with each partner. The few other sets are grouped again, by
   other hashes, and only after ``ROUNDS`` groupings their empty groups are keys too.
   Keys are exchanged in messages, each key once a message.
-- Into ``COORDINATES`` groups whose counts are the document's point, and into as
-  many as it has shingles for a finer one. The summed coordinate minima of two
+- Into as many groups as it has shingles, whose counts are the document's point, and
+  into ``COORDINATES`` ones, a sum of these. The summed coordinate minima of two
   points bound the overlap; pairs whose bound is too small are not looked at again.
 
 First every document is held against the one that is first for most of its keys;
 what survives the bound is verified on whole texts, and links make components. Then, only for
-keys whose documents are in several components, an R-tree of the points finds
-the pairs across them. So a group of copies costs a row for each copy, not for
-each pair, and every link between components is still found.
+keys whose documents are in several components, an R-tree of the points finds the pairs
+across them, and the finer points prune these where they are found. A cell gives one
+pair for each two of its components that any survivor joins. Where one of them turns out to be
+no link, its cells give the next one; after ``TURNS`` times, all that are left. So a
+group of copies costs a row for each copy and not for each pair, a family that does
+not link costs comparisons but no rows, and every link between components is still found.
 
 A null or empty text or one without words has no shingles and links with nothing.
 Equal ids count as one document with the larger set's figures; a null id is kept
@@ -27,7 +30,8 @@ and links with nothing. Other columns are not read; an empty table gives no row.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -50,7 +54,10 @@ TREE_ROWS = 2048
 # Groupings of sets that have no more filled groups than differences.
 ROUNDS = 4
 LEAF = 16
-SKETCH = "doc_id long, n long, digest long, point binary, beyond long, fine binary"
+SKETCH = "doc_id long, n long, digest long, fine binary"
+CELL_LINK = "key long, hub long, doc_id long"
+# Times that cells give one pair for each two components before they give all that are left.
+TURNS = 4
 MESSAGE = "bucket long, keys binary, pairs binary"
 
 
@@ -124,15 +131,6 @@ def link_keys(hashes: np.ndarray, first: np.ndarray, near: int = NEAR) -> tuple[
     return np.concatenate(keys), np.concatenate(texts)
 
 
-def points(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Counts by group, at most 255; what a byte cannot hold, summed up."""
-    text = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    spot = text * COORDINATES + (hashes & np.uint64(COORDINATES - 1)).astype(np.int64)
-    counts = np.bincount(spot, minlength=(len(first) - 1) * COORDINATES).reshape(-1, COORDINATES)
-    held = np.minimum(counts, 255)
-    return held.astype(np.uint8), (counts - held).sum(axis=1)
-
-
 def fine_points(hashes: np.ndarray, first: np.ndarray) -> list[bytes]:
     """Counts in at least as many groups as shingles; what a byte cannot hold is summed up in front."""
     out = []
@@ -169,18 +167,16 @@ def _table(schema: str, **columns: object) -> pa.RecordBatch:
 
 
 def sketches(docs: DataFrame, words: int) -> DataFrame:
-    """Set size, digest and point of each document."""
+    """Set size, digest of the words in order, and point of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, raw, at in text_slices(batch):
                 hashes, first = distinct_shingles(raw, at, words)
-                sums = np.concatenate([[np.uint64(0)], np.cumsum(mixed(hashes))])
-                digest = (sums[first[1:]] - sums[first[:-1]]).view(np.int64)
-                point, beyond = points(hashes, first)
-                point = [p.tobytes() for p in point]
-                fine = fine_points(hashes, first)
-                yield _table(SKETCH, doc_id=part.column("doc_id"), n=np.diff(first), digest=digest, point=point, beyond=beyond, fine=fine)
+                data = raw.tobytes()
+                words_of = (data[a:b].translate(ASCII_LOWER).split() for a, b in zip(at[:-1].tolist(), at[1:].tolist()))
+                digest = [int.from_bytes(blake2b(b" ".join(w), digest_size=8).digest(), "little", signed=True) for w in words_of]
+                yield _table(SKETCH, doc_id=part.column("doc_id"), n=np.diff(first), digest=digest, fine=fine_points(hashes, first))
 
     return docs.mapInArrow(run, SKETCH)
 
@@ -270,26 +266,65 @@ class Tree:
         return self.levels[0][0][at]
 
 
-def tree_pairs(table: pa.Table, near: int) -> pa.Table:
-    """Pairs across components of each key of a part: documents that ask with those that are in its tree."""
-    key, doc, part, n, beyond = (table.column(c).to_numpy() for c in ("key", "doc_id", "component", "n", "beyond"))
+def folded(points: np.ndarray, size: int) -> np.ndarray:
+    """Counts by fewer groups, half as many at a time."""
+    while points.shape[1] > size:
+        half = points.shape[1] // 2
+        points = points[:, :half] + points[:, half:]
+    return points
+
+
+def cell_points(fine: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The points of a cell's documents in the groups of the coarsest one; what bytes cannot hold, summed up."""
+    size = min(len(f) - 8 for f in fine)
+    point = np.concatenate([folded(np.frombuffer(f, np.uint8, offset=8).astype(np.uint16)[None, :], size) for f in fine])
+    return point, np.array([np.frombuffer(f, np.int64, 1)[0] for f in fine])
+
+
+def cell_links(table: pa.Table, *, near: int, every: bool) -> pa.Table:
+    """Pairs across components that the finer points do not rule out, for each key of a group of cells.
+
+    Of the pairs that join the same components of a cell only the first is given, so
+    a cell gives fewer pairs than it has components; with ``every`` all are.
+    """
+    key, doc, part, n = (table.column(c).to_numpy() for c in ("key", "doc_id", "component", "n"))
     asks, held = (table.column(c).to_numpy() for c in ("asks", "held"))
-    point = np.frombuffer(b"".join(table.column("point").to_pylist()), np.uint8).reshape(-1, COORDINATES)
+    fine, refused = table.column("fine").to_pylist(), table.column("refused").to_pylist()
     order = np.lexsort((doc, asks, key))
     _, begin = np.unique(key[order], return_index=True)
-    a_ids, b_ids = [], []
+    out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     for own in np.split(order, begin[1:]):
-        rows = own[held[own]]
-        if not len(rows):
+        if not held[own].any() or not asks[own].any():
+            continue
+        _, label = np.unique(part[own], return_inverse=True)
+        joined = np.arange(label.max() + 1)
+        if len(joined) == 1:
             continue
-        tree = Tree(point[rows], beyond[rows], n[rows])
-        for q in own[asks[own]].tolist():
-            found = rows[tree.near(point[q], int(beyond[q]), int(n[q]), near)]
-            found = found[part[found] != part[q]]
-            a_ids.append(np.minimum(doc[found], doc[q]))
-            b_ids.append(np.maximum(doc[found], doc[q]))
-    a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a_ids, b_ids))
-    return pa.Table.from_batches([_table("hub long, doc_id long", hub=a, doc_id=b)])
+        point, beyond = cell_points([fine[k] for k in own.tolist()])
+        coarse, size, ids = folded(point, COORDINATES), n[own], doc[own]
+        rows = np.flatnonzero(held[own])
+        tree = Tree(coarse[rows], beyond[rows], size[rows])
+        for q in np.flatnonzero(asks[own]).tolist():
+            found = rows[tree.near(coarse[q], int(beyond[q]), int(size[q]), near)]
+            found = found[joined[label[found]] != joined[label[q]]]
+            if not len(found):
+                continue
+            overlap = np.minimum(point[found], point[q]).sum(axis=1, dtype=np.int64) + np.minimum(beyond[found], beyond[q])
+            found = found[near_bound(overlap, size[found], size[q], near)]
+            if len(found) and refused[own[q]]:
+                found = found[~np.isin(ids[found], refused[own[q]])]
+            if not every and len(found):
+                labels, first = np.unique(joined[label[found]], return_index=True)
+                found = found[first]
+                joined[np.isin(joined, labels)] = joined[label[q]]
+            if len(found):
+                out.append((np.full(len(found), key[own[0]]), np.minimum(ids[found], ids[q]), np.maximum(ids[found], ids[q])))
+    k, a, b = (np.concatenate(x) for x in zip(*out)) if out else [np.zeros(0, np.int64)] * 3
+    return pa.Table.from_batches([_table(CELL_LINK, key=k, hub=a, doc_id=b)])
+
+
+def in_cells(near: int, every: bool) -> Callable[[pa.Table], pa.Table]:
+    return lambda table: cell_links(table, near=near, every=every)
 
 
 def dealt_cells(rows: DataFrame, buckets: int) -> DataFrame:
@@ -306,7 +341,7 @@ def dealt_cells(rows: DataFrame, buckets: int) -> DataFrame:
     cells = cells.withColumn("tree", F.pmod(F.xxhash64("key"), F.lit(4 * buckets))).withColumn(
         "cell", F.when(F.col("size_parts") > 1, F.xxhash64("key", "at.i", "at.j")).otherwise(F.lit(0).cast("long"))
     )
-    return cells.select("tree", "cell", "key", "doc_id", "component", "n", "point", "beyond", "at.asks", "at.held")
+    return cells.select("tree", "cell", "key", "doc_id", "component", "n", "fine", "refused", "at.asks", "at.held")
 
 
 def packed_texts(members: DataFrame, docs: DataFrame) -> DataFrame:
@@ -386,6 +421,20 @@ def _bounded(pairs: DataFrame, documents_: DataFrame, near: int) -> DataFrame:
     return pairs.join(own, "doc_id").join(hub, "hub").mapInArrow(run, "hub long, doc_id long, same boolean")
 
 
+def contested_rows(holders: DataFrame, parts: DataFrame, single: DataFrame, refused: DataFrame) -> DataFrame:
+    """Documents of the keys that several components share, with their points and the partners they are known not to link with."""
+    own = kept(holders.join(parts, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id")), "holders")
+    keys = own.groupBy("key").agg(F.count("*").alias("size"), F.min("component").alias("main"), F.max("component").alias("last"))
+    keys = keys.filter("main < last").select("key", "main", "size")
+    strays = own.join(keys.filter(F.col("size") > TREE_ROWS), "key").filter("component <> main").groupBy("key").agg(F.count("*").alias("strays"))
+    keys = keys.join(strays, "key", "left").withColumn("strays", F.coalesce("strays", F.lit(1)))
+    keys = keys.select("key", "main", *[F.ceil(F.col(c) / TREE_ROWS).alias(f"{c}_parts") for c in ("size", "strays")])
+    both = refused.union(refused.select(F.col("doc_id").alias("hub"), F.col("hub").alias("doc_id")))
+    partners = both.groupBy("doc_id").agg(F.collect_set("hub").alias("refused"))
+    rows = own.join(keys, "key").join(single.select("doc_id", "n", "fine"), "doc_id").join(partners, "doc_id", "left")
+    return rows.withColumn("stray", F.col("component") != F.col("main"))
+
+
 def join(docs: DataFrame, words: int = WORDS, near: int = NEAR) -> DataFrame:
     """Per document the size of its set and its component."""
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -394,7 +443,7 @@ def join(docs: DataFrame, words: int = WORDS, near: int = NEAR) -> DataFrame:
     found = kept(sketches(own, words), "sketch")
     # One set for each id: the largest, if rows repeat.
     each = Window.partitionBy("doc_id").orderBy(F.col("n").desc(), "digest")
-    single = found.filter("doc_id IS NOT NULL").select("doc_id", "n", "digest", "point", "beyond", "fine")
+    single = found.filter("doc_id IS NOT NULL").select("doc_id", "n", "digest", "fine")
     single = kept(single.withColumn("rank", F.row_number().over(each)).filter("rank = 1").drop("rank"), "single")
     messages = key_messages(own, words, near, buckets)
     members = kept(messages.groupBy("bucket").applyInArrow(bucket_members, "doc_id long, key long, hub long"), "members")
@@ -406,24 +455,29 @@ def join(docs: DataFrame, words: int = WORDS, near: int = NEAR) -> DataFrame:
     pairs = kept(_bounded(likeliest, single, near), "pairs")
     texts = kept(packed_texts(members, own), "texts")
     links = kept(pairs.filter("same").select("hub", "doc_id").union(verified(pairs.filter("NOT same").select("hub", "doc_id"), texts, words, near)), "links")
-    parts = components(links, "parts")
 
     # Keys whose documents are in several components: hold these against each other.
     holders = members.select("key", "doc_id").union(members.select("key", F.col("hub").alias("doc_id"))).distinct()
-    holders = holders.join(parts, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    holders = kept(holders, "holders")
-    contested = holders.groupBy("key").agg(F.count("*").alias("size"), F.min("component").alias("main"), F.max("component").alias("last"))
-    contested = contested.filter("main < last").select("key", "main", "size")
-    strays = holders.join(contested.filter(F.col("size") > TREE_ROWS), "key").filter("component <> main").groupBy("key").agg(F.count("*").alias("strays"))
-    contested = contested.join(strays, "key", "left").withColumn("strays", F.coalesce("strays", F.lit(1)))
-    contested = contested.select("key", "main", *[F.ceil(F.col(c) / TREE_ROWS).alias(f"{c}_parts") for c in ("size", "strays")])
-    rows = holders.join(contested, "key").join(single.select("doc_id", "n", "point", "beyond"), "doc_id")
-    dealt = dealt_cells(rows.withColumn("stray", F.col("component") != F.col("main")), buckets)
-    crossing = dealt.groupBy("tree", "cell").applyInArrow(lambda table: tree_pairs(table, near), "hub long, doc_id long").distinct()
-    crossing = kept(crossing.join(pairs.select(F.least("hub", "doc_id").alias("hub"), F.greatest("hub", "doc_id").alias("doc_id")), ["hub", "doc_id"], "left_anti"), "crossing")
-    crossing = kept(_bounded(crossing, single, near).select("hub", "doc_id"), "bounded")
-    more = kept(verified(crossing, texts, words, near), "more")
-    final = components(links.union(more), "final")
+    ordered = pairs.filter("NOT same").select(F.least("hub", "doc_id").alias("hub"), F.greatest("hub", "doc_id").alias("doc_id"))
+    known = links.select(F.least("hub", "doc_id").alias("hub"), F.greatest("hub", "doc_id").alias("doc_id"))
+    refused = kept(ordered.join(known, ["hub", "doc_id"], "left_anti"), "refused")
+    for turn in range(TURNS):
+        rows = contested_rows(holders, components(links, f"parts{turn}"), single, refused)
+        dealt = dealt_cells(kept(rows, "contested"), buckets)
+        crossing = dealt.groupBy("tree", "cell").applyInArrow(in_cells(near, turn == TURNS - 1), CELL_LINK)
+        crossing = kept(crossing, "crossing")
+        given = kept(crossing.select("hub", "doc_id").distinct(), "bounded")
+        if given.isEmpty():
+            break
+        more = kept(verified(given, texts, words, near), "more")
+        links = kept(links.union(more), "links")
+        wrong = kept(given.join(more, ["hub", "doc_id"], "left_anti"), "wrong")
+        if wrong.isEmpty():
+            break  # each cell's pairs are links, so what the bound leaves is joined
+        # Pairs left out for one that is no link come up next: only at the keys where that can be.
+        refused = kept(refused.union(wrong), "refused")
+        holders = holders.join(crossing.join(wrong, ["hub", "doc_id"], "left_semi").select("key").distinct(), "key", "left_semi")
+    final = components(links, "final")
 
     labelled = single.select("doc_id", F.col("n").alias("n_shingles")).join(final, "doc_id", "left")
     labelled = labelled.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))

@@ -168,10 +168,76 @@ def test_cells_hold_each_pair_in_a_bounded_group(spark, monkeypatch):
     """Strays of a key do not go to all parts: no cell has more than its share on either side."""
     monkeypatch.setattr(ngram_join, "TREE_ROWS", 50)
     # 400 documents of one key, 200 of them strays: 8 parts, 4 of strays.
-    rows = spark.range(400).selectExpr("7L AS key", "id AS doc_id", "id % 2 AS component", "id % 2 = 1 AS stray", "8L AS size_parts", "4L AS strays_parts", "5L AS n", "X'00' AS point", "0L AS beyond")
+    rows = spark.range(400).selectExpr("7L AS key", "id AS doc_id", "id % 2 AS component", "id % 2 = 1 AS stray", "8L AS size_parts", "4L AS strays_parts", "5L AS n", "X'00' AS fine", "CAST(NULL AS ARRAY<BIGINT>) AS refused")
     cells = {}
     for r in ngram_join.dealt_cells(rows, 4).collect():
         cells.setdefault((r.tree, r.cell), []).append(r)
     asked = [(a.doc_id, b.doc_id) for own in cells.values() for a in own if a.asks for b in own if b.held]
     assert len(cells) == 32 and sorted(asked) == [(a, b) for a in range(1, 400, 2) for b in range(400)]
     assert max(sum(r.asks for r in own) for own in cells.values()) <= 80 and max(sum(r.held for r in own) for own in cells.values()) <= 80
+
+
+def thue_morse(n):
+    return [bin(k).count("1") % 2 for k in range(n)]
+
+
+@pytest.mark.parametrize("length", [64, 1024, 2048])
+def test_words_that_collide_in_sums_of_powers_are_told_apart(spark, table, length):
+    from larder.llm import substring_dedup
+
+    word, other = ("".join("ab"[x ^ turn] for x in thue_morse(length)) for turn in (0, 1))
+    rows = [(1, " ".join([word] * 13)), (2, " ".join([other] * 13)), (3, " ".join([word] * 13 + ["x"]))]
+    assert rows_of(ngram_join.join(table(rows)), "doc_id", "component_id") == [(1, 1), (2, 2), (3, 3)]
+    removed = {r.doc_id: r.n_removed for r in substring_dedup.dedup(table(rows)).collect()}
+    assert removed == {1: 0, 2: 0, 3: 13}
+
+
+def cell(sets, component, near=90):
+    """A cell of one key that all documents share, each in a component."""
+    import pyarrow as pa
+
+    first = np.concatenate([[0], np.cumsum([len(x) for x in sets])])
+    fine = ngram_join.fine_points(np.concatenate(sets), first)
+    n = len(sets)
+    columns = {"key": [5] * n, "doc_id": list(range(n)), "component": component, "n": [len(x) for x in sets], "fine": fine, "refused": [None] * n, "asks": [True] * n, "held": [True] * n}
+    return pa.table(columns)
+
+
+@pytest.mark.parametrize("linking", [False, True])
+def test_a_cell_gives_fewer_pairs_than_documents(linking):
+    """Near copies that link, and a family whose members are too far apart; both far more pairs than rows."""
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 2**63, 400, dtype=np.uint64)
+    for n in (100, 200, 400):
+        changed = 5 if linking else 40
+        sets = [np.concatenate([base[changed:], rng.integers(0, 2**63, changed, dtype=np.uint64)]) for _ in range(n)]
+        found = ngram_join.cell_links(cell(sets, list(range(n))), near=90, every=False)
+        assert found.num_rows == (n - 1 if linking else 0)
+        if linking:
+            every = ngram_join.cell_links(cell(sets, list(range(n))), near=90, every=True)
+            assert len(set(zip(every["hub"].to_pylist(), every["doc_id"].to_pylist()))) == n * (n - 1) // 2
+
+
+def test_a_pair_that_is_no_link_does_not_hide_another(spark, table, monkeypatch):
+    """The finer points are made useless, so that cells give pairs that fail on the texts."""
+    monkeypatch.setattr(ngram_join, "FINEST", ngram_join.COORDINATES)
+    rng = random.Random(8)
+    base = sentence(rng, 700).split()
+    rows = []
+    for k in range(40):
+        words = list(base)
+        for _ in range(rng.choice((5, 30, 60))):
+            words[rng.randrange(len(words))] = f"new{rng.random()}"
+        rows.append((k, " ".join(words)))
+    sets = {k: {tuple(t.split()[i : i + 3]) for i in range(len(t.split()) - 2)} for k, t in rows}
+    parent = {k: k for k in sets}
+
+    def root(x):
+        return x if parent[x] == x else root(parent[x])
+
+    for a in sets:
+        for b in sets:
+            if a < b and 100 * len(sets[a] & sets[b]) >= 90 * len(sets[a] | sets[b]):
+                x, y = sorted((root(a), root(b)))
+                parent[y] = x
+    assert rows_of(ngram_join.join(table(rows)), "doc_id", "component_id") == [(k, root(k)) for k in sorted(sets)]
