@@ -463,7 +463,7 @@ def join(docs: DataFrame, words: int = WORDS, near: int = NEAR) -> DataFrame:
     refused = kept(ordered.join(known, ["hub", "doc_id"], "left_anti"), "refused")
     for turn in range(TURNS):
         rows = contested_rows(holders, components(links, f"parts{turn}"), single, refused)
-        dealt = dealt_cells(kept(rows, "contested"), buckets)
+        dealt = dealt_cells(rows, buckets)
         crossing = dealt.groupBy("tree", "cell").applyInArrow(in_cells(near, turn == TURNS - 1), CELL_LINK)
         crossing = kept(crossing, "crossing")
         given = kept(crossing.select("hub", "doc_id").distinct(), "bounded")
