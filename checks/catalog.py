@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import workspace as ws
-from larder.config import COMPARED_IDS, DATASETS, FEATURES, HEALTHY_MIN, NUTRIENT_IDS, Rule
+from larder.config import COMPARED_IDS, DATASETS, FEATURES, HEALTH_RULES, HEALTHY_MIN, NUTRIENT_IDS, Rule
 from larder.functions.scoring import score
-from larder.operators import incremental, label_cube, labeled_queries, models, raw_queries, top_groups
+from larder.operators import bootstrap, incremental, label_cube, labeled_queries, measure_vector, models, raw_queries, top_groups
 from larder.operators.evaluation import classification_metrics
 from larder.operators.labeling import label_counts
 from larder.operators.nested import pivot, unnest
@@ -440,6 +440,40 @@ def top_foods_every_nutrient(spark, sf_dir):
     return top_groups.top_foods_by_every_nutrient(ws.raw_table(spark, sf_dir), KEY_IDS, 10)
 
 
+# Measurements by the hundred
+
+# The eight with names, and 492 other ids, most of which no document has.
+MANY = {**{f"m{i}": i for i in range(1001, 1500) if i not in KEY_IDS}, **NUTRIENT_IDS}
+
+
+def _held(vectors: DataFrame, *keys: str) -> DataFrame:
+    """The places of a vector that hold a value, a row each."""
+    ids = F.array(*[F.lit(i) for i in MANY.values()])
+    rows = vectors.select(*keys, F.posexplode("measures").alias("place", "value")).where("value IS NOT NULL")
+    return rows.select(*keys, F.get(ids, F.col("place")).alias("nutrientId"), "value")
+
+
+@_named("measure_vector")
+def vector_by_document(spark, sf_dir):
+    raw = ws.raw_table(spark, sf_dir)
+    vectors = measure_vector.measure_vector(raw, list(MANY.values()), grain="document")
+    return _held(vectors, "sourceCollection", "fdcId", "copy")
+
+
+@_query
+def measure_vector_by_id(spark, sf_dir):
+    return _held(measure_vector.measure_vector(ws.raw_table(spark, sf_dir), list(MANY.values())), "sourceCollection", "fdcId")
+
+
+@_query
+def label_many_rules(spark, sf_dir):
+    """The six rules, and one for each other measurement: absent or below 60."""
+    rules = [*HEALTH_RULES, *[Rule(name, "<", 60, null_as=0) for name, key in MANY.items() if key not in KEY_IDS]]
+    vectors = measure_vector.measure_vector(ws.raw_table(spark, sf_dir), list(MANY.values()), order_by=("copy",))
+    labeled = measure_vector.label_vectors(vectors, list(MANY), rules, minimum=len(rules) - 2, null_compare="lowest")
+    return labeled.select("sourceCollection", "fdcId", "foodCategory", "healthScore", "isHealthy", "label")
+
+
 # Summaries by snapshot date
 
 
@@ -543,6 +577,22 @@ def classification_quality(spark, sf_dir):
     return classification_metrics(scored)
 
 
+@_query
+def metric_intervals(spark, sf_dir):
+    """Two simple judges of this path's labels: the other null mode's score, and the calories alone."""
+    labeled = ws.labeled_by_spark(spark, sf_dir)
+    other = score(null_compare="lowest")
+    judges = {
+        "other_nulls": ((other >= HEALTHY_MIN).cast("double"), other / 6),
+        "calories": ((F.col("calories") < 300).cast("double"), 1 - F.least(F.col("calories"), F.lit(1000.0)) / 1000),
+    }
+    rows = [
+        labeled.select(F.lit(name).alias("model"), F.col("fdcId").alias("key"), "label", said.alias("prediction"), sure.alias("score"))
+        for name, (said, sure) in judges.items()
+    ]
+    return bootstrap.metric_intervals(rows[0].unionByName(rows[1]), tuple(judges), replicates=60, bins=50)
+
+
 @_query
 def rf_metrics(spark, sf_dir):
     return ws.random_forest(spark, sf_dir).metrics

@@ -7,6 +7,8 @@ SELECT.
 
 from __future__ import annotations
 
+from math import exp, factorial
+
 # Measurement id of each wide column.
 IDS = {
     "calories": 1008,
@@ -228,6 +230,71 @@ UNION ALL SELECT 'recall', ROUND(recall_, 4) FROM averages
 UNION ALL SELECT 'f1', ROUND(f1, 4) FROM averages
 UNION ALL SELECT 'auc', ROUND(auc, 4) FROM area"""
 
+# A Poisson number of mean one from each of the eight 15-bit numbers of a digest.
+_cuts, _sum = [], 0.0
+for _k in range(7):
+    _sum += exp(-1) / factorial(_k)
+    _cuts.append(round(_sum * 32768))
+
+_intervals = f""",
+judged AS (
+  SELECT 'other_nulls' AS model, fdcId, label, CAST(CASE WHEN lowest_score >= 4 THEN 1 ELSE 0 END AS DOUBLE) AS prediction,
+         lowest_score / CAST(6 AS DOUBLE) AS score
+  FROM labeled_last
+  UNION ALL
+  SELECT 'calories', fdcId, label, CASE WHEN calories < 300 THEN 1 ELSE 0 END, 1 - LEAST(calories, 1000) / CAST(1000 AS DOUBLE)
+  FROM labeled_last
+),
+drawn AS (
+  SELECT -1 AS replicate, NULL AS fdcId, CAST(1 AS BIGINT) AS w
+  UNION ALL
+  SELECT replicate, fdcId, {' + '.join(f'CAST(number >= {c} AS BIGINT)' for c in _cuts)}
+  FROM (
+    SELECT replicate, fdcId,
+           (CAST('0x' || SUBSTR(MD5(CAST(fdcId AS VARCHAR) || ':' || CAST(replicate // 8 AS VARCHAR)),
+              CASE WHEN replicate % 8 < 4 THEN 1 ELSE 16 END, 15) AS BIGINT) >> CAST(15 * (replicate % 4) AS BIGINT)) & 32767 AS number
+    FROM (SELECT DISTINCT fdcId FROM labeled_last), (SELECT UNNEST(RANGE(60)) AS replicate)
+  )
+),
+cells AS (
+  SELECT model, replicate, label, prediction, LEAST(49, CAST(FLOOR(score * 50) AS INTEGER)) AS bin, SUM(w) AS n
+  FROM judged j JOIN drawn d ON d.fdcId = j.fdcId OR d.replicate = -1 GROUP BY ALL HAVING SUM(w) > 0
+),
+truths AS (SELECT model, replicate, label AS class, SUM(n) AS n FROM cells GROUP BY ALL),
+saids AS (SELECT model, replicate, prediction AS class, SUM(n) AS n FROM cells GROUP BY ALL),
+hits AS (SELECT model, replicate, label AS class, SUM(n) AS n FROM cells WHERE label = prediction GROUP BY ALL),
+sides AS (
+  SELECT model, replicate, t.n AS truth, COALESCE(h.n, 0) AS hit, COALESCE(h.n / s.n, 0) AS p, COALESCE(h.n / t.n, 0) AS r
+  FROM truths t LEFT JOIN saids s USING (model, replicate, class) LEFT JOIN hits h USING (model, replicate, class)
+),
+ranked AS (
+  SELECT model, replicate, pos, neg, SUM(neg) OVER (PARTITION BY model, replicate ORDER BY bin) - neg AS below
+  FROM (
+    SELECT model, replicate, bin, SUM(CASE WHEN label = 1 THEN n ELSE 0 END) AS pos, SUM(CASE WHEN label = 1 THEN 0 ELSE n END) AS neg
+    FROM cells GROUP BY ALL
+  )
+),
+found AS (
+  SELECT model, replicate, UNNEST(['accuracy', 'precision', 'recall', 'f1']) AS metric,
+         UNNEST([SUM(hit) / SUM(truth), SUM(p * truth) / SUM(truth), SUM(r * truth) / SUM(truth),
+                 SUM(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END * truth) / SUM(truth)]) AS value
+  FROM sides GROUP BY model, replicate
+  UNION ALL
+  SELECT model, replicate, 'auc',
+         CASE WHEN SUM(pos) * SUM(neg) > 0 THEN SUM(pos * (below + neg / 2)) / (SUM(pos) * SUM(neg)) END
+  FROM ranked GROUP BY model, replicate
+),
+compared AS (
+  SELECT * FROM found
+  UNION ALL
+  SELECT 'other_nulls - calories', replicate, metric, a.value - b.value
+  FROM (SELECT * FROM found WHERE model = 'other_nulls') a JOIN (SELECT * FROM found WHERE model = 'calories') b USING (replicate, metric)
+)
+SELECT model, metric, ROUND(MAX(value) FILTER (WHERE replicate = -1), 4) AS value,
+       ROUND(QUANTILE_CONT(value, 0.025) FILTER (WHERE replicate >= 0), 4) AS low,
+       ROUND(QUANTILE_CONT(value, 0.975) FILTER (WHERE replicate >= 0), 4) AS high
+FROM compared GROUP BY model, metric"""
+
 _cube_parts = (
     ("category_label", "foodCategory", None, "isHealthy"), ("category", "foodCategory", None, None),
     ("source_label", None, "sourceCollection", "isHealthy"), ("source", None, "sourceCollection", None), ("all", None, None, None),
@@ -403,6 +470,23 @@ SELECT * FROM (
            foodCategory NULLS FIRST, nutrientName, unitName)::INTEGER AS rank
   FROM facts WHERE nutrientId IN ({KEY_IDS})
 ) WHERE rank <= 10"""),
+    "measure_vector": (DOCS, f"""
+SELECT d.sourceCollection, d.fdcId, d.copy, nutrientId, value
+FROM docs d JOIN (
+  SELECT l_partkey, half, nutrientId, MAX(value) AS value
+  FROM named, (SELECT UNNEST([0, 1]) AS half) WHERE half = 0 OR slot % 2 = 0 GROUP BY 1, 2, 3
+) f ON d.fdcId = l_partkey AND d.copy = half WHERE value IS NOT NULL"""),
+    "measure_vector_by_id": (DOCS, """
+SELECT sourceCollection, fdcId, nutrientId, MAX(value) AS value FROM facts WHERE value IS NOT NULL GROUP BY 1, 2, 3"""),
+    "label_many_rules": (f"""{LABELED_MAX},
+water AS (SELECT sourceCollection, fdcId, MAX(value) AS water FROM facts WHERE nutrientId = 1051 GROUP BY 1, 2)""", """
+SELECT sourceCollection, fdcId, foodCategory, CAST(points AS INTEGER) AS healthScore, points >= 496 AS isHealthy,
+       CAST(CASE WHEN points >= 496 THEN 1 ELSE 0 END AS DOUBLE) AS label
+FROM (
+  SELECT l.*, healthScore + 491 + CASE WHEN COALESCE(water, 0) < 60 THEN 1 ELSE 0 END AS points
+  FROM labeled_max l LEFT JOIN water USING (sourceCollection, fdcId)
+)"""),
+    "metric_intervals": (LABELED_LAST, _intervals),
     "incremental_summary": (DATED, f"""
 SELECT g.foodCategory, nutrient, avg_value, count, COUNT(*) OVER (PARTITION BY g.foodCategory) AS nutrient_groups, food_count
 FROM (
