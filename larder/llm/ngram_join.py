@@ -9,14 +9,14 @@ likeness of ``near`` in a hundred. Shingles are hashed into groups twice:
   shares a filled one with each partner. The few other sets are grouped again, by
   other hashes, and only after ``ROUNDS`` groupings their empty groups are keys too.
   Keys are exchanged in messages, each key once a message.
-- Into as many groups as it has shingles, whose counts are the document's point, and
-  into ``COORDINATES`` ones, a sum of these. The summed coordinate minima of two
+- Into at least twice as many groups as it has shingles, whose counts are the document's point,
+  two bits each, and into ``COORDINATES`` ones, a sum of these. The summed coordinate minima of two
   points bound the overlap; pairs whose bound is too small are not looked at again.
 
 First every document is held against the one that is first for most of its keys;
 what survives the bound is verified on whole texts, and links make components. Then, only for
-keys whose documents are in several components, an R-tree of the points finds the pairs
-across them, and the finer points prune these where they are found. A cell gives one
+keys whose documents are in several components, each set of documents once however many
+keys have it, an R-tree of the points finds the pairs across them, and the finer points prune these where they are found. A cell gives one
 pair for each two of its components that any survivor joins. Where one of them turns out to be
 no link, its cells give the next one; after ``TURNS`` times, all that are left. So a
 group of copies costs a row for each copy and not for each pair, a family that does
@@ -45,8 +45,9 @@ from larder.llm.segments import BLOCK_BYTES, LEAST_BLOCKS, bucket_of, planes, un
 WORDS = 3
 NEAR = 90
 COORDINATES = 256
-# Finer points have a coordinate for each shingle up to here, a byte each.
+# Sets of up to so many shingles have finer points of two coordinates a shingle, two bits each; larger ones so many bytes.
 FINEST = 4096
+QUARTERS = np.array([[b >> s & 3 for s in (0, 2, 4, 6)] for b in range(256)], np.uint8)
 GROWTH = 1.6
 MESSAGE_KEYS = 500_000
 # Documents of one key in a task's R-tree, and held against it; more are dealt into cells of so many on both sides.
@@ -132,26 +133,45 @@ def link_keys(hashes: np.ndarray, first: np.ndarray, near: int = NEAR) -> tuple[
 
 
 def fine_points(hashes: np.ndarray, first: np.ndarray) -> list[bytes]:
-    """Counts in at least as many groups as shingles; what a byte cannot hold is summed up in front."""
+    """Counts in more groups than shingles; what their bits cannot hold is summed up in front."""
     out = []
     for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
-        size = min(FINEST, max(COORDINATES, 1 << max(0, b - a - 1).bit_length()))
+        few = b - a <= FINEST
+        size = max(COORDINATES, 1 << max(0, 2 * (b - a) - 1).bit_length()) if few else FINEST
         counts = np.bincount((hashes[a:b] & np.uint64(size - 1)).astype(np.int64), minlength=size)
-        held = np.minimum(counts, 255).astype(np.uint8)
-        out.append(np.int64(counts.sum() - held.sum(dtype=np.int64)).tobytes() + held.tobytes())
+        held = np.minimum(counts, 3 if few else 255).astype(np.uint8)
+        beyond = np.int64(counts.sum() - held.sum(dtype=np.int64))
+        if few:
+            held = np.bitwise_or.reduce(held.reshape(-1, 4) << np.arange(0, 8, 2, dtype=np.uint8), axis=1)
+        out.append(beyond.tobytes() + held.tobytes())
     return out
 
 
+def point_of(fine: bytes) -> np.ndarray:
+    """The counts of a finer point, as one row."""
+    held = np.frombuffer(fine, np.uint8, offset=8)
+    return (held if len(held) == FINEST else QUARTERS[held].reshape(-1)).astype(np.uint16)[None, :]
+
+
+def folded(points: np.ndarray, size: int) -> np.ndarray:
+    """Counts by fewer groups, half as many at a time."""
+    while points.shape[1] > size:
+        half = points.shape[1] // 2
+        points = points[:, :half] + points[:, half:]
+    return points
+
+
+def cell_points(fine: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Points in the groups of the coarsest one; what their bits cannot hold, summed up."""
+    points = [point_of(f) for f in fine]
+    size = min(p.shape[1] for p in points)
+    return np.concatenate([folded(p, size) for p in points]), np.array([np.frombuffer(f, np.int64, 1)[0] for f in fine])
+
+
 def fine_overlap(a: bytes, b: bytes) -> int:
     """Most shingles that two sets can share: summed minima over the groups of the coarser point."""
-    x, y = (np.frombuffer(p, np.uint8, offset=8).astype(np.int64) for p in (a, b))
-    while len(x) != len(y):
-        if len(x) > len(y):
-            x = x[: len(x) // 2] + x[len(x) // 2 :]
-        else:
-            y = y[: len(y) // 2] + y[len(y) // 2 :]
-    beyond = min(int(np.frombuffer(p, np.int64, 1)[0]) for p in (a, b))
-    return int(np.minimum(x, y).sum()) + beyond
+    point, beyond = cell_points([a, b])
+    return int(point.min(axis=0).sum(dtype=np.int64) + beyond.min())
 
 
 def near_bound(overlap: np.ndarray, n1: np.ndarray, n2: np.ndarray, near: int) -> np.ndarray:
@@ -266,21 +286,6 @@ class Tree:
         return self.levels[0][0][at]
 
 
-def folded(points: np.ndarray, size: int) -> np.ndarray:
-    """Counts by fewer groups, half as many at a time."""
-    while points.shape[1] > size:
-        half = points.shape[1] // 2
-        points = points[:, :half] + points[:, half:]
-    return points
-
-
-def cell_points(fine: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """The points of a cell's documents in the groups of the coarsest one; what bytes cannot hold, summed up."""
-    size = min(len(f) - 8 for f in fine)
-    point = np.concatenate([folded(np.frombuffer(f, np.uint8, offset=8).astype(np.uint16)[None, :], size) for f in fine])
-    return point, np.array([np.frombuffer(f, np.int64, 1)[0] for f in fine])
-
-
 def cell_links(table: pa.Table, *, near: int, every: bool) -> pa.Table:
     """Pairs across components that the finer points do not rule out, for each key of a group of cells.
 
@@ -422,10 +427,14 @@ def _bounded(pairs: DataFrame, documents_: DataFrame, near: int) -> DataFrame:
 
 
 def contested_rows(holders: DataFrame, parts: DataFrame, single: DataFrame, refused: DataFrame) -> DataFrame:
-    """Documents of the keys that several components share, with their points and the partners they are known not to link with."""
+    """Documents of the keys that several components share, with their points and the partners they are known not to link with.
+
+    Of the keys that the same documents have, one is looked at: their number and two exclusive ors of their hashes tell.
+    """
     own = kept(holders.join(parts, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id")), "holders")
-    keys = own.groupBy("key").agg(F.count("*").alias("size"), F.min("component").alias("main"), F.max("component").alias("last"))
-    keys = keys.filter("main < last").select("key", "main", "size")
+    marks = [F.bit_xor(F.xxhash64("doc_id", F.lit(salt))).alias(f"mark{salt}") for salt in (2, 3)]
+    keys = own.groupBy("key").agg(F.count("*").alias("size"), F.min("component").alias("main"), F.max("component").alias("last"), *marks)
+    keys = keys.filter("main < last").groupBy("size", "main", "mark2", "mark3").agg(F.min("key").alias("key")).select("key", "main", "size")
     strays = own.join(keys.filter(F.col("size") > TREE_ROWS), "key").filter("component <> main").groupBy("key").agg(F.count("*").alias("strays"))
     keys = keys.join(strays, "key", "left").withColumn("strays", F.coalesce("strays", F.lit(1)))
     keys = keys.select("key", "main", *[F.ceil(F.col(c) / TREE_ROWS).alias(f"{c}_parts") for c in ("size", "strays")])
@@ -461,8 +470,9 @@ def join(docs: DataFrame, words: int = WORDS, near: int = NEAR) -> DataFrame:
     ordered = pairs.filter("NOT same").select(F.least("hub", "doc_id").alias("hub"), F.greatest("hub", "doc_id").alias("doc_id"))
     known = links.select(F.least("hub", "doc_id").alias("hub"), F.greatest("hub", "doc_id").alias("doc_id"))
     refused = kept(ordered.join(known, ["hub", "doc_id"], "left_anti"), "refused")
+    parts = components(links, "parts")
     for turn in range(TURNS):
-        rows = contested_rows(holders, components(links, f"parts{turn}"), single, refused)
+        rows = contested_rows(holders, parts, single, refused)
         dealt = dealt_cells(rows, buckets)
         crossing = dealt.groupBy("tree", "cell").applyInArrow(in_cells(near, turn == TURNS - 1), CELL_LINK)
         crossing = kept(crossing, "crossing")
@@ -470,16 +480,16 @@ def join(docs: DataFrame, words: int = WORDS, near: int = NEAR) -> DataFrame:
         if given.isEmpty():
             break
         more = kept(verified(given, texts, words, near), "more")
-        links = kept(links.union(more), "links")
+        if not more.isEmpty():
+            parts = components(parts.select(F.col("component").alias("hub"), "doc_id").filter("hub <> doc_id").union(more), f"parts{turn}")
         wrong = kept(given.join(more, ["hub", "doc_id"], "left_anti"), "wrong")
         if wrong.isEmpty():
             break  # each cell's pairs are links, so what the bound leaves is joined
         # Pairs left out for one that is no link come up next: only at the keys where that can be.
         refused = kept(refused.union(wrong), "refused")
         holders = holders.join(crossing.join(wrong, ["hub", "doc_id"], "left_semi").select("key").distinct(), "key", "left_semi")
-    final = components(links, "final")
 
-    labelled = single.select("doc_id", F.col("n").alias("n_shingles")).join(final, "doc_id", "left")
+    labelled = single.select("doc_id", F.col("n").alias("n_shingles")).join(parts, "doc_id", "left")
     labelled = labelled.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
     unknown = found.filter("doc_id IS NULL").select("doc_id", F.col("n").alias("n_shingles"), F.lit(None).cast("long").alias("component_id"))
     return labelled.union(unknown)
