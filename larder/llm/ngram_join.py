@@ -147,12 +147,6 @@ def fine_points(hashes: np.ndarray, first: np.ndarray) -> list[bytes]:
     return out
 
 
-def point_of(fine: bytes) -> np.ndarray:
-    """The counts of a finer point, as one row."""
-    held = np.frombuffer(fine, np.uint8, offset=8)
-    return (held if len(held) == FINEST else QUARTERS[held].reshape(-1)).astype(np.uint16)[None, :]
-
-
 def folded(points: np.ndarray, size: int) -> np.ndarray:
     """Counts by fewer groups, half as many at a time."""
     while points.shape[1] > size:
@@ -163,9 +157,18 @@ def folded(points: np.ndarray, size: int) -> np.ndarray:
 
 def cell_points(fine: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Points in the groups of the coarsest one; what their bits cannot hold, summed up."""
-    points = [point_of(f) for f in fine]
-    size = min(p.shape[1] for p in points)
-    return np.concatenate([folded(p, size) for p in points]), np.array([np.frombuffer(f, np.int64, 1)[0] for f in fine])
+    lengths = np.array([len(f) - 8 for f in fine])
+    size = int(np.where(lengths == FINEST, FINEST, 4 * lengths).min())
+    # Two bits folded as often as these can be stay below 256.
+    point = np.empty((len(fine), size), np.uint16 if (lengths == FINEST).any() else np.uint8)
+    beyond = np.empty(len(fine), np.int64)
+    for length in np.unique(lengths):
+        some = np.flatnonzero(lengths == length)
+        rows = np.frombuffer(b"".join([fine[k] for k in some.tolist()]), np.uint8).reshape(len(some), -1)
+        beyond[some] = rows[:, :8].copy().view(np.int64)[:, 0]
+        held = rows[:, 8:].astype(np.uint16) if length == FINEST else QUARTERS[rows[:, 8:]].reshape(len(some), -1)
+        point[some] = folded(held, size)
+    return point, beyond
 
 
 def fine_overlap(a: bytes, b: bytes) -> int:
