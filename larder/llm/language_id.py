@@ -4,10 +4,12 @@ Every run of one to three bytes of the text (ASCII letters in lower case, other
 ASCII as a space) hashes to an embedding; their mean goes through a softmax.
 Trained on a bounded sample of labelled rows (``SAMPLE_ROWS`` of each language,
 lowest hash of the id first; the bias then follows the shares in all rows), of
-which a fifth calibrates a temperature and the score below which a prediction is
-rejected.
+which a fifth calibrates a temperature and two limits, each set to turn away
+``FALSE_REJECTIONS`` of known languages: of the score, and of how usual the text's
+subwords are in the learned texts, whatever their language. A prediction below
+either is ``rejected``.
 
-A text that is null or has no letter is ``und`` with score 0, whatever else. Rows
+A text that is null or has no letter is ``und`` with score 0 and rejected, whatever else. Rows
 without a label are predicted, never learned from. Repeated rows get equal
 results. Without any labelled row every row is ``und``. Other columns pass
 unread; an empty table gives no row.
@@ -17,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +34,11 @@ WIDTH = 16
 EPOCHS = 12
 UNKNOWN = "und"
 FOLDS, HELD_OUT = 4, 2
-# Rejected: below this quantile of the calibration scores, times the margin.
-REJECT_QUANTILE, REJECT_MARGIN = 0.001, 0.5
+# Share of texts in known languages that each of the two limits is set to reject.
+FALSE_REJECTIONS = 0.001
+TEMPERATURES = np.geomspace(0.05, 20, 60)
+# Share of subwords assumed of one that no learned text has.
+UNSEEN = 1e-7
 
 _PLAIN = np.full(256, 0x20, np.uint32)
 _PLAIN[0x41:0x5B] = np.arange(0x61, 0x7B)
@@ -59,10 +65,15 @@ class LanguageModel:
     bias: np.ndarray
     temperature: float = 1.0
     reject_below: float = 0.0
+    usual: np.ndarray | None = None  # logarithm of each bucket's share, and one for no subword
+    unusual_below: float = -np.inf
 
-    def logits(self, raw: np.ndarray, at: np.ndarray) -> np.ndarray:
+    def grams(self, at: np.ndarray) -> np.ndarray:
         lengths = np.diff(at)
-        grams = np.maximum(lengths * 3 - 3, lengths + (lengths > 1) * (lengths - 1))
+        return np.maximum(lengths * 3 - 3, lengths + (lengths > 1) * (lengths - 1))
+
+    def logits(self, raw: np.ndarray, at: np.ndarray) -> np.ndarray:
+        lengths, grams = np.diff(at), self.grams(at)
         filled = np.flatnonzero(lengths)
         out = np.zeros((len(lengths), len(self.languages)))
         if len(filled):
@@ -76,12 +87,28 @@ class LanguageModel:
         shares = softmax(self.logits(raw, at))
         return shares.argmax(axis=1), shares.max(axis=1)
 
+    def rejected(self, raw: np.ndarray, at: np.ndarray, share: np.ndarray) -> np.ndarray:
+        """Whether a prediction of this score is rejected, for each text."""
+        if self.usual is None:
+            return np.ones(len(share), bool)
+        filled = np.flatnonzero(np.diff(at))
+        mean = np.full(len(share), -np.inf)
+        if len(filled):
+            sums = sum(np.add.reduceat(self.usual[bucket], at[:-1][filled]) for bucket in subword_buckets(raw, at))
+            mean[filled] = sums / self.grams(at)[filled]
+        return (share < self.reject_below) | (mean < self.unusual_below)
+
 
 def softmax(z: np.ndarray) -> np.ndarray:
     e = np.exp(z - z.max(axis=1, keepdims=True))
     return e / e.sum(axis=1, keepdims=True)
 
 
+def lower_limit(values: np.ndarray) -> float:
+    """Below it fall ``FALSE_REJECTIONS`` by their quantile or by a normal tail, the lower of both: few rows do not tell the quantile."""
+    return float(min(np.quantile(values, FALSE_REJECTIONS), values.mean() + NormalDist().inv_cdf(FALSE_REJECTIONS) * values.std()))
+
+
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Label and bucket counts of sampled rows, at most BUCKETS a row."""
     for batch in batches:
@@ -143,21 +170,26 @@ def train(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, seed: int = 7) ->
     prior = np.log(shares / shares.max())
     if len(held):
         z = x[held] @ model.weights[:, :BUCKETS].T + bias
-        grid = np.geomspace(0.5, 20, 40)
-        loss = [-np.log(softmax(z / t)[np.arange(len(held)), y[held]] + 1e-12).mean() for t in grid]
-        model.temperature = float(grid[int(np.argmin(loss))])
+        loss = [-np.log(softmax(z / t)[np.arange(len(held)), y[held]] + 1e-12).mean() for t in TEMPERATURES]
+        model.temperature = float(TEMPERATURES[int(np.argmin(loss))])
         best = softmax(z / model.temperature + prior).max(axis=1)
-        model.reject_below = float(np.quantile(best, REJECT_QUANTILE)) * REJECT_MARGIN
+        odds = np.log(best + 1e-12) - np.log(1 - best + 1e-12)
+        model.reject_below = float(1 / (1 + np.exp(-lower_limit(odds))))
+    # Each language counts the same, so texts of rare ones are as usual as others.
+    shares = np.mean([x[learned[y[learned] == k]].mean(axis=0) for k in np.unique(y[learned])], axis=0)
+    model.usual = np.append(np.log(shares.astype(np.float64) + UNSEEN), 0.0)
+    if len(held):
+        model.unusual_below = lower_limit(x[held] @ model.usual[:BUCKETS])
     model.bias = bias + model.temperature * prior
     return model
 
 
 def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
-    """The rows with ``lang_pred`` and ``score``; columns of these names are replaced."""
-    names = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    """The rows with ``lang_pred``, ``score`` and ``rejected``; columns of these names are replaced."""
+    names = [c for c in docs.columns if c not in ("lang_pred", "score", "rejected")]
     texted = docs.select(*[F.col(c).alias(f"_{c}") for c in names], F.col("text").cast("string").alias("text"), F.coalesce(F.col("text").cast("string").rlike("\\p{L}"), F.lit(False)).alias("lettered"))
     fields = texted.drop("text", "lettered").schema
-    out_names = [*fields.names, "_lang_pred", "_score"]
+    out_names = [*fields.names, "_lang_pred", "_score", "_rejected"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -166,11 +198,16 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
                 lettered = part.column("lettered").to_numpy(zero_copy_only=False)
                 found = [model.languages[k] if ok else UNKNOWN for k, ok in zip(best, lettered)]
                 yield pa.record_batch(
-                    [*[part.column(f"_{c}") for c in names], pa.array(found, pa.string()), pa.array(np.where(lettered, share, 0.0))],
+                    [
+                        *[part.column(f"_{c}") for c in names],
+                        pa.array(found, pa.string()),
+                        pa.array(np.where(lettered, share, 0.0)),
+                        pa.array(~lettered | model.rejected(raw, at, share)),
+                    ],
                     names=out_names,
                 )
 
-    return texted.mapInArrow(run, fields.add("_lang_pred", "string").add("_score", "double")).toDF(*names, "lang_pred", "score")
+    return texted.mapInArrow(run, fields.add("_lang_pred", "string").add("_score", "double").add("_rejected", "boolean")).toDF(*names, "lang_pred", "score", "rejected")
 
 
 def accepted(docs: DataFrame, model: LanguageModel) -> DataFrame:
@@ -184,7 +221,7 @@ def accepted(docs: DataFrame, model: LanguageModel) -> DataFrame:
             for part, raw, at in text_slices(batch):
                 _, share = model.predict(raw, at)
                 lettered = part.column(flag).to_numpy(zero_copy_only=False)
-                keep = lettered & (share >= model.reject_below) & (model.languages != [UNKNOWN])
+                keep = lettered & ~model.rejected(raw, at, share)
                 yield part.select(names).filter(pa.array(keep))
 
     lettered = F.coalesce(F.col("text").rlike("\\p{L}"), F.lit(False))

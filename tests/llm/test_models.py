@@ -38,6 +38,23 @@ def test_languages_of_held_out_documents(corpus):
     assert {(r.score, r.lettered) for r in rows} == {(7, 8)}
     kept = {r.doc_id for r in rows}
     assert not kept & {900, 901, 902} and len(kept & set(range(240))) > 235
+    assert kept == {r.doc_id for r in got if not r.rejected}
+
+
+def test_unlearned_scripts_and_junk_are_rejected(corpus):
+    rng = random.Random(4)
+
+    def words(letters):
+        return " ".join("".join(rng.choice(letters) for _ in range(rng.randint(2, 9))) for _ in range(40))
+
+    strange = {"cyrillic": "абвгдежзиклмнопрст", "greek": "αβγδεζηθικλμνξοπρσ", "han": "的一是不了人我在有他", "consonants": "bcdfghjklmnpqrstvwxz"}
+    rows = [(k, words(letters), name, "s", 0) for name, letters in strange.items() for k in range(20)]
+    rows += [(100, prose(rng, "de") * 4000, "de", "s", 0)]
+    model = language_id.train(corpus)
+    got = language_id.predict(corpus.sparkSession.createDataFrame(rows, DOC), model).collect()
+    for name in strange:
+        assert np.mean([r.rejected for r in got if r.lang == name]) > 0.9, name
+    assert [(r.lang_pred, r.rejected) for r in got if r.doc_id == 100] == [("de", False)]
 
 
 def test_language_predictions_do_not_depend_on_neighbours(corpus):
