@@ -364,7 +364,7 @@ def packed_texts(members: DataFrame, docs: DataFrame) -> DataFrame:
             texts = [zlib.compress((t or "").encode(), 1) for t in batch.column("text").to_pylist()]
             yield _table("doc_id long, packed binary", doc_id=batch.column("doc_id"), packed=texts)
 
-    return docs.hint("merge").join(wanted, "doc_id", "left_semi").mapInArrow(squeeze, "doc_id long, packed binary")
+    return docs.mapInArrow(squeeze, "doc_id long, packed binary").hint("merge").join(wanted, "doc_id", "left_semi")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, words: int, near: int) -> DataFrame:
