@@ -4,13 +4,16 @@ A word (a run of ASCII letters, digits and other bytes above, in lower case)
 enters by a hashed embedding and by the mean embedding of its bytes with their
 neighbours. Two recurrences read each window of ``WINDOW`` words in both
 directions, attention pools their states, and a logistic unit scores the
-window. All overlapping windows of the whole text are scored; a document's score
-is that of its worst window.
+window. All overlapping windows of the whole text are scored, one every ``STRIDE``
+words, so any passage of ``WINDOW - STRIDE`` words is read whole by one of them; a
+document's score is that of its worst window.
 
 The network learns from a bounded sample of labelled rows (``SAMPLE_ROWS`` of each
 label, lowest hash of the id first, those with words; the bias then follows the
 labels' shares in all rows), from each the window with the words likeliest in
-toxic rows and some spread evenly. Only texts are inputs of a score.
+toxic rows and some spread evenly. The first embedding column starts from the words'
+log-odds in that sample; training looks at the first ``LONGEST`` letters of a word,
+scoring at all. Only texts are inputs of a score.
 
 A null or empty text or one without words is one window without words. Rows with
 equal texts get equal scores. Without labels of both kinds every score is 0.
@@ -30,7 +33,7 @@ from larder.llm.common import byte_prefix, documents, flat_ranges, fold, kept, l
 
 SAMPLE_ROWS = 1500
 SAMPLE_WINDOWS = 4
-WINDOW, STRIDE = 32, 24
+WINDOW, STRIDE = 32, 16
 WORD_BUCKETS, LETTER_BUCKETS = 8192, 2048
 EMBED, HIDDEN, ATTEND = 8, 8, 8
 EPOCHS, BATCH, RATE = 5, 128, 0.01

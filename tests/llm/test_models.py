@@ -75,6 +75,19 @@ def test_no_labels_and_empty_table(corpus):
     assert {r.score for r in toxicity.score(corpus, None).collect()} == {0.0}
 
 
+def test_windows_overlap_by_half():
+    sizes = [0, 1, 31, 32, 33, 48, 49, 500, 30_000]
+    data = [" ".join(["w"] * n).encode() for n in sizes]
+    text = toxicity.Text(np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)]))
+    start, size, before = text.windows()
+    for k, n in enumerate(sizes):
+        own = slice(before[k], before[k + 1])
+        a, b = start[own] - text.first[k], start[own] - text.first[k] + size[own]
+        assert a[0] == 0 and b[-1] == n and (size[own] <= toxicity.WINDOW).all()
+        for place in range(max(0, n - 16 + 1)):
+            assert ((a <= place) & (b >= place + 16)).any()
+
+
 def test_gradients_equal_differences():
     rng = np.random.default_rng(0)
     network = toxicity.Network()
