@@ -100,6 +100,24 @@ def test_metrics_equal_the_library_evaluators(spark, predicted):
     assert got["auc"] == pytest.approx(area, abs=1e-4)
 
 
+def test_many_rows_train_and_score_on_all_cores(spark, labeled, monkeypatch):
+    monkeypatch.setattr(models, "ROWS_A_TASK", 40)
+    assert models.spread(labeled, 39).rdd.getNumPartitions() == labeled.rdd.getNumPartitions()
+    seen = []
+
+    def fit(train, features, **settings):
+        seen.append([n for n in train.rdd.glom().map(len).collect()])
+        return models.fit_random_forest(train, features, **settings)
+
+    trained = models.train_and_evaluate(labeled.coalesce(1), fit, {"num_trees": 3, "max_depth": 3})
+    (tasks,) = seen
+    sizes = values(trained.metrics)
+    assert len(tasks) == spark.sparkContext.defaultParallelism and max(tasks) - min(tasks) <= 1 and sum(tasks) == sizes["train_size"]
+    assert trained.predictions.rdd.getNumPartitions() > 1 and trained.predictions.count() == sizes["test_size"]
+    monkeypatch.setattr(models, "MOST_ROWS_A_TASK", 50)
+    assert models.spread(labeled, 400).rdd.getNumPartitions() == 8
+
+
 def test_confusion_metrics_are_one_row(forest):
     assert confusion_metrics(forest.predictions).count() == 1
 
