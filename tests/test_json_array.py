@@ -1,6 +1,8 @@
 import json
 import random
+from pathlib import Path
 
+import pyarrow as pa
 import pytest
 
 from larder.sources import json_array, snapshots
@@ -80,3 +82,24 @@ def test_arrays_landed_and_read_again(spark, foods, tmp_path):
     for dataset in DATASETS.values():
         snapshots.land_array(docs, str(tmp_path), dataset, "2026-03-05")
     assert rows(snapshots.read_sources(spark, str(tmp_path), "2026-03-05", one_array=True)) == rows(docs)
+
+
+def test_a_landed_array_is_written_line_by_line(spark, foods, tmp_path):
+    """A sort that put the end last held the whole source in one task's memory."""
+    from larder.config import DATASETS
+
+    survey, legacy, foundation = DATASETS.values()
+    docs = foods(*[(k, "A\u00e9", "survey", [(1008, float(k))]) for k in range(60)], (99, "B", "legacy", None)).repartition(5)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        for dataset, size in ((survey, 60), (legacy, 1), (foundation, 0)):
+            path = snapshots.land_array(docs, str(tmp_path), dataset, "2026-03-05")
+            (part,) = [p for p in Path(path).iterdir() if p.name.startswith("part-")]
+            text = part.read_text(encoding="utf-8")
+            assert len(json.loads(text)) == size and len(text.splitlines()) == size + 1
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    one = iter([pa.record_batch([pa.array([str(k)])], names=["value"]) for k in range(3)])
+    lines = snapshots._array_lines(one)
+    assert next(lines).column(0).to_pylist() == ["[0"] and next(one).column(0).to_pylist() == ["1"]
+    assert [x.column(0).to_pylist() for x in lines] == [[",2"], ["]"]]
