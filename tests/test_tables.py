@@ -1,6 +1,8 @@
 import json
+from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from larder.config import DATASETS
 from larder.plans.labelling import SPARK_PATH, label_foods
@@ -42,6 +44,17 @@ def test_landing_again_replaces_that_date(spark, docs, foods, tmp_path):
     assert [r["fdcId"] for r in snapshots.read_sources(spark, str(tmp_path), DATE).collect()] == [9]
 
 
+def test_landed_lines_are_compressed_in_files_of_bounded_size(spark, docs, tmp_path, monkeypatch):
+    monkeypatch.setattr(snapshots, "LANDED_ROWS", 1)
+    land_all(docs.coalesce(1), str(tmp_path))
+    for dataset in DATASETS.values():
+        path = snapshots.snapshot_path(str(tmp_path), dataset, DATE)
+        own = docs.where(F.col("sourceCollection") == dataset.name).count()
+        files = [f for f in Path(path).iterdir() if f.name.startswith("part-") and spark.read.text(str(f)).count()]
+        assert len(files) == own and all(f.name.endswith(".json.gz") for f in files)
+    assert snapshots.read_sources(spark, str(tmp_path), DATE).count() == docs.count()
+
+
 def test_one_array_file_with_full_empty_and_missing_measurements(spark, tmp_path):
     path = tmp_path / "snapshot.json"
     measure = {"nutrientId": 1008, "nutrientName": "Energy", "unitName": "KCAL", "value": 5}
