@@ -11,7 +11,7 @@ from larder.llm.common import IS_SPACE, byte_prefix, flat_ranges, span_hash, wor
 
 VOCABULARY = "word_bpe_49k.json"
 # Distinct words a worker remembers before it starts over; bounds memory, never the result.
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 150_000
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:

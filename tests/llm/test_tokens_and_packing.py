@@ -116,3 +116,13 @@ def test_token_counts_equal_brute_force(table, texts, encoder):
 def test_empty_token_counts(table):
     assert token_counts.token_counts(table([])).count() == 0
     assert re.fullmatch(r".*\.json", vocabulary_path())
+
+
+def test_a_worker_remembers_few_words_however_many_there_are():
+    """400,000 of them took 67 MB a worker more than 150,000."""
+    encoder = WordEncoder(vocabulary_path())
+    for k in range(9):
+        text = " ".join(f"{'abcdefghij'[k]}{''.join(chr(97 + int(c)) for c in str(n))}z" for n in range(20_000)).encode()
+        ids, counts = encoder.ids(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+        assert len(ids) == counts.sum()
+    assert 0 < len(encoder.index) <= 150_000
