@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm.common import documents, mixed, prefix_hash, span_hash, text_slices, word_digests, word_spans
+from larder.llm.common import SMALL_SLICE, documents, frugal, mixed, prefix_hash, span_hash, text_slices, word_digests, word_spans
 
 WORDS = 5
 CONTAINMENT = 0.8
@@ -124,7 +124,7 @@ def search(docs: DataFrame, items: DataFrame, words: int = WORDS, containment: f
 
         def run(batches: Iterator[pa.RecordBatch], block: Items = block) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for part, raw, at in text_slices(batch):
+                for part, raw, at in text_slices(batch, size=SMALL_SLICE):
                     ids, out = part.column("doc_id").to_pylist(), []
                     for t, item, shared in block.matches(raw, at):
                         item_id, own = block.items[item][:2]
@@ -133,7 +133,7 @@ def search(docs: DataFrame, items: DataFrame, words: int = WORDS, containment: f
                         kinds = (*[pa.int64()] * 4, pa.float64())
                         yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=[x.split()[0] for x in MATCHES.split(", ")])
 
-        found = found.union(columns.mapInArrow(run, MATCHES))
+        found = found.union(columns.mapInArrow(frugal(run), MATCHES))
     return found
 
 
@@ -144,12 +144,12 @@ def without_leaks(docs: DataFrame, items: DataFrame, words: int = WORDS, contain
 
         def run(batches: Iterator[pa.RecordBatch], block: Items = block) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for part, raw, at in text_slices(batch):
+                for part, raw, at in text_slices(batch, size=SMALL_SLICE):
                     clean = np.ones(part.num_rows, bool)
                     clean[[t for t, _, _ in block.matches(raw, at)]] = False
                     yield part.filter(pa.array(clean))
 
-        kept = kept.mapInArrow(run, kept.schema)
+        kept = kept.mapInArrow(frugal(run), kept.schema)
     return kept.select(*names)
 
 

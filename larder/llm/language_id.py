@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm.common import documents, fold, kept, lowest_of_each, text_slices
+from larder.llm.common import SMALL_SLICE, documents, fold, frugal, kept, lowest_of_each, text_slices
 
 SAMPLE_ROWS = 1000
 BUCKETS = 4096
@@ -112,18 +112,17 @@ def lower_limit(values: np.ndarray) -> float:
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Label and bucket counts of sampled rows, at most BUCKETS a row."""
     for batch in batches:
-        for part, raw, at in text_slices(batch):
-            found = [[] for _ in range(part.num_rows)]
-            for bucket in subword_buckets(raw, at):
-                for k, (a, b) in enumerate(zip(at[:-1], at[1:])):
-                    found[k].append(np.bincount(bucket[a:b], minlength=BUCKETS + 1)[:BUCKETS])
-            counts = [sum(x) for x in found]
-            used = [np.flatnonzero(x) for x in counts]
+        for part, raw, at in text_slices(batch, size=SMALL_SLICE):
+            buckets, used, counts = list(subword_buckets(raw, at)), [], []
+            for a, b in zip(at[:-1], at[1:]):
+                found = sum(np.bincount(bucket[a:b], minlength=BUCKETS + 1)[:BUCKETS] for bucket in buckets)
+                used.append(np.flatnonzero(found).astype(np.int32))
+                counts.append(found[used[-1]])
             yield pa.record_batch(
                 {
                     "lang": part.column("lang"),
-                    "buckets": pa.array([u.tolist() for u in used], pa.list_(pa.int32())),
-                    "counts": pa.array([c[u].tolist() for c, u in zip(counts, used)], pa.list_(pa.int64())),
+                    "buckets": pa.array(used, pa.list_(pa.int32())),
+                    "counts": pa.array(counts, pa.list_(pa.int64())),
                 }
             )
 
@@ -135,7 +134,7 @@ def train(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, seed: int = 7) ->
     totals = {r.lang: r["count"] for r in ids.groupBy("lang").count().collect()}
     chosen = lowest_of_each(ids, "lang", totals, sample_rows).select("doc_id", "lang")
     sample = texts.join(F.broadcast(chosen), ["doc_id", "lang"]).distinct()
-    rows = sample.mapInArrow(_features, "lang string, buckets array<int>, counts array<long>").collect()
+    rows = sample.mapInArrow(frugal(_features), "lang string, buckets array<int>, counts array<long>").collect()
     rows = sorted(rows, key=lambda r: (r.lang, r.buckets, r.counts))
     languages = sorted({r.lang for r in rows})
     if not languages:
@@ -193,7 +192,7 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, raw, at in text_slices(batch):
+            for part, raw, at in text_slices(batch, size=SMALL_SLICE):
                 best, share = model.predict(raw, at)
                 lettered = part.column("lettered").to_numpy(zero_copy_only=False)
                 found = [model.languages[k] if ok else UNKNOWN for k, ok in zip(best, lettered)]
@@ -207,7 +206,7 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
                     names=out_names,
                 )
 
-    return texted.mapInArrow(run, fields.add("_lang_pred", "string").add("_score", "double").add("_rejected", "boolean")).toDF(*names, "lang_pred", "score", "rejected")
+    return texted.mapInArrow(frugal(run), fields.add("_lang_pred", "string").add("_score", "double").add("_rejected", "boolean")).toDF(*names, "lang_pred", "score", "rejected")
 
 
 def accepted(docs: DataFrame, model: LanguageModel) -> DataFrame:
@@ -218,14 +217,14 @@ def accepted(docs: DataFrame, model: LanguageModel) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, raw, at in text_slices(batch):
+            for part, raw, at in text_slices(batch, size=SMALL_SLICE):
                 _, share = model.predict(raw, at)
                 lettered = part.column(flag).to_numpy(zero_copy_only=False)
                 keep = lettered & ~model.rejected(raw, at, share)
                 yield part.select(names).filter(pa.array(keep))
 
     lettered = F.coalesce(F.col("text").rlike("\\p{L}"), F.lit(False))
-    return docs.withColumn(flag, lettered).mapInArrow(run, docs.schema)
+    return docs.withColumn(flag, lettered).mapInArrow(frugal(run), docs.schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from larder.llm.common import documents, flat_ranges, kept, mixed, text_slices
+from larder.llm.common import SMALL_SLICE, documents, flat_ranges, frugal, kept, mixed, text_slices
 from larder.llm.decontamination import ASCII_LOWER, shingle_hashes
 from larder.llm.segments import BLOCK_BYTES, LEAST_BLOCKS, bucket_of, planes, unplaned
 
@@ -194,14 +194,14 @@ def sketches(docs: DataFrame, words: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, raw, at in text_slices(batch):
+            for part, raw, at in text_slices(batch, size=SMALL_SLICE):
                 hashes, first = distinct_shingles(raw, at, words)
                 data = raw.tobytes()
                 words_of = (data[a:b].translate(ASCII_LOWER).split() for a, b in zip(at[:-1].tolist(), at[1:].tolist()))
                 digest = [int.from_bytes(blake2b(b" ".join(w), digest_size=8).digest(), "little", signed=True) for w in words_of]
                 yield _table(SKETCH, doc_id=part.column("doc_id"), n=np.diff(first), digest=digest, fine=fine_points(hashes, first))
 
-    return docs.mapInArrow(run, SKETCH)
+    return docs.mapInArrow(frugal(run), SKETCH)
 
 
 def key_messages(docs: DataFrame, words: int, near: int, buckets: int) -> DataFrame:
@@ -220,7 +220,7 @@ def key_messages(docs: DataFrame, words: int, near: int, buckets: int) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, ids, held = [], [], 0
         for batch in batches:
-            for part, raw, at in text_slices(batch):
+            for part, raw, at in text_slices(batch, size=SMALL_SLICE):
                 key, text = link_keys(*distinct_shingles(raw, at, words), near)
                 doc = part.column("doc_id").to_pylist()
                 known = np.array([x is not None for x in doc], bool)[text]
@@ -233,7 +233,7 @@ def key_messages(docs: DataFrame, words: int, near: int, buckets: int) -> DataFr
         if held:
             yield flushed(keys, ids)
 
-    return docs.mapInArrow(run, MESSAGE)
+    return docs.mapInArrow(frugal(run), MESSAGE)
 
 
 def with_hubs(key: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -364,7 +364,7 @@ def packed_texts(members: DataFrame, docs: DataFrame) -> DataFrame:
             texts = [zlib.compress((t or "").encode(), 1) for t in batch.column("text").to_pylist()]
             yield _table("doc_id long, packed binary", doc_id=batch.column("doc_id"), packed=texts)
 
-    return docs.mapInArrow(squeeze, "doc_id long, packed binary").hint("merge").join(wanted, "doc_id", "left_semi")
+    return docs.mapInArrow(frugal(squeeze), "doc_id long, packed binary").hint("merge").join(wanted, "doc_id", "left_semi")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, words: int, near: int) -> DataFrame:
@@ -390,7 +390,7 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, near: int) -> DataF
             if out:
                 yield _table("hub long, doc_id long", hub=[x[0] for x in out], doc_id=[x[1] for x in out])
 
-    return both.mapInArrow(compare, "hub long, doc_id long").distinct()
+    return both.mapInArrow(frugal(compare), "hub long, doc_id long").distinct()
 
 
 def components(links: DataFrame, name: str) -> DataFrame:
@@ -426,7 +426,7 @@ def _bounded(pairs: DataFrame, documents_: DataFrame, near: int) -> DataFrame:
             out = pa.record_batch([batch.column("hub"), batch.column("doc_id"), pa.array(same)], names=["hub", "doc_id", "same"])
             yield out.filter(keep)
 
-    return pairs.join(own, "doc_id").join(hub, "hub").mapInArrow(run, "hub long, doc_id long, same boolean")
+    return pairs.join(own, "doc_id").join(hub, "hub").mapInArrow(frugal(run), "hub long, doc_id long, same boolean")
 
 
 def contested_rows(holders: DataFrame, parts: DataFrame, single: DataFrame, refused: DataFrame) -> DataFrame:

@@ -274,3 +274,20 @@ def test_rare_labels_are_learned(spark):
     labels = docs.selectExpr("doc_id", "int(doc_id % 100 = 7) AS toxic")
     assert toxicity.train(docs, labels, sample_rows=12) is not None
     assert toxicity.train(docs, labels.filter("toxic = 0"), sample_rows=12) is None
+
+
+def test_subwords_take_little_memory_beside_their_batch():
+    """A worker shares an executor's memory with others; slices of a megabyte took more than 40 MB at once."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from larder.llm.common import frugal
+
+    texts = [f"some text of number {k} that is about a kilobyte long " * 20 for k in range(4000)]
+    batch = pa.record_batch({"lang": ["en"] * len(texts), "text": texts})
+    tracemalloc.start()
+    rows = sum(out.num_rows for out in frugal(language_id._features)(iter([batch])))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == len(texts) and most < 35e6
