@@ -17,8 +17,8 @@ First every document is held against the one that is first for most of its keys;
 what survives the bound is verified on whole texts, and links make components. Then, only for
 keys whose documents are in several components, each set of documents once however many
 keys have it, an R-tree of the points finds the pairs across them, and the finer points prune these where they are found. A cell gives one
-pair for each two of its components that any survivor joins. Where one of them turns out to be
-no link, its cells give the next one; after ``TURNS`` times, all that are left. So a
+pair for each two of its components that any survivor joins, and the documents of the pairs left out for
+it. Where one of them turns out to be no link, the cells of these documents give the next one; after ``TURNS`` times, all that are left. So a
 group of copies costs a row for each copy and not for each pair, a family that does
 not link costs comparisons but no rows, and every link between components is still found.
 
@@ -56,7 +56,7 @@ TREE_ROWS = 2048
 ROUNDS = 4
 LEAF = 16
 SKETCH = "doc_id long, n long, digest long, fine binary"
-CELL_LINK = "key long, hub long, doc_id long"
+CELL_LINK = "key long, hub long, doc_id long, left array<long>"
 # Times that cells give one pair for each two components before they give all that are left.
 TURNS = 4
 MESSAGE = "bucket long, keys binary, pairs binary"
@@ -183,7 +183,7 @@ def near_bound(overlap: np.ndarray, n1: np.ndarray, n2: np.ndarray, near: int) -
 
 
 def _table(schema: str, **columns: object) -> pa.RecordBatch:
-    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "string": pa.string(), "boolean": pa.bool_()}
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "string": pa.string(), "boolean": pa.bool_(), "array<long>": pa.list_(pa.int64())}
     fields = [x.split() for x in schema.split(", ")]
     n = max(len(c) for c in columns.values())
     return pa.record_batch([pa.array(columns[f] if f in columns else [None] * n, kinds[k]) for f, k in fields], names=[f for f, _ in fields])
@@ -293,7 +293,8 @@ def cell_links(table: pa.Table, *, near: int, every: bool) -> pa.Table:
     """Pairs across components that the finer points do not rule out, for each key of a group of cells.
 
     Of the pairs that join the same components of a cell only the first is given, so
-    a cell gives fewer pairs than it has components; with ``every`` all are.
+    a cell gives fewer pairs than it has components; with ``every`` all are. The first
+    pair of a key lists the documents of pairs left out: no others can give a pair once one given is no link.
     """
     key, doc, part, n = (table.column(c).to_numpy() for c in ("key", "doc_id", "component", "n"))
     asks, held = (table.column(c).to_numpy() for c in ("asks", "held"))
@@ -301,6 +302,7 @@ def cell_links(table: pa.Table, *, near: int, every: bool) -> pa.Table:
     order = np.lexsort((doc, asks, key))
     _, begin = np.unique(key[order], return_index=True)
     out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    lists: list[list[int] | None] = []
     for own in np.split(order, begin[1:]):
         if not held[own].any() or not asks[own].any():
             continue
@@ -312,23 +314,35 @@ def cell_links(table: pa.Table, *, near: int, every: bool) -> pa.Table:
         coarse, size, ids = folded(point, COORDINATES), n[own], doc[own]
         rows = np.flatnonzero(held[own])
         tree = Tree(coarse[rows], beyond[rows], size[rows])
+        asked, left, given = np.zeros(len(own), bool), np.zeros(len(own), bool), len(lists)
         for q in np.flatnonzero(asks[own]).tolist():
             found = rows[tree.near(coarse[q], int(beyond[q]), int(size[q]), near)]
-            found = found[joined[label[found]] != joined[label[q]]]
+            found = found[label[found] != label[q]]
+            if held[own[q]]:  # those that asked before have met this one
+                found = found[~asked[found]]
+            asked[q] = True
+            if len(found) and refused[own[q]]:
+                found = found[~np.isin(ids[found], refused[own[q]])]
             if not len(found):
                 continue
+            apart = joined[label[found]] != joined[label[q]]
+            later, found = found[~apart], found[apart]
             overlap = np.minimum(point[found], point[q]).sum(axis=1, dtype=np.int64) + np.minimum(beyond[found], beyond[q])
             found = found[near_bound(overlap, size[found], size[q], near)]
-            if len(found) and refused[own[q]]:
-                found = found[~np.isin(ids[found], refused[own[q]])]
             if not every and len(found):
                 labels, first = np.unique(joined[label[found]], return_index=True)
+                later = np.concatenate([later, np.delete(found, first)])
                 found = found[first]
                 joined[np.isin(joined, labels)] = joined[label[q]]
+            if len(later):
+                left[later] = left[q] = True
             if len(found):
                 out.append((np.full(len(found), key[own[0]]), np.minimum(ids[found], ids[q]), np.maximum(ids[found], ids[q])))
+                lists += [None] * len(found)
+        if left.any():
+            lists[given] = ids[left].tolist()
     k, a, b = (np.concatenate(x) for x in zip(*out)) if out else [np.zeros(0, np.int64)] * 3
-    return pa.Table.from_batches([_table(CELL_LINK, key=k, hub=a, doc_id=b)])
+    return pa.Table.from_batches([_table(CELL_LINK, key=k, hub=a, doc_id=b, left=lists)])
 
 
 def in_cells(near: int, every: bool) -> Callable[[pa.Table], pa.Table]:
@@ -488,9 +502,11 @@ def join(docs: DataFrame, words: int = WORDS, near: int = NEAR) -> DataFrame:
         wrong = kept(given.join(more, ["hub", "doc_id"], "left_anti"), "wrong")
         if wrong.isEmpty():
             break  # each cell's pairs are links, so what the bound leaves is joined
-        # Pairs left out for one that is no link come up next: only at the keys where that can be.
+        # Pairs left out for one that is no link come up next: only at the keys where that can be, and only their documents.
         refused = kept(refused.union(wrong), "refused")
-        holders = holders.join(crossing.join(wrong, ["hub", "doc_id"], "left_semi").select("key").distinct(), "key", "left_semi")
+        failed = crossing.join(wrong, ["hub", "doc_id"], "left_semi").select("key").distinct()
+        left = crossing.filter("left IS NOT NULL").select("key", "left").join(failed, "key", "left_semi")
+        holders = left.select("key", F.explode("left").alias("doc_id")).distinct()
 
     labelled = single.select("doc_id", F.col("n").alias("n_shingles")).join(parts, "doc_id", "left")
     labelled = labelled.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))

@@ -218,6 +218,25 @@ def test_a_cell_gives_fewer_pairs_than_documents(linking):
             assert len(set(zip(every["hub"].to_pylist(), every["doc_id"].to_pylist()))) == n * (n - 1) // 2
 
 
+def test_only_documents_of_pairs_left_out_come_up_again():
+    """Before, every document of a key came up again once a pair given for it was no link."""
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 2**63, 400, dtype=np.uint64)
+    family = [np.concatenate([base[5:], rng.integers(0, 2**63, 5, dtype=np.uint64)]) for _ in range(10)]
+    others = [rng.integers(0, 2**63, 400, dtype=np.uint64) for _ in range(200)]
+    # The first eight are one component, two strays are near them; the rest are like nothing. Both pairs of the first one are given.
+    found = ngram_join.cell_links(cell(family + others, [0] * 8 + list(range(8, 210))), near=90, every=False)
+    lists = [x for x in found["left"].to_pylist() if x is not None]
+    assert found.num_rows == 2 and [sorted(x) for x in lists] == [list(range(1, 10))]
+    # Refused pairs were looked at, and those met once are not left out because both ask.
+    two = cell(family[:2], [0, 1])
+    assert ngram_join.cell_links(two, near=90, every=False)["left"].to_pylist() == [None]
+    import pyarrow as pa
+
+    two = two.set_column(two.schema.get_field_index("refused"), "refused", pa.array([[1], [0]], pa.list_(pa.int64())))
+    assert ngram_join.cell_links(two, near=90, every=False).num_rows == 0
+
+
 def test_a_pair_that_is_no_link_does_not_hide_another(spark, table, monkeypatch):
     """The finer points are made useless, so that cells give pairs that fail on the texts."""
     monkeypatch.setattr(ngram_join, "FINEST", ngram_join.COORDINATES)
