@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm.common import SMALL_SLICE, documents, frugal, mixed, prefix_hash, span_hash, text_slices, word_digests, word_spans
+from larder.llm.common import SMALL_SLICE, documents, mapped, mixed, prefix_hash, span_hash, text_slices, word_digests, word_spans
 
 WORDS = 5
 CONTAINMENT = 0.8
@@ -133,7 +133,7 @@ def search(docs: DataFrame, items: DataFrame, words: int = WORDS, containment: f
                         kinds = (*[pa.int64()] * 4, pa.float64())
                         yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=[x.split()[0] for x in MATCHES.split(", ")])
 
-        found = found.union(columns.mapInArrow(frugal(run), MATCHES))
+        found = found.union(mapped(columns, run, MATCHES))
     return found
 
 
@@ -149,7 +149,7 @@ def without_leaks(docs: DataFrame, items: DataFrame, words: int = WORDS, contain
                     clean[[t for t, _, _ in block.matches(raw, at)]] = False
                     yield part.filter(pa.array(clean))
 
-        kept = kept.mapInArrow(frugal(run), kept.schema)
+        kept = mapped(kept, run, kept.schema)
     return kept.select(*names)
 
 

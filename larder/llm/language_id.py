@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm.common import SMALL_SLICE, documents, fold, frugal, kept, lowest_of_each, text_slices
+from larder.llm.common import SMALL_SLICE, documents, fold, kept, lowest_of_each, mapped, text_slices
 
 SAMPLE_ROWS = 1000
 BUCKETS = 4096
@@ -134,7 +134,7 @@ def train(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, seed: int = 7) ->
     totals = {r.lang: r["count"] for r in ids.groupBy("lang").count().collect()}
     chosen = lowest_of_each(ids, "lang", totals, sample_rows).select("doc_id", "lang")
     sample = texts.join(F.broadcast(chosen), ["doc_id", "lang"]).distinct()
-    rows = sample.mapInArrow(frugal(_features), "lang string, buckets array<int>, counts array<long>").collect()
+    rows = mapped(sample, _features, "lang string, buckets array<int>, counts array<long>").collect()
     rows = sorted(rows, key=lambda r: (r.lang, r.buckets, r.counts))
     languages = sorted({r.lang for r in rows})
     if not languages:
@@ -206,7 +206,7 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
                     names=out_names,
                 )
 
-    return texted.mapInArrow(frugal(run), fields.add("_lang_pred", "string").add("_score", "double").add("_rejected", "boolean")).toDF(*names, "lang_pred", "score", "rejected")
+    return mapped(texted, run, fields.add("_lang_pred", "string").add("_score", "double").add("_rejected", "boolean")).toDF(*names, "lang_pred", "score", "rejected")
 
 
 def accepted(docs: DataFrame, model: LanguageModel) -> DataFrame:
@@ -224,7 +224,7 @@ def accepted(docs: DataFrame, model: LanguageModel) -> DataFrame:
                 yield part.select(names).filter(pa.array(keep))
 
     lettered = F.coalesce(F.col("text").rlike("\\p{L}"), F.lit(False))
-    return docs.withColumn(flag, lettered).mapInArrow(frugal(run), docs.schema)
+    return mapped(docs.withColumn(flag, lettered), run, docs.schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from larder.llm.common import SMALL_SLICE, documents, flat_ranges, frugal, kept, mixed, text_slices
+from larder.llm.common import SMALL_SLICE, documents, flat_ranges, kept, mapped, mixed, small_batches, text_slices
 from larder.llm.decontamination import ASCII_LOWER, shingle_hashes
 from larder.llm.segments import BLOCK_BYTES, LEAST_BLOCKS, bucket_of, planes, unplaned
 
@@ -50,6 +50,8 @@ FINEST = 4096
 QUARTERS = np.array([[b >> s & 3 for s in (0, 2, 4, 6)] for b in range(256)], np.uint8)
 GROWTH = 1.6
 MESSAGE_KEYS = 500_000
+# Rows that a bucket returns at once.
+BATCH_ROWS = 1 << 15
 # Documents of one key in a task's R-tree, and held against it; more are dealt into cells of so many on both sides.
 TREE_ROWS = 2048
 # Groupings of sets that have no more filled groups than differences.
@@ -201,7 +203,7 @@ def sketches(docs: DataFrame, words: int) -> DataFrame:
                 digest = [int.from_bytes(blake2b(b" ".join(w), digest_size=8).digest(), "little", signed=True) for w in words_of]
                 yield _table(SKETCH, doc_id=part.column("doc_id"), n=np.diff(first), digest=digest, fine=fine_points(hashes, first))
 
-    return docs.mapInArrow(frugal(run), SKETCH)
+    return mapped(docs, run, SKETCH)
 
 
 def key_messages(docs: DataFrame, words: int, near: int, buckets: int) -> DataFrame:
@@ -233,7 +235,7 @@ def key_messages(docs: DataFrame, words: int, near: int, buckets: int) -> DataFr
         if held:
             yield flushed(keys, ids)
 
-    return docs.mapInArrow(frugal(run), MESSAGE)
+    return mapped(docs, run, MESSAGE)
 
 
 def with_hubs(key: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -261,7 +263,8 @@ def bucket_members(table: pa.Table) -> pa.Table:
     inner = columns("pairs", 3)
     rows = {"key": (key[other], inner[0]), "doc_id": (doc[other], inner[1]), "hub": (hub[other], inner[2])}
     rows = {k: np.concatenate(v).view(np.int64) for k, v in rows.items()}
-    return pa.Table.from_batches([_table("doc_id long, key long, hub long", **rows)])
+    whole = _table("doc_id long, key long, hub long", **rows)
+    return pa.Table.from_batches([whole.slice(a, BATCH_ROWS) for a in range(0, max(1, whole.num_rows), BATCH_ROWS)])
 
 
 class Tree:
@@ -378,7 +381,7 @@ def packed_texts(members: DataFrame, docs: DataFrame) -> DataFrame:
             texts = [zlib.compress((t or "").encode(), 1) for t in batch.column("text").to_pylist()]
             yield _table("doc_id long, packed binary", doc_id=batch.column("doc_id"), packed=texts)
 
-    return docs.mapInArrow(frugal(squeeze), "doc_id long, packed binary").hint("merge").join(wanted, "doc_id", "left_semi")
+    return mapped(docs, squeeze, "doc_id long, packed binary").hint("merge").join(wanted, "doc_id", "left_semi")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, words: int, near: int) -> DataFrame:
@@ -404,7 +407,7 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, near: int) -> DataF
             if out:
                 yield _table("hub long, doc_id long", hub=[x[0] for x in out], doc_id=[x[1] for x in out])
 
-    return both.mapInArrow(frugal(compare), "hub long, doc_id long").distinct()
+    return mapped(both, compare, "hub long, doc_id long").distinct()
 
 
 def components(links: DataFrame, name: str) -> DataFrame:
@@ -440,7 +443,7 @@ def _bounded(pairs: DataFrame, documents_: DataFrame, near: int) -> DataFrame:
             out = pa.record_batch([batch.column("hub"), batch.column("doc_id"), pa.array(same)], names=["hub", "doc_id", "same"])
             yield out.filter(keep)
 
-    return pairs.join(own, "doc_id").join(hub, "hub").mapInArrow(frugal(run), "hub long, doc_id long, same boolean")
+    return mapped(pairs.join(own, "doc_id").join(hub, "hub"), run, "hub long, doc_id long, same boolean")
 
 
 def contested_rows(holders: DataFrame, parts: DataFrame, single: DataFrame, refused: DataFrame) -> DataFrame:
@@ -464,6 +467,7 @@ def contested_rows(holders: DataFrame, parts: DataFrame, single: DataFrame, refu
 def join(docs: DataFrame, words: int = WORDS, near: int = NEAR) -> DataFrame:
     """Per document the size of its set and its component."""
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    small_batches(docs.sparkSession)
     total = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(LEAST_BLOCKS, -(-total // BLOCK_BYTES))
     found = kept(sketches(own, words), "sketch")

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from larder.llm.common import SMALL_SLICE, documents, frugal, kept, text_slices
+from larder.llm.common import SMALL_SLICE, documents, kept, mapped, text_slices
 from larder.llm.tokens import WordEncoder, vocabulary_path
 
 CAPACITY = 2048
@@ -55,7 +55,7 @@ def cut_pieces(docs: DataFrame, capacity: int, vocabulary: str) -> DataFrame:
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=[x.split()[0] for x in PIECES.split(", ")])
 
     columns = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return columns.mapInArrow(frugal(pieces), PIECES)
+    return mapped(columns, pieces, PIECES)
 
 
 class Plan:
@@ -171,7 +171,7 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str | None = Non
             yield pa.record_batch([*columns, pa.array(sequence), pa.array(offset)], names=[x.split()[0] for x in PLACED.split(", ")])
 
     ranked = pieces.join(offsets, ["length", "task"]).withColumn("rank", F.col("rank") + F.col("before")).drop("before", "task")
-    return ranked.mapInArrow(frugal(place), PLACED)
+    return mapped(ranked, place, PLACED)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

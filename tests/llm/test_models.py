@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from larder.llm import decontamination, language_id, secret_scans, toxicity
@@ -291,3 +292,34 @@ def test_subwords_take_little_memory_beside_their_batch():
     most = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert rows == len(texts) and most < 35e6
+
+
+def test_workers_get_small_batches(spark):
+    from larder.llm import common
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.record_batch({"n": pa.array([batch.num_rows]), "size": pa.array([batch.nbytes])})
+
+    before = spark.conf.get(common.BATCH_SETTING, None)
+    rows = spark.range(3000, numPartitions=1).selectExpr("id", "repeat('x', 2000) AS text")
+    try:
+        spark.conf.unset(common.BATCH_SETTING)
+        got = common.mapped(rows, sizes, "n long, size long").collect()
+        assert sum(r.n for r in got) == 3000
+        assert max(r.size for r in got) <= 2 * common.BATCH_BYTES
+        spark.conf.set(common.BATCH_SETTING, 4 << 20)  # a session's own bound stays
+        common.mapped(rows, sizes, "n long, size long")
+        assert int(spark.conf.get(common.BATCH_SETTING)) == 4 << 20
+    finally:
+        spark.conf.unset(common.BATCH_SETTING) if before is None else spark.conf.set(common.BATCH_SETTING, before)
+
+
+def test_limits_of_labels_need_no_python_workers(spark):
+    from larder.llm.common import lowest_of_each
+
+    rows = spark.sql("SELECT id AS doc_id, IF(id % 3 = 0, 'a', 'b') AS lang, xxhash64(id) AS place FROM range(300)")
+    got = lowest_of_each(rows, "lang", {"a": 100, "b": 200}, 20)
+    assert {r.lang: r["count"] for r in got.groupBy("lang").count().collect()} == {"a": 20, "b": 20}
+    assert "Scan ExistingRDD" not in got._jdf.queryExecution().toString()
+    assert lowest_of_each(rows.limit(0), "lang", {}, 20).collect() == []
