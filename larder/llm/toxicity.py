@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm.common import byte_prefix, documents, flat_ranges, fold, kept, lowest_of_each, span_hash, text_slices, word_spans
+from larder.llm.common import byte_prefix, documents, flat_ranges, fold, kept, lowest_of_each, span_hash, text_slices, usual_batches, word_spans
 
 SAMPLE_ROWS = 1500
 SAMPLE_WINDOWS = 4
@@ -275,6 +275,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
 
 def score(docs: DataFrame, network: Network | None) -> DataFrame:
     """doc_id, whether the id is held out, score and prediction of each row."""
+    usual_batches(docs.sparkSession)
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.coalesce(fold("doc_id", FOLDS) == HELD_OUT, F.lit(False)).alias("held_out"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -308,6 +308,8 @@ def test_workers_get_small_batches(spark):
         got = common.mapped(rows, sizes, "n long, size long").collect()
         assert sum(r.n for r in got) == 3000
         assert max(r.size for r in got) <= 2 * common.BATCH_BYTES
+        common.usual_batches(spark)
+        assert spark.conf.get(common.BATCH_SETTING, None) is None
         spark.conf.set(common.BATCH_SETTING, 4 << 20)  # a session's own bound stays
         common.mapped(rows, sizes, "n long, size long")
         assert int(spark.conf.get(common.BATCH_SETTING)) == 4 << 20
